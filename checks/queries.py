@@ -31,7 +31,7 @@ from shelfcast.operators import (
     sizing,
 )
 from shelfcast.plans import planning_rejects
-from shelfcast.plans.interface import location_dimension, pending_backorders
+from shelfcast.plans.interface import location_dimension
 from shelfcast.session import scratch_path
 
 RUN_TS = dt.datetime(2021, 10, 14, 6, 45, 0)
@@ -94,7 +94,15 @@ def centres(t: Tables) -> DataFrame:
 
 @query("q08_location_dim")
 def location_dim(t: Tables) -> DataFrame:
-    return location_dimension(t.inputs, LOCATION_PARAMS)
+    return location_dimension(
+        t.catalog,
+        t.order_source,
+        t.locations,
+        t.location_classes,
+        t.store_ids,
+        t.dc_ids,
+        LOCATION_PARAMS,
+    )
 
 
 @query("q09_channel_groups")
@@ -184,7 +192,7 @@ def group_list(t: Tables) -> DataFrame:
 
 @query("q21_open_orders")
 def open_order_rows(t: Tables) -> DataFrame:
-    return backorder.open_orders(t.transactions, BACKORDER_PARAMS)
+    return backorder.open_orders(t.order_headers, BACKORDER_PARAMS)
 
 
 @query("q22_backordered_units")
@@ -211,9 +219,14 @@ def demand(t: Tables) -> DataFrame:
     )
 
 
+def pending_value_of(t: Tables) -> DataFrame:
+    totals = backorder.demand_totals(details(t), BACKORDER_PARAMS)
+    return backorder.backorder_value(owed_units(t), totals, t.products, BACKORDER_PARAMS)
+
+
 @query("q25_backorder_value")
 def pending_value(t: Tables) -> DataFrame:
-    return pending_backorders(t.inputs, BACKORDER_PARAMS).select(
+    return pending_value_of(t).select(
         "catalog",
         "order_source",
         "order_number",
@@ -304,7 +317,7 @@ def rejects(t: Tables) -> DataFrame:
     feeds = {
         "LocAttr": attributes(t),
         "NetworkZip": zips(t),
-        "BackorderSales": pending_backorders(t.inputs, BACKORDER_PARAMS),
+        "BackorderSales": pending_value_of(t),
     }
     return planning_rejects(feeds, sources.live_rows(t.catalog))
 

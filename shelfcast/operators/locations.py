@@ -7,45 +7,47 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from shelfcast.functions import local_date, surrogate_key
 from shelfcast.params import DEFAULT_MEMBER, UNKNOWN_PO_TYPE, LocationParams
 from shelfcast.sources import live_rows
 
 # Column order of the delivered location feeds.
-LOCATION_COLUMNS = {
-    "member_id": "string",
-    "client_id": "string",
-    "member_name": "string",
-    "member_desc": "string",
-    "loc_level": "string",
-    "selling_channel": "string",
-    "catalog_id": "string",
-    "catalog_name": "string",
-    "order_source_id": "string",
-    "order_source_name": "string",
-    "order_source_group": "string",
-    "selling_channel_group": "string",
-    "location_group": "string",
-    "merch_location_group": "string",
-    "city": "string",
-    "state": "string",
-    "zipcode": "string",
-    "active_status": "string",
-    "store_open_date": "date",
-    "store_close_date": "date",
-    "climate": "string",
-    "corp_vol_group": "string",
-    "capacity": "string",
-    "sq_footage": "string",
-    "latitude": "string",
-    "longitude": "string",
-    "store_banner": "string",
-    "drop_ship": "string",
-    "dc_po_type_location": "string",
-    "dc_flag": "string",
-    "vdc_flag": "string",
-}
+LOCATION_COLUMNS = (
+    "member_id",
+    "client_id",
+    "member_name",
+    "member_desc",
+    "loc_level",
+    "selling_channel",
+    "catalog_id",
+    "catalog_name",
+    "order_source_id",
+    "order_source_name",
+    "order_source_group",
+    "selling_channel_group",
+    "location_group",
+    "merch_location_group",
+    "city",
+    "state",
+    "zipcode",
+    "active_status",
+    "store_open_date",
+    "store_close_date",
+    "climate",
+    "corp_vol_group",
+    "capacity",
+    "sq_footage",
+    "latitude",
+    "longitude",
+    "store_banner",
+    "drop_ship",
+    "dc_po_type_location",
+    "dc_flag",
+    "vdc_flag",
+)
+DATE_COLUMNS = ("store_open_date", "store_close_date")
 ATTRIBUTE_COLUMNS = (
     "member_id",
     "member_name",
@@ -79,6 +81,12 @@ OPEN_ATTRIBUTES = tuple(f"loc_open_{n}" for n in range(1, 11))
 CLASS_SCHEMA = (
     "location_extid string, store_po_type string, dc_po_type string, dc_flag string, vdc_flag string"
 )
+LOCATION_SCHEMA = StructType(
+    [
+        StructField(name, DateType() if name in DATE_COLUMNS else StringType())
+        for name in LOCATION_COLUMNS
+    ]
+)
 
 Ids = Sequence[int] | DataFrame
 
@@ -205,12 +213,7 @@ def _allowed(locations: DataFrame, ids: Ids) -> DataFrame:
 
 def _location_rows(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     """The 31 location columns in order; a column without a value is a typed NULL."""
-    return df.select(
-        *[
-            values.get(name, F.lit(None)).cast(dtype).alias(name)
-            for name, dtype in LOCATION_COLUMNS.items()
-        ]
-    )
+    return df.select(*[value.alias(name) for name, value in values.items()]).to(LOCATION_SCHEMA)
 
 
 def _channel_columns() -> dict[str, Column]:
@@ -218,7 +221,7 @@ def _channel_columns() -> dict[str, Column]:
         "selling_channel": _channel_name(),
         "catalog_id": F.col("catalog_extid"),
         "catalog_name": F.col("catalog_name"),
-        "order_source_id": F.col("order_source_id"),
+        "order_source_id": F.col("order_source_id").cast("string"),
         "order_source_name": F.col("order_source_name"),
         "order_source_group": F.col("order_source_group"),
         "selling_channel_group": F.col("selling_channel_group"),

@@ -46,32 +46,33 @@ class InterfaceInputs:
     transactions: DataFrame
 
 
-def location_dimension(inputs: InterfaceInputs, params: LocationParams) -> DataFrame:
+def location_dimension(
+    catalog: DataFrame,
+    order_source: DataFrame,
+    locations: DataFrame,
+    classes: DataFrame,
+    store_ids: Ids,
+    dc_ids: Ids,
+    params: LocationParams,
+) -> DataFrame:
     return location_table(
-        store_locations(
-            inputs.catalog,
-            inputs.order_source,
-            inputs.locations,
-            inputs.classes,
-            inputs.store_ids,
-            params,
-        ),
-        web_locations(inputs.catalog, inputs.order_source, params),
-        dc_locations(inputs.locations, inputs.classes, inputs.dc_ids),
+        store_locations(catalog, order_source, locations, classes, store_ids, params),
+        web_locations(catalog, order_source, params),
+        dc_locations(locations, classes, dc_ids),
     )
 
 
-def pending_backorders(inputs: InterfaceInputs, params: BackorderParams) -> DataFrame:
-    """Backorder value in one pass over each input.
+def pending_backorders(
+    units: DataFrame, transactions: DataFrame, products: DataFrame, params: BackorderParams
+) -> DataFrame:
+    """Backorder value with the owed units computed once.
 
     Joining the units to the totals of all demand keeps exactly the pairs a prior restriction to
-    backordered pairs would keep, so the units are computed once and not a second time as a filter.
+    backordered pairs would keep, so the units are not computed a second time as a filter.
     """
-    backordered = backordered_units(
-        inputs.units, open_orders(inputs.transactions, params), inputs.products, params
-    )
-    demand = demand_totals(flatten_details(inputs.transactions), params)
-    return backorder_value(backordered, demand, inputs.products, params)
+    backordered = backordered_units(units, open_orders(transactions, params), products, params)
+    demand = demand_totals(flatten_details(transactions), params)
+    return backorder_value(backordered, demand, products, params)
 
 
 def planning_feeds(
@@ -85,7 +86,15 @@ def planning_feeds(
     """
     catalogs = catalog_members(inputs.catalog)
     channels = selling_channels(inputs.catalog, inputs.order_source)
-    locations = location_dimension(inputs, location_params)
+    locations = location_dimension(
+        inputs.catalog,
+        inputs.order_source,
+        inputs.locations,
+        inputs.classes,
+        inputs.store_ids,
+        inputs.dc_ids,
+        location_params,
+    )
     network = zip_network(inputs.zip_map, inputs.locations)
     sku_groups = sku_size_groups(inputs.products, inputs.size_rules)
     return {
@@ -96,7 +105,9 @@ def planning_feeds(
         "NetworkLoc": store_network(network, locations),
         "SKUSizeGroup": sku_groups,
         "SizeGroup": size_groups(sku_groups),
-        "BackorderSales": pending_backorders(inputs, backorder_params),
+        "BackorderSales": pending_backorders(
+            inputs.units, inputs.transactions, inputs.products, backorder_params
+        ),
     }
 
 
