@@ -333,8 +333,10 @@ class Tables:
         """Nested transactions: a row per order and handler with its details in an array.
 
         An order with more than about a thousand lines is spread over several rows by a hash of
-        the line, so no task gathers an unbounded group. The feeds read any number of rows per
-        order. Gathering does not reduce anything, so lines are shuffled first.
+        the line, so no task gathers an unbounded group; the feeds read any number of rows per
+        order. Gathering does not reduce anything, so lines are shuffled first. Orders without
+        lines are added apart: an inner join lets AQE split the rows of a hot order, which a left
+        join from the orders would not.
         """
         lines = self.given("lineitem")
         large = (
@@ -362,20 +364,19 @@ class Tables:
             .repartition("l_orderkey", "handler", "chunk")
             .groupBy("l_orderkey", "handler", "chunk")
             .agg(F.collect_list("detail").alias("details"))
+            .select("l_orderkey", "handler", "details")
         )
         headers = self.order_headers
-        kept = [c for c in headers.columns if c not in ("o_orderkey", "o_custkey")]
+        filled = headers.join(details, F.col("o_orderkey") == F.col("l_orderkey"))
+        empty = headers.join(
+            lines.select("l_orderkey").distinct(), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti"
+        ).select("*", F.lit(0).alias("handler"), F.array().cast(details.schema["details"].dataType).alias("details"))
+        employee = _text("E", (F.col("o_custkey") + F.col("handler")) % 7)
         return (
-            headers.join(details, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-            .select(
-                *kept,
-                F.struct(
-                    _text("E", (F.col("o_custkey") + F.coalesce("handler", F.lit(0))) % 7).alias(
-                        "employee_extid"
-                    )
-                ).alias("employees"),
-                F.coalesce("details", F.array()).alias("details"),
-            )
+            filled.drop("l_orderkey")
+            .unionByName(empty)
+            .withColumn("employees", F.struct(employee.alias("employee_extid")))
+            .drop("o_orderkey", "o_custkey", "handler")
         )
 
     @cached_property

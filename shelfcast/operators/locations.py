@@ -241,7 +241,7 @@ def _named(level: str, name: Column, loc_level: str) -> dict[str, Column]:
     }
 
 
-def store_locations(
+def store_location_rows(
     catalog: DataFrame,
     order_source: DataFrame,
     locations: DataFrame,
@@ -249,12 +249,11 @@ def store_locations(
     store_ids: Ids,
     params: LocationParams,
 ) -> DataFrame:
-    """Retail stores: catalogs through the one offline source at each allowed store.
+    """Retail stores, before duplicates are removed.
 
     Only the flagship catalog has a member per store. For the other catalogs the store shows only
     in its purchase-order type, so they meet the distinct types instead of all stores and no row is
-    made that the final distinct would drop again. One of their members can still carry several
-    types, so member ids are not unique here.
+    made that the final distinct would drop again.
     """
     pairs = catalog_source_pairs(catalog, order_source)
     offline = with_channel_groups(
@@ -299,7 +298,25 @@ def store_locations(
             "dc_po_type_location": F.col("store_po_type"),
         },
     )
-    return flagship.unionByName(others).distinct()
+    return flagship.unionByName(others)
+
+
+def store_locations(
+    catalog: DataFrame,
+    order_source: DataFrame,
+    locations: DataFrame,
+    classes: DataFrame,
+    store_ids: Ids,
+    params: LocationParams,
+) -> DataFrame:
+    """Retail stores: catalogs through the one offline source at each allowed store.
+
+    A member of a catalog other than the flagship can carry several purchase-order types, so
+    member ids are not unique here.
+    """
+    return store_location_rows(
+        catalog, order_source, locations, classes, store_ids, params
+    ).distinct()
 
 
 def web_locations(
@@ -324,8 +341,8 @@ def web_locations(
     )
 
 
-def dc_locations(locations: DataFrame, classes: DataFrame, dc_ids: Ids) -> DataFrame:
-    """Distribution centres: allowed locations at their own level, outside every channel."""
+def dc_location_rows(locations: DataFrame, classes: DataFrame, dc_ids: Ids) -> DataFrame:
+    """Distribution centres, before duplicates are removed."""
     centres = with_location_classes(_allowed(locations, dc_ids), classes)
     return _location_rows(
         centres,
@@ -339,7 +356,12 @@ def dc_locations(locations: DataFrame, classes: DataFrame, dc_ids: Ids) -> DataF
             "dc_flag": F.col("dc_flag"),
             "vdc_flag": F.col("vdc_flag"),
         },
-    ).distinct()
+    )
+
+
+def dc_locations(locations: DataFrame, classes: DataFrame, dc_ids: Ids) -> DataFrame:
+    """Distribution centres: allowed locations at their own level, outside every channel."""
+    return dc_location_rows(locations, classes, dc_ids).distinct()
 
 
 def default_location(df: DataFrame) -> DataFrame:
@@ -366,6 +388,7 @@ def default_location(df: DataFrame) -> DataFrame:
 
 
 def location_table(stores: DataFrame, web: DataFrame, centres: DataFrame) -> DataFrame:
+    """All locations and the default one, each once. The parts may hold duplicates."""
     parts = [stores, web, centres, default_location(stores)]
     return reduce(DataFrame.unionByName, parts).distinct()
 

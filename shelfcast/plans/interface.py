@@ -18,11 +18,11 @@ from shelfcast.operators.levels import location_levels, product_levels
 from shelfcast.operators.locations import (
     Ids,
     catalog_members,
-    dc_locations,
+    dc_location_rows,
     location_attributes,
     location_table,
     selling_channels,
-    store_locations,
+    store_location_rows,
     web_locations,
 )
 from shelfcast.operators.network import store_network, zip_network
@@ -56,9 +56,9 @@ def location_dimension(
     params: LocationParams,
 ) -> DataFrame:
     return location_table(
-        store_locations(catalog, order_source, locations, classes, store_ids, params),
+        store_location_rows(catalog, order_source, locations, classes, store_ids, params),
         web_locations(catalog, order_source, params),
-        dc_locations(locations, classes, dc_ids),
+        dc_location_rows(locations, classes, dc_ids),
     )
 
 

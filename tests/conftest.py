@@ -22,6 +22,7 @@ def spark(tmp_path_factory: pytest.TempPathFactory) -> SparkSession:
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", str(shared))
         .getOrCreate()
     )

@@ -43,7 +43,7 @@ def skewed(tmp_path_factory):
         connection.execute(
             f"COPY (SELECT * EXCLUDE (rn) {replace} FROM "
             f"(SELECT *, row_number() OVER () AS rn FROM '{source}')) "
-            f"TO '{target}/{table}.parquet' (FORMAT parquet)"
+            f"TO '{target}/{table}.parquet' (FORMAT parquet, ROW_GROUP_SIZE 2048)"
         )
     return str(target)
 
