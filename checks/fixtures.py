@@ -332,29 +332,24 @@ class Tables:
     def transactions(self) -> DataFrame:
         """Nested transactions: a row per order and handler with its details in an array.
 
-        An order with more than about a thousand lines is spread over several rows by a hash of
-        the line, so no task gathers an unbounded group; the feeds read any number of rows per
-        order. Gathering does not reduce anything, so lines are shuffled first. Orders without
-        lines are added apart: an inner join lets AQE split the rows of a hot order, which a left
-        join from the orders would not.
+        When the largest order has more than about a thousand lines, orders are spread over as many
+        more rows by a hash of the line, so no task gathers an unbounded group; the feeds read any
+        number of rows per order. Gathering does not reduce anything, so lines are shuffled first.
+        Orders without lines are added apart: an inner join lets AQE split the rows of a hot order,
+        which a left join from the orders would not.
         """
         lines = self.given("lineitem")
-        large = (
-            lines.groupBy(F.col("l_orderkey").alias("large_order"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > MAX_DETAILS)
-            .select("large_order", F.ceil(F.col("n") / MAX_DETAILS).alias("n_chunks"))
-        )
+        largest = lines.groupBy("l_orderkey").count().agg(F.max("count").alias("n"))
+        n_chunks = largest.select(F.greatest(F.ceil(F.col("n") / MAX_DETAILS), F.lit(1))).scalar()
         line_hash = F.xxhash64(
             "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_quantity"
         )
         quantity = F.when(F.col("l_linenumber") == 7, 0).otherwise(F.col("l_quantity"))
         details = (
-            lines.join(large, F.col("l_orderkey") == F.col("large_order"), "left")
-            .select(
+            lines.select(
                 "l_orderkey",
                 (F.col("l_suppkey") % 2).alias("handler"),
-                F.pmod(line_hash, F.coalesce("n_chunks", F.lit(1))).alias("chunk"),
+                F.pmod(line_hash, n_chunks).alias("chunk"),
                 F.struct(
                     part_sku("l_partkey").alias("sku"),
                     quantity.cast("decimal(18,2)").alias("quantity"),
@@ -369,8 +364,14 @@ class Tables:
         headers = self.order_headers
         filled = headers.join(details, F.col("o_orderkey") == F.col("l_orderkey"))
         empty = headers.join(
-            lines.select("l_orderkey").distinct(), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti"
-        ).select("*", F.lit(0).alias("handler"), F.array().cast(details.schema["details"].dataType).alias("details"))
+            lines.select("l_orderkey").distinct(),
+            F.col("o_orderkey") == F.col("l_orderkey"),
+            "left_anti",
+        ).select(
+            "*",
+            F.lit(0).alias("handler"),
+            F.array().cast(details.schema["details"].dataType).alias("details"),
+        )
         employee = _text("E", (F.col("o_custkey") + F.col("handler")) % 7)
         return (
             filled.drop("l_orderkey")

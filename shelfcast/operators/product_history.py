@@ -65,7 +65,8 @@ def track_changes(
     """Type 2: close the current row of a key whose tracked columns changed and open a new one.
 
     One join and one pass: a changed row becomes an array of the closed and the opened version.
-    The opened row takes the tracked columns from the source, which has one row per key.
+    The opened row takes the tracked columns from the source, which has one row per key. The key
+    stays outside the array, so the rows keep their partitioning for the steps that follow.
     """
     now = F.lit(run_ts).cast("timestamp_ntz")
     columns = dimension.columns
@@ -76,7 +77,7 @@ def track_changes(
     changed = F.col("is_current") & F.col("in_source").isNotNull() & ~same
 
     def version(values: dict[str, Column]) -> Column:
-        return F.struct(*[values.get(c, F.col(c)).alias(c) for c in columns])
+        return F.struct(*[values.get(c, F.col(c)).alias(c) for c in columns if c != key])
 
     closed = version({"valid_to": now, "is_current": F.lit(False)})
     opened = version(
@@ -84,7 +85,7 @@ def track_changes(
         | {"valid_from": now, "valid_to": F.lit(None).cast("timestamp_ntz")}
     )
     versions = F.when(changed, F.array(closed, opened)).otherwise(F.array(version({})))
-    return joined.select(F.inline(versions))
+    return joined.select(key, F.inline(versions)).select(*columns)
 
 
 def overwrite_current(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -29,6 +30,8 @@ from shelfcast.operators.network import store_network, zip_network
 from shelfcast.operators.quality import FeedCheck, reject_summary
 from shelfcast.operators.sizing import size_groups, sku_size_groups
 from shelfcast.params import BackorderParams, LocationParams
+from shelfcast.sinks import stage_table
+from shelfcast.sinks.feeds import run_stamp
 
 
 @dataclass(frozen=True)
@@ -79,24 +82,35 @@ def planning_feeds(
     inputs: InterfaceInputs,
     location_params: LocationParams,
     backorder_params: BackorderParams,
+    base: str,
+    run_ts: dt.datetime,
 ) -> Mapping[str, DataFrame]:
     """Every feed of a run by name, ready for ``sinks.export_run``.
 
-    The zip network is built before the store network that reads it.
+    Tables that several feeds read are stored under ``base`` first. The zip network is built
+    before the store network that reads it.
     """
+    run_id = run_stamp(run_ts)
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        return stage_table(df, f"{base}/{name}", run_id)
+
     catalogs = catalog_members(inputs.catalog)
-    channels = selling_channels(inputs.catalog, inputs.order_source)
-    locations = location_dimension(
-        inputs.catalog,
-        inputs.order_source,
-        inputs.locations,
-        inputs.classes,
-        inputs.store_ids,
-        inputs.dc_ids,
-        location_params,
+    channels = stored("channel", selling_channels(inputs.catalog, inputs.order_source))
+    locations = stored(
+        "location",
+        location_dimension(
+            inputs.catalog,
+            inputs.order_source,
+            inputs.locations,
+            inputs.classes,
+            inputs.store_ids,
+            inputs.dc_ids,
+            location_params,
+        ),
     )
-    network = zip_network(inputs.zip_map, inputs.locations)
-    sku_groups = sku_size_groups(inputs.products, inputs.size_rules)
+    network = stored("zip_network", zip_network(inputs.zip_map, inputs.locations))
+    sku_groups = stored("sku_size_group", sku_size_groups(inputs.products, inputs.size_rules))
     return {
         "LocAttr": location_attributes(locations),
         "LocMaster": location_levels(catalogs, channels, locations, location_params.company_name),
@@ -105,8 +119,11 @@ def planning_feeds(
         "NetworkLoc": store_network(network, locations),
         "SKUSizeGroup": sku_groups,
         "SizeGroup": size_groups(sku_groups),
-        "BackorderSales": pending_backorders(
-            inputs.units, inputs.transactions, inputs.products, backorder_params
+        "BackorderSales": stored(
+            "backorder_sales",
+            pending_backorders(
+                inputs.units, inputs.transactions, inputs.products, backorder_params
+            ),
         ),
     }
 

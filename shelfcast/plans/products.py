@@ -16,25 +16,31 @@ from shelfcast.operators.product_history import (
     track_changes,
 )
 from shelfcast.params import EligibilityParams
+from shelfcast.sinks import stage_table
+from shelfcast.sinks.feeds import run_stamp
 
 
-def product_dimension(
+def product_dimension_run(
     dimension: DataFrame,
     sources: Sequence[DataFrame],
     brand: DataFrame,
     tracked: Sequence[str],
     overwritten: Sequence[str],
+    base: str,
     run_ts: dt.datetime,
     params: EligibilityParams,
 ) -> DataFrame:
-    """The dimension after one run. ``sources`` are in order of priority.
+    """The published dimension after one run. ``sources`` are in order of priority.
 
-    The steps rewrite one table in turn; here they are one plan whose joins share the sku, so the
-    dimension is shuffled once. Eligibility looks at current rows and flags every row of the sku.
+    The combined sources are read by four steps and the changed dimension by two, so both are
+    stored; the steps between them are one plan. Eligibility looks at current rows and flags every
+    row of the sku.
     """
-    combined = combine_sources(sources)
+    run_id = run_stamp(run_ts)
+    combined = stage_table(combine_sources(sources), f"{base}/combined", run_id)
     changed = track_changes(dimension, combined, tracked, run_ts)
     current = overwrite_current(changed, combined, overwritten)
     with_new = insert_new(current, combined, run_ts)
-    marked = mark_deleted(with_new, combined)
-    return flag_excluded(marked, eligible_skus(marked.filter("is_current"), brand, params))
+    marked = stage_table(mark_deleted(with_new, combined), f"{base}/changed", run_id)
+    eligible = eligible_skus(marked.filter("is_current"), brand, params)
+    return stage_table(flag_excluded(marked, eligible), f"{base}/dimension", run_id)

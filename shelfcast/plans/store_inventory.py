@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from shelfcast.operators.inventory import snapshot_delta, upsert_snapshot
-from shelfcast.sinks import append_history, export_store_deltas, publish_table
+from shelfcast.sinks import append_history, export_store_deltas, stage_table
 from shelfcast.sinks.feeds import run_stamp
 
 
@@ -18,17 +18,16 @@ def store_inventory_run(
     prefix: str,
     run_ts: dt.datetime,
     sequence: int,
-) -> str:
-    """Publish the merged inventory and return its path; write the run's delta and history.
+) -> DataFrame:
+    """Publish the merged inventory and return it; write the run's delta and history.
 
     The history is written first and the store files are made from it, so the delta is computed
     once and both agree after a retry.
     """
-    spark = inventory.sparkSession
     run_id = run_stamp(run_ts)
-    merged = publish_table(upsert_snapshot(inventory, snapshot), f"{base}/inventory", run_id)
-    delta = snapshot_delta(inventory, spark.read.schema(inventory.schema).parquet(merged))
+    merged = stage_table(upsert_snapshot(inventory, snapshot), f"{base}/inventory", run_id)
+    delta = snapshot_delta(inventory, merged)
     history = append_history(delta, f"{base}/history", run_id)
-    rows = spark.read.schema(delta.schema).parquet(f"{history}/run_id={run_id}")
+    rows = merged.sparkSession.read.schema(delta.schema).parquet(f"{history}/run_id={run_id}")
     export_store_deltas(rows, f"{base}/files/{run_id}", prefix, run_ts, sequence)
     return merged

@@ -7,7 +7,13 @@ from shelfcast.sinks.feeds import (
     feed_manifest,
     read_feed,
 )
-from shelfcast.sinks.publish import append_history, publish_table, read_history, refresh_dates
+from shelfcast.sinks.publish import (
+    append_history,
+    publish_table,
+    read_history,
+    refresh_dates,
+    stage_table,
+)
 from shelfcast.sinks.store_delta import export_store_deltas
 
 __all__ = [
@@ -23,4 +29,5 @@ __all__ = [
     "read_feed",
     "read_history",
     "refresh_dates",
+    "stage_table",
 ]

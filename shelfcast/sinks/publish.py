@@ -20,6 +20,14 @@ def publish_table(df: DataFrame, base: str, run_id: str) -> str:
     return path
 
 
+def stage_table(df: DataFrame, base: str, run_id: str) -> DataFrame:
+    """Publish a table that later steps of a run read more than once, and return it as stored.
+
+    The stored table also ends the lineage: a lost executor costs the step it was working on.
+    """
+    return df.sparkSession.read.schema(df.schema).parquet(publish_table(df, base, run_id))
+
+
 def append_history(df: DataFrame, base: str, run_id: str) -> str:
     """Add one run's rows to a history table partitioned by run id.
 

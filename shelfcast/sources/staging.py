@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from shelfcast.sinks.publish import publish_table
+from shelfcast.sinks.publish import stage_table
 
 
 def _all_strings(*names: str) -> StructType:
@@ -39,5 +39,4 @@ def stage_csv(
     spark: SparkSession, path: str, schema: StructType, target: str, run_id: str
 ) -> DataFrame:
     """Load a file into its staging table and return the table as published for this run."""
-    published = publish_table(read_typed_csv(spark, path, schema), target, run_id)
-    return spark.read.schema(schema).parquet(published)
+    return stage_table(read_typed_csv(spark, path, schema), target, run_id)
