@@ -102,13 +102,21 @@ def overwrite_current(
     )
 
 
-def insert_new(
+def new_rows(
     dimension: DataFrame, source: DataFrame, run_ts: dt.datetime, key: str = "sku"
 ) -> DataFrame:
-    """Dimension plus an open row for each source row whose key has no current row."""
+    """An open row for each source row whose key has no current row."""
     current = dimension.filter("is_current").select(key)
-    fresh = start_history(source.join(current, key, "left_anti"), run_ts)
-    return dimension.unionByName(fresh, allowMissingColumns=True)
+    return start_history(source.join(current, key, "left_anti"), run_ts)
+
+
+def insert_new(
+    dimension: DataFrame, source: DataFrame, run_ts: dt.datetime, key: str = "sku"
+) -> DataFrame:
+    """Dimension plus its new rows; columns the source lacks stay NULL."""
+    return dimension.unionByName(
+        new_rows(dimension, source, run_ts, key), allowMissingColumns=True
+    )
 
 
 def mark_deleted(

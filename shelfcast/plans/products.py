@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from shelfcast.operators.eligibility import eligible_skus, flag_excluded
 from shelfcast.operators.product_history import (
     combine_sources,
-    insert_new,
     mark_deleted,
+    new_rows,
     overwrite_current,
     track_changes,
 )
@@ -40,7 +40,10 @@ def product_dimension_run(
     combined = stage_table(combine_sources(sources), f"{base}/combined", run_id)
     changed = track_changes(dimension, combined, tracked, run_ts)
     current = overwrite_current(changed, combined, overwritten)
-    with_new = insert_new(current, combined, run_ts)
+    # Changes keep the set of current keys, so new keys are found against the stored dimension.
+    with_new = current.unionByName(
+        new_rows(dimension, combined, run_ts), allowMissingColumns=True
+    )
     marked = stage_table(mark_deleted(with_new, combined), f"{base}/changed", run_id)
     eligible = eligible_skus(marked.filter("is_current"), brand, params)
     return stage_table(flag_excluded(marked, eligible), f"{base}/dimension", run_id)
