@@ -39,11 +39,16 @@ def combine_sources(sources: Sequence[DataFrame], key: str = "sku") -> DataFrame
     return keyed.unionByName(ranked.filter(F.col(key).isNull()).drop("source_rank"))
 
 
+def _instant(ts: dt.datetime) -> Column:
+    """As text: a datetime literal would be shifted by the driver's and the session's time zone."""
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def start_history(products: DataFrame, since: dt.datetime) -> DataFrame:
     """A first dimension version: every row open since one time."""
     return products.select(
         "*",
-        F.lit(since).cast("timestamp_ntz").alias("valid_from"),
+        _instant(since).alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
         F.lit(True).alias("is_current"),
     )
@@ -68,7 +73,7 @@ def track_changes(
     The opened row takes the tracked columns from the source, which has one row per key. The key
     stays outside the array, so the rows keep their partitioning for the steps that follow.
     """
-    now = F.lit(run_ts).cast("timestamp_ntz")
+    now = _instant(run_ts)
     columns = dimension.columns
     joined = dimension.join(_prefixed(source, key, tracked), key, "left")
     same = reduce(

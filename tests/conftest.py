@@ -11,6 +11,20 @@ sys.path.insert(0, str(ROOT))
 
 SMALL = "/root/testdata/sf0.001"
 
+# Small data treated as large: nothing is broadcast, inputs have many splits, skew is acted on.
+LARGE_DATA = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.files.maxPartitionBytes": "32KB",
+    "spark.sql.files.openCostInBytes": "0",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+}
+
+
+def explained(df, mode="simple"):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory: pytest.TempPathFactory) -> SparkSession:
@@ -29,3 +43,13 @@ def spark(tmp_path_factory: pytest.TempPathFactory) -> SparkSession:
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def large_data(spark: SparkSession) -> SparkSession:
+    before = {key: spark.conf.get(key) for key in LARGE_DATA if spark.conf.get(key, None)}
+    for key, value in LARGE_DATA.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key in LARGE_DATA:
+        spark.conf.set(key, before[key]) if key in before else spark.conf.unset(key)

@@ -5,19 +5,10 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SMALL
+from conftest import SMALL, explained
 
 from checks.queries import REGISTERED
 
-# Sides below these sizes are measured, not assumed, so nothing needs a hint.
-LARGE_DATA = {
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.files.maxPartitionBytes": "32KB",
-    "spark.sql.files.openCostInBytes": "0",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-}
 PRODUCTS_OF_DIMENSIONS = {
     "q04_selling_channels",
     "q05_store_locations",
@@ -43,20 +34,6 @@ WRITES_FILES = {
 }
 
 
-def explained(df, mode="simple"):
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
-
-
-@pytest.fixture
-def large_data(spark):
-    before = {key: spark.conf.get(key) for key in LARGE_DATA if spark.conf.get(key, None)}
-    for key, value in LARGE_DATA.items():
-        spark.conf.set(key, value)
-    yield spark
-    for key in LARGE_DATA:
-        spark.conf.set(key, before[key]) if key in before else spark.conf.unset(key)
-
-
 @pytest.mark.parametrize("name", sorted(set(REGISTERED) - WRITES_FILES))
 def test_no_python_in_tasks_and_no_product_of_facts(large_data, name):
     plan = explained(REGISTERED[name](large_data, SMALL))
