@@ -26,8 +26,9 @@ def seconds(build, spark, sf_dir: str) -> float:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
-    chosen = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else REGISTERED
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    names = os.environ.get("BENCH_QUERIES", "")
+    chosen = names.split(",") if names else list(REGISTERED)
     spark = local_session(int(os.environ.get("BENCH_CPUS", "8")))
     spark.sparkContext.setLogLevel("ERROR")
     times = {}

@@ -84,7 +84,9 @@ def main() -> int:
         except Exception as error:
             n, problem = -1, f"{type(error).__name__}: {str(error)[:600]}"
         failed += bool(problem)
-        print(f"{'FAIL' if problem else 'ok  '} {name} rows={n} {time.time() - start:.1f}s {problem}", flush=True)
+        status = "FAIL" if problem else "ok  "
+        print(f"{status} {name} rows={n} {time.time() - start:.1f}s {problem}", flush=True)
+    print(f"{len(chosen) - failed} of {len(chosen)} match")
     return failed
 
 

@@ -260,7 +260,11 @@ class Tables:
             )
             .unionByName(
                 rule(
-                    by_axis, _text("D-", F.col("axis2")), nothing, nothing, F.col("axis2") == "LARGE"
+                    by_axis,
+                    _text("D-", F.col("axis2")),
+                    nothing,
+                    nothing,
+                    F.col("axis2") == "LARGE",
                 )
             )
         )
@@ -283,12 +287,6 @@ class Tables:
 
         What a scan of the stored nested table reads when no detail column is asked for.
         """
-        customers = (
-            self.given("customer")
-            .join(self.given("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(self.given("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select("c_custkey", "c_name", "r_regionkey", "r_name")
-        )
         key = F.col("o_orderkey")
         status = (
             F.when(F.col("o_orderstatus") == "F", "Billed")
@@ -297,7 +295,9 @@ class Tables:
         )
         return (
             self.given("orders")
-            .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+            .join(self.given("customer"), F.col("o_custkey") == F.col("c_custkey"))
+            .join(self.given("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(self.given("region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .select(
                 "o_orderkey",
                 "o_custkey",
@@ -446,7 +446,7 @@ class Tables:
         )
 
     def sales_lines(self, since: dt.date | None = None) -> DataFrame:
-        """Lines by ship date; ``since`` filters the stored timestamp, so the scan skips the rest."""
+        """Lines by ship date. ``since`` filters the stored timestamp: the scan skips the rest."""
         lines = self.given("lineitem")
         if since is not None:
             lines = lines.filter(F.col("l_shipdate") >= F.lit(since))

@@ -261,12 +261,16 @@ def published(t: Tables) -> DataFrame:
 @query("q29_feed_export")
 def exported(t: Tables) -> DataFrame:
     rows = attributes(t)
-    path, _ = sinks.export_feed(rows, scratch_path(t.spark, "feeds"), "LocAttr", RUN_TS)
+    path, _ = sinks.export_feed(rows, scratch_path(t.spark, "feeds"), "location_attributes", RUN_TS)
     return sinks.read_feed(t.spark, path, rows.schema)
 
 
 def _manifest(t: Tables) -> DataFrame:
-    feeds = {"LocAttr": attributes(t), "NetworkZip": zips(t), "SizeGroup": group_list(t)}
+    feeds = {
+        "location_attributes": attributes(t),
+        "zip_network": zips(t),
+        "size_groups": group_list(t),
+    }
     return sinks.combine_manifests(
         [sinks.feed_manifest(df, feed, RUN_TS) for feed, df in feeds.items()]
     )
@@ -289,7 +293,9 @@ def store_files(t: Tables) -> DataFrame:
     root = scratch_path(t.spark, "store-delta")
     rows = store_delta(t)
     sinks.export_store_deltas(rows, root, "INVENTORY_STORE_", RUN_TS, 7)
-    return sinks.read_feed(t.spark, root, "store_id bigint, sku string, quantity bigint, feed_file string")
+    return sinks.read_feed(
+        t.spark, root, "store_id bigint, sku string, quantity bigint, feed_file string"
+    )
 
 
 @query("q33_sequence_label")
@@ -317,9 +323,9 @@ def rejects(t: Tables) -> DataFrame:
     published first and read twice."""
     base = scratch_path(t.spark, "location-attributes")
     feeds = {
-        "LocAttr": sinks.stage_table(attributes(t), base, "run-1"),
-        "NetworkZip": zips(t),
-        "BackorderSales": pending_value_of(t),
+        "location_attributes": sinks.stage_table(attributes(t), base, "run-1"),
+        "zip_network": zips(t),
+        "backorder_sales": pending_value_of(t),
     }
     return planning_rejects(feeds, sources.live_rows(t.catalog))
 

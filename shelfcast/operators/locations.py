@@ -79,7 +79,8 @@ ATTRIBUTE_COLUMNS = (
 )
 OPEN_ATTRIBUTES = tuple(f"loc_open_{n}" for n in range(1, 11))
 CLASS_SCHEMA = (
-    "location_extid string, store_po_type string, dc_po_type string, dc_flag string, vdc_flag string"
+    "location_extid string, store_po_type string, dc_po_type string, dc_flag string, "
+    "vdc_flag string"
 )
 LOCATION_SCHEMA = StructType(
     [
@@ -91,7 +92,9 @@ LOCATION_SCHEMA = StructType(
 Ids = Sequence[int] | DataFrame
 
 
-def _members(df: DataFrame, level: str, key: Column, name: Column, desc: Column, catalog_id: Column):
+def _members(
+    df: DataFrame, level: str, key: Column, name: Column, desc: Column, catalog_id: Column
+) -> DataFrame:
     member_id = surrogate_key(level, key)
     return df.select(
         member_id.alias("member_id"),

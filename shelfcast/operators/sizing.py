@@ -32,7 +32,9 @@ def sku_size_groups(products: DataFrame, rules: DataFrame) -> DataFrame:
     lookup has one row per key, so a hot axis is split by AQE without copying products.
     """
     by_brand = rule_lookup(rules, ["axis2", "optional_brand"]).select(
-        F.col("axis2").alias("brand_axis"), "optional_brand", F.col("group_name").alias("brand_group")
+        F.col("axis2").alias("brand_axis"),
+        "optional_brand",
+        F.col("group_name").alias("brand_group"),
     )
     by_class = rule_lookup(rules, ["axis2", "optional_mc"]).select(
         F.col("axis2").alias("class_axis"), "optional_mc", F.col("group_name").alias("class_group")
@@ -59,7 +61,9 @@ def sku_size_groups(products: DataFrame, rules: DataFrame) -> DataFrame:
             "sku",
             F.coalesce("brand_axis", "class_axis", "only_axis").alias("axis_2"),
             F.concat(
-                "productgroupdesc", F.lit(" "), F.coalesce("brand_group", "class_group", "axis_group")
+                "productgroupdesc",
+                F.lit(" "),
+                F.coalesce("brand_group", "class_group", "axis_group"),
             ).alias("size_group_name"),
         )
         .distinct()

@@ -112,14 +112,16 @@ def planning_feeds(
     network = stored("zip_network", zip_network(inputs.zip_map, inputs.locations))
     sku_groups = stored("sku_size_group", sku_size_groups(inputs.products, inputs.size_rules))
     return {
-        "LocAttr": location_attributes(locations),
-        "LocMaster": location_levels(catalogs, channels, locations, location_params.company_name),
-        "ProdMembers": product_levels(inputs.products),
-        "NetworkZip": network,
-        "NetworkLoc": store_network(network, locations),
-        "SKUSizeGroup": sku_groups,
-        "SizeGroup": size_groups(sku_groups),
-        "BackorderSales": stored(
+        "location_attributes": location_attributes(locations),
+        "location_levels": location_levels(
+            catalogs, channels, locations, location_params.company_name
+        ),
+        "product_levels": product_levels(inputs.products),
+        "zip_network": network,
+        "store_network": store_network(network, locations),
+        "sku_size_groups": sku_groups,
+        "size_groups": size_groups(sku_groups),
+        "backorder_sales": stored(
             "backorder_sales",
             pending_backorders(
                 inputs.units, inputs.transactions, inputs.products, backorder_params
@@ -130,19 +132,19 @@ def planning_feeds(
 
 def planning_rejects(feeds: Mapping[str, DataFrame], catalog: DataFrame) -> DataFrame:
     """Rejected rows of the feeds that others refer to."""
-    members = feeds["LocAttr"].select("member_id")
+    members = feeds["location_attributes"].select("member_id")
     return reject_summary(
         [
-            FeedCheck("LocAttr", feeds["LocAttr"], ["member_id"]),
+            FeedCheck("location_attributes", feeds["location_attributes"], ["member_id"]),
             FeedCheck(
-                "NetworkZip",
-                feeds["NetworkZip"],
+                "zip_network",
+                feeds["zip_network"],
                 ["zip_code", "inv_loc_id", "priority"],
                 {"inv_loc_id": members},
             ),
             FeedCheck(
-                "BackorderSales",
-                feeds["BackorderSales"],
+                "backorder_sales",
+                feeds["backorder_sales"],
                 ["catalog", "order_source", "order_number", "sku"],
                 {"catalog": catalog.select("catalog_name")},
             ),

@@ -27,10 +27,10 @@ def test_planning_run(spark, tmp_path):
         ).count()
         for name, df in feeds.items()
     }
-    assert manifest["FEED_20211014064500_BackorderSales.DAT"] > 0
+    assert manifest["FEED_20211014064500_backorder_sales.DAT"] > 0
     rejects = {r.interface_name: r.reject_count for r in planning_rejects(feeds, live_rows(t.catalog)).collect()}
-    repeated = feeds["LocAttr"].groupBy("member_id").count().filter("count > 1")
-    assert rejects["LocAttr"] == repeated.agg(F.sum("count")).first()[0]
+    repeated = feeds["location_attributes"].groupBy("member_id").count().filter("count > 1")
+    assert rejects["location_attributes"] == repeated.agg(F.sum("count")).first()[0]
 
 
 def test_product_dimension_run(spark, tmp_path):
