@@ -30,6 +30,7 @@ from shelfcast.operators.network import store_network, zip_network
 from shelfcast.operators.quality import FeedCheck, reject_summary
 from shelfcast.operators.sizing import size_groups, sku_size_groups
 from shelfcast.params import BackorderParams, LocationParams
+from shelfcast.session import apply_scale_settings
 from shelfcast.sinks import stage_table
 from shelfcast.sinks.feeds import run_stamp
 
@@ -90,6 +91,7 @@ def planning_feeds(
     Tables that several feeds read are stored under ``base`` first. The zip network is built
     before the store network that reads it.
     """
+    apply_scale_settings(inputs.catalog.sparkSession)
     run_id = run_stamp(run_ts)
 
     def stored(name: str, df: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from shelfcast.operators.product_history import (
     track_changes,
 )
 from shelfcast.params import EligibilityParams
+from shelfcast.session import apply_scale_settings
 from shelfcast.sinks import stage_table
 from shelfcast.sinks.feeds import run_stamp
 
@@ -36,6 +37,7 @@ def product_dimension_run(
     stored; the steps between them are one plan. Eligibility looks at current rows and flags every
     row of the sku.
     """
+    apply_scale_settings(dimension.sparkSession)
     run_id = run_stamp(run_ts)
     combined = stage_table(combine_sources(sources), f"{base}/combined", run_id)
     changed = track_changes(dimension, combined, tracked, run_ts)

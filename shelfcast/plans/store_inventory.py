@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from shelfcast.operators.inventory import snapshot_delta, upsert_snapshot
+from shelfcast.session import apply_scale_settings
 from shelfcast.sinks import append_history, export_store_deltas, stage_table
 from shelfcast.sinks.feeds import run_stamp
 
@@ -24,6 +25,7 @@ def store_inventory_run(
     The history is written first and the store files are made from it, so the delta is computed
     once and both agree after a retry.
     """
+    apply_scale_settings(inventory.sparkSession)
     run_id = run_stamp(run_ts)
     merged = stage_table(upsert_snapshot(inventory, snapshot), f"{base}/inventory", run_id)
     delta = snapshot_delta(inventory, merged)

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
+from shelfcast.session import apply_scale_settings  # noqa: E402
+
 SMALL = "/root/testdata/sf0.001"
 
 # Small data treated as large: nothing is broadcast, inputs have many splits, skew is acted on.
@@ -41,7 +43,7 @@ def spark(tmp_path_factory: pytest.TempPathFactory) -> SparkSession:
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield session
+    yield apply_scale_settings(session)
     session.stop()
 
 
