@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,20 +25,13 @@ def apply_scale_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="shelfcast-")
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder path under the cluster's shared checkpoint folder.
 
-    Only a local session may fall back to a temporary folder: on a cluster the executors would
-    each write to their own disk.
+    Where ``spark.checkpoint.dir`` is unset the folder lies in the warehouse, which Spark's own
+    tables already need to be shared; it never lies in a temporary folder of one machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_root()
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
