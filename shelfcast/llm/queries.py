@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm.ann import AnnParams, nearest_by_hashing
 from shelfcast.llm.common import documents, embeddings
 from shelfcast.llm.mixing import mix_slots, root_weights
+from shelfcast.llm.oracle import MIXING_SQL, TOP_K_SQL
 from shelfcast.llm.packing import PackingParams, pack
 from shelfcast.llm.pii import find_personal_data
 from shelfcast.llm.token_counts import Vocabulary, token_counts
@@ -56,3 +57,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_personal_data,
     )
 }
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"op6_source_mixing": MIXING_SQL, "op7_exact_top_k": TOP_K_SQL}
