@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,35 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+class _WordHashes(dict):
+    """64-bit hashes of words; the words first met are remembered, which are the frequent ones."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(self) < 400_000 and len(word) < 64:
+            self[word] = value
+        return value
+
+
+_hashes = _WordHashes()
+
+
+def hashed_words(text: str | None) -> np.ndarray:
+    """The words of a text as 64-bit hashes; chance makes two of a billion words equal in one
+    corpus of forty."""
+    found = words(text)
+    return np.fromiter(map(_hashes.__getitem__, found), dtype=np.uint64, count=len(found))
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """64-bit values spread over all bits."""
+    v = values ^ (values >> np.uint64(32))
+    v = v * np.uint64(0xD6E8FEB86659FD93)
+    v ^= v >> np.uint64(32)
+    v *= np.uint64(0xD6E8FEB86659FD93)
+    return v ^ (v >> np.uint64(32))
+
+
 def word_count(text: Column) -> Column:
     """The number of words ``[^\\x20\\x09-\\x0D]+``; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from shelfcast.llm.ann import AnnParams, nearest_by_hashing
 from shelfcast.llm.common import documents, embeddings
 from shelfcast.llm.mixing import mix_slots, root_weights
-from shelfcast.llm.oracle import MIXING_SQL, TOP_K_SQL
+from shelfcast.llm.near_dups import NearParams, near_duplicates
+from shelfcast.llm.oracle import MIXING_SQL, NEAR_SQL, TOP_K_SQL
 from shelfcast.llm.packing import PackingParams, pack
 from shelfcast.llm.pii import find_personal_data
 from shelfcast.llm.token_counts import Vocabulary, token_counts
@@ -28,6 +29,10 @@ def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_by_hashing(embeddings(spark, sf_dir), F.col("vec_id") % 20 == 0, AnnParams())
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), NearParams())
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), PackingParams())
 
@@ -51,6 +56,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_token_counts,
         op2_nearest_vectors,
+        op4_near_duplicates,
         op5_packing,
         op6_source_mixing,
         op7_exact_top_k,
@@ -60,4 +66,4 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mixing": MIXING_SQL, "op7_exact_top_k": TOP_K_SQL}
+    return {"op4_near_duplicates": NEAR_SQL, "op6_source_mixing": MIXING_SQL, "op7_exact_top_k": TOP_K_SQL}
