@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row_ids(docs: DataFrame) -> DataFrame:
+    """Rows (doc, id, row): doc holds all columns, (id, row) tells rows apart and orders them by
+    doc_id, nulls first; the same in each scan. Rows of files are told apart by file and place, any
+    others are stored first."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id")
+    try:
+        row = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row")
+        return docs.select(whole, doc_id, row)
+    except AnalysisException:  # not rows of files
+        return stored(docs.select(whole, doc_id, F.monotonically_increasing_id().alias("row")), "rows")
+
+
 def words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text with A-Z lower-cased, as UTF-8; none for null."""
     return text.encode().lower().split() if text else []

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.ann import AnnParams, nearest_by_hashing
 from shelfcast.llm.common import documents, embeddings
+from shelfcast.llm.line_dedup import LineParams, dedup_lines
 from shelfcast.llm.mixing import mix_slots, root_weights
 from shelfcast.llm.near_dups import NearParams, near_duplicates
 from shelfcast.llm.oracle import MIXING_SQL, NEAR_SQL, TOP_K_SQL
@@ -47,6 +48,17 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(embeddings(spark, sf_dir), F.col("vec_id") % 50 == 0, TopKParams())
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(documents(spark, sf_dir), LineParams())
+    return found.select(
+        "doc.doc_id",
+        "n_lines",
+        "n_removed",
+        F.coalesce(F.length("text"), F.lit(0)).alias("kept_chars"),
+        F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"),
+    )
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(documents(spark, sf_dir))
 
@@ -60,6 +72,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_packing,
         op6_source_mixing,
         op7_exact_top_k,
+        op9_line_dedup,
         op10_personal_data,
     )
 }
