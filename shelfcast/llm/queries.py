@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.ann import AnnParams, nearest_by_hashing
+from shelfcast.llm.class_lm import ClassLmParams, class_lm_scores
 from shelfcast.llm.common import documents, embeddings
 from shelfcast.llm.line_dedup import LineParams, dedup_lines
 from shelfcast.llm.mixing import mix_slots, root_weights
@@ -17,6 +18,12 @@ from shelfcast.llm.packing import PackingParams, pack
 from shelfcast.llm.pii import find_personal_data
 from shelfcast.llm.token_counts import Vocabulary, token_counts
 from shelfcast.llm.topk import TopKParams, exact_top_k
+from shelfcast.llm.toxicity import (
+    ToxicityParams,
+    classifier_chain,
+    production_labels,
+    with_chances,
+)
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MIX_RESOLUTION, MIX_BLOCK = 1000, 16
@@ -30,6 +37,10 @@ def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_by_hashing(embeddings(spark, sf_dir), F.col("vec_id") % 20 == 0, AnnParams())
 
 
+def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm_scores(documents(spark, sf_dir), ClassLmParams())
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), NearParams())
 
@@ -48,6 +59,18 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(embeddings(spark, sf_dir), F.col("vec_id") % 50 == 0, TopKParams())
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, params = documents(spark, sf_dir), ToxicityParams()
+    labels = production_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = with_chances(docs, classifier_chain(docs, labels, params), params, "p")
+    return scored.select(
+        "doc_id",
+        F.col("p.low_quality").alias("p_low_quality"),
+        F.col("p.toxic").alias("p_toxic"),
+        (F.col("p.toxic") >= params.threshold).alias("toxic"),
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup_lines(documents(spark, sf_dir), LineParams())
     return found.select(
@@ -68,10 +91,12 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_token_counts,
         op2_nearest_vectors,
+        op3_class_lm,
         op4_near_duplicates,
         op5_packing,
         op6_source_mixing,
         op7_exact_top_k,
+        op8_toxicity,
         op9_line_dedup,
         op10_personal_data,
     )
