@@ -30,17 +30,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def of_files(docs: DataFrame) -> bool:
+    """Whether docs are rows of files as they lie there, with a file and a place for each."""
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
+
+
 def with_row_ids(docs: DataFrame) -> DataFrame:
     """Rows (doc, id, row): doc holds all columns, (id, row) tells rows apart and orders them by
     doc_id, nulls first; the same in each scan. Rows of files are told apart by file and place, any
     others are stored first."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id")
-    try:
+    if of_files(docs):
         row = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row")
         return docs.select(whole, doc_id, row)
-    except AnalysisException:  # not rows of files
-        return stored(docs.select(whole, doc_id, F.monotonically_increasing_id().alias("row")), "rows")
+    return stored(docs.select(whole, doc_id, F.monotonically_increasing_id().alias("row")), "rows")
 
 
 def words(text: str | None) -> list[bytes]:

@@ -82,13 +82,13 @@ def schedule(weights: DataFrame) -> DataFrame:
     return slots.select("key", turn.cast("long").alias("turn"), "slot", "weight", "total")
 
 
-def mix_slots(docs: DataFrame, weights: DataFrame, block_docs: int) -> DataFrame:
-    """docs with a column ``mixed``: struct of weight, block (of its source, from 0), slot and
+def mix_slots(docs: DataFrame, weights: DataFrame, block_docs: int, name: str = "mixed") -> DataFrame:
+    """docs with a column ``name``: struct of weight, block (of its source, from 0), slot and
     position; positions rise with slots and go through each block in order.
 
     Inside a source documents follow one another by the md5 of doc_id (null like ''), then doc_id. A
     source without a weight counts as weight 1. All rows and columns stay, repeated rows too; an
-    empty table gives no rows. A column of the name ``mixed`` is replaced.
+    empty table gives no rows. A column of that name is replaced.
     """
     known = weights.select("source", F.greatest(F.col("weight"), F.lit(1)).alias("weight"))
     missing = docs.select(_key(F.col("source")).alias("key"), "source").distinct().join(
@@ -125,5 +125,5 @@ def mix_slots(docs: DataFrame, weights: DataFrame, block_docs: int) -> DataFrame
         slot.alias("slot"),
         (slot * block_docs + F.pmod("place", F.lit(block_docs))).alias("position"),
     )
-    kept = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() != "mixed"]
-    return placed.select(*kept, mixed.alias("mixed"))
+    kept = [F.col(f"doc.`{c}`") for c in docs.columns if c.lower() != name.lower()]
+    return placed.select(*kept, mixed.alias(name))

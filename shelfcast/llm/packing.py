@@ -24,6 +24,7 @@ class PackingParams:
     n_buckets: int = 16
     batch_tokens: int = 65_536
     slices: int = 4096
+    slice_rows: int = 10_000
 
 
 def bucket_lengths(histogram: Sequence[tuple[int, int]], n_buckets: int) -> list[int]:
@@ -63,26 +64,31 @@ def pack(
     docs: DataFrame,
     params: PackingParams,
     n_tokens: Column | None = None,
-    slice_by: Column | None = None,
-    order_by: Column | None = None,
+    stored_order: bool = False,
 ) -> DataFrame:
     """One row per piece of each row of docs (doc_id, text): piece, piece_start and piece_len in
     tokens, its bucket and bucket_len, the batch in that bucket and its place in the batch.
 
     A length is the number of words plus one end token unless n_tokens says otherwise; a null or
     empty text is one piece with the end token, and n_tokens below 1 count as 1. Rows of a bucket
-    follow one another by slice_by and order_by, by default a hash of doc_id; a slice should hold a
-    bounded number of rows. Rows are numbered inside each (bucket, slice) and the slices' counts are
-    summed up, so no bucket meets in one task. Repeated rows are packed each for itself, other
-    columns are ignored, an empty table gives no rows.
+    follow one another by a hash of doc_id, or with stored_order as they lie in the files that docs
+    were read from. Rows are numbered inside slices of a bucket (of the hash, or of slice_rows rows
+    of a file) and the slices' counts are summed up, so no bucket meets in one task. Repeated rows
+    are packed each for itself, other columns are ignored, an empty table gives no rows.
     """
     hashed = F.xxhash64("doc_id")
+    part = F.format_string("%04d", F.pmod(hashed, F.lit(params.slices)))
+    place = hashed
+    if stored_order:
+        place = F.col("_metadata.row_index")
+        number = F.format_string("%012d", F.floor(place / params.slice_rows))
+        part = F.concat_ws(":", F.col("_metadata.file_name"), number)
     length = word_count(F.col("text")) + 1 if n_tokens is None else n_tokens
     sized = docs.select(
         "doc_id",
         F.greatest(F.coalesce(length.cast("long"), F.lit(1)), F.lit(1)).alias("n_tokens"),
-        (F.pmod(hashed, F.lit(params.slices)) if slice_by is None else slice_by).alias("slice"),
-        (hashed if order_by is None else order_by).alias("place"),
+        part.alias("slice"),
+        place.alias("place"),
     )
     sized = stored(sized, "lengths")
     start = F.col("piece") * params.max_len
