@@ -6,6 +6,7 @@ import datetime as dt
 import glob
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 from decimal import Decimal
@@ -64,6 +65,7 @@ def local_session(cpus: int = 8) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shelfcast-"))
         .getOrCreate()
     )
 

@@ -14,15 +14,14 @@ from pyspark.sql import functions as F
 from shelfcast.operators.eligibility import eligible_skus, flag_excluded
 from shelfcast.params import BackorderParams, EligibilityParams, LocationParams
 from shelfcast.plans import InterfaceInputs
-from shelfcast.session import apply_scale_settings
+from shelfcast.session import apply_scale_settings, scratch_path
+from shelfcast.sinks import stage_table
 
 FLAGSHIP = "AMERICA"
 LOCATION_PARAMS = LocationParams(flagship_catalog=FLAGSHIP)
 BACKORDER_PARAMS = BackorderParams(since=dt.date(1996, 10, 16))
 ELIGIBILITY_PARAMS = EligibilityParams()
-MAX_DETAILS = 1000
-STORES = 40
-AS_OF = dt.date(2001, 7, 31)
+STOCK_DATE = dt.date(2000, 12, 31)
 
 
 def _text(*parts: Column | str) -> Column:
@@ -52,14 +51,18 @@ class Tables:
             self._given[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._given[name]
 
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        return stage_table(df, scratch_path(self.spark, name), "input")
+
     @cached_property
     def catalog(self) -> DataFrame:
-        """Regions that have customers."""
+        """Regions that have customers. Stored, as the real table is: plans know its size."""
         customers = self.given("customer").select("c_nationkey").distinct()
         nations = customers.join(
             self.given("nation"), F.col("c_nationkey") == F.col("n_nationkey")
         )
-        return (
+        return self._stored(
+            "catalog",
             self.given("region")
             .join(nations, F.col("r_regionkey") == F.col("n_regionkey"), "left_semi")
             .select(
@@ -67,7 +70,7 @@ class Tables:
                 _text("CAT", F.col("r_regionkey")).alias("catalog_extid"),
                 F.col("r_name").alias("catalog_name"),
                 (F.col("r_regionkey") == 4).alias("is_deleted"),
-            )
+            ),
         )
 
     @staticmethod
@@ -83,7 +86,8 @@ class Tables:
     @cached_property
     def order_source(self) -> DataFrame:
         digit = F.substring("o_orderpriority", 1, 1)
-        return (
+        return self._stored(
+            "order-source",
             self.given("orders")
             .select(digit.alias("digit"))
             .distinct()
@@ -91,7 +95,7 @@ class Tables:
                 F.col("digit").cast("int").alias("order_source_id"),
                 self._source_name(F.col("digit")).alias("order_source_name"),
                 F.lit(False).alias("is_deleted"),
-            )
+            ),
         )
 
     @cached_property
@@ -212,10 +216,12 @@ class Tables:
     def size_rules(self) -> DataFrame:
         """Brand rules where a brand runs large, class rules for three classes, axis rules.
 
-        One aggregate over all parts; each of its rows then becomes the rules it stands for.
+        One aggregate over all parts is stored; each of its rows then becomes the rules it stands
+        for, and these are stored again, as the delivered rules are.
         """
         nothing = F.lit(None).cast("string")
-        kinds = (
+        kinds = self._stored(
+            "kinds",
             self.given("part")
             .select(
                 F.col("p_type").alias("axis2"),
@@ -224,7 +230,7 @@ class Tables:
                 "p_size",
             )
             .groupBy("axis2", "brand", "mc")
-            .agg(F.sum("p_size").alias("total_size"), F.count(F.lit(1)).alias("n"))
+            .agg(F.sum("p_size").alias("total_size"), F.count(F.lit(1)).alias("n")),
         )
         by_brand = (
             kinds.groupBy("axis2", "brand")
@@ -247,7 +253,8 @@ class Tables:
             "axis2 <> 'PROMO' AND mc IN ('MC1', 'MC2', 'MC3')"
         ).select("axis2", "mc").distinct()
         by_axis = kinds.filter("axis2 <> 'SMALL'").select("axis2").distinct()
-        return (
+        return self._stored(
+            "size-rules",
             rule(
                 by_brand,
                 F.when(number % 6 != 0, _text("B-", F.col("brand"))),
@@ -266,7 +273,7 @@ class Tables:
                     nothing,
                     F.col("axis2") == "LARGE",
                 )
-            )
+            ),
         )
 
     @cached_property
@@ -329,55 +336,56 @@ class Tables:
         )
 
     @cached_property
-    def transactions(self) -> DataFrame:
-        """Nested transactions: a row per order and handler with its details in an array.
+    def order_details(self) -> DataFrame:
+        """Lines nested by order, supplier and ship date, stored: (o_orderkey, l_suppkey, details).
 
-        When the largest order has more than about a thousand lines, orders are spread over as many
-        more rows by a hash of the line, so no task gathers an unbounded group; the feeds read any
-        number of rows per order. Gathering does not reduce anything, so lines are shuffled first.
-        Orders without lines are added apart: an inner join lets AQE split the rows of a hot order,
-        which a left join from the orders would not.
+        The nesting key is the same at any size and splits a large order over as many rows as it has
+        deliveries. Gathering does not reduce anything, so lines are shuffled first.
         """
-        lines = self.given("lineitem")
-        largest = lines.groupBy("l_orderkey").count().agg(F.max("count").alias("n"))
-        n_chunks = largest.select(F.greatest(F.ceil(F.col("n") / MAX_DETAILS), F.lit(1))).scalar()
-        line_hash = F.xxhash64(
-            "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_quantity"
-        )
         quantity = F.when(F.col("l_linenumber") == 7, 0).otherwise(F.col("l_quantity"))
-        details = (
-            lines.select(
-                "l_orderkey",
-                (F.col("l_suppkey") % 2).alias("handler"),
-                F.pmod(line_hash, n_chunks).alias("chunk"),
+        nested = ["l_orderkey", "l_suppkey", "l_shipdate"]
+        return self._stored(
+            "order-details",
+            self.given("lineitem")
+            .select(
+                *nested,
                 F.struct(
                     part_sku("l_partkey").alias("sku"),
                     quantity.cast("decimal(18,2)").alias("quantity"),
                     money("l_extendedprice").alias("amount"),
                 ).alias("detail"),
             )
-            .repartition("l_orderkey", "handler", "chunk")
-            .groupBy("l_orderkey", "handler", "chunk")
+            .repartition(*nested)
+            .groupBy(*nested)
             .agg(F.collect_list("detail").alias("details"))
-            .select("l_orderkey", "handler", "details")
+            .select("l_orderkey", "l_suppkey", "details"),
         )
-        headers = self.order_headers
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        """Nested transactions: rows of an order with the details of one delivery in an array; the
+        supplier decides the employee. The feeds read any number of rows per order.
+
+        Orders without lines are added apart: an inner join lets AQE split the rows of a hot order,
+        which a left join from the orders would not.
+        """
+        details, headers = self.order_details, self.order_headers
         filled = headers.join(details, F.col("o_orderkey") == F.col("l_orderkey"))
         empty = headers.join(
-            lines.select("l_orderkey").distinct(),
+            details.select("l_orderkey").distinct(),
             F.col("o_orderkey") == F.col("l_orderkey"),
             "left_anti",
         ).select(
             "*",
-            F.lit(0).alias("handler"),
+            F.lit(0).cast("bigint").alias("l_suppkey"),
             F.array().cast(details.schema["details"].dataType).alias("details"),
         )
-        employee = _text("E", (F.col("o_custkey") + F.col("handler")) % 7)
+        employee = _text("E", (F.col("o_custkey") + F.col("l_suppkey") % 2) % 7)
         return (
             filled.drop("l_orderkey")
             .unionByName(empty)
             .withColumn("employees", F.struct(employee.alias("employee_extid")))
-            .drop("o_orderkey", "o_custkey", "handler")
+            .drop("o_orderkey", "o_custkey", "l_suppkey")
         )
 
     @cached_property
@@ -396,25 +404,26 @@ class Tables:
             transactions=self.transactions,
         )
 
-    def inventory_snapshot(self, first: str, last: str) -> DataFrame:
-        """Units shipped per store and sku in a period."""
-        start = dt.date.fromisoformat(first)
-        end = dt.date.fromisoformat(last) + dt.timedelta(days=1)
+    def stock(self, rows: Column) -> DataFrame:
+        """Units per store (supplier) and sku over the lines that satisfy a condition."""
+        counted = F.when(rows, F.col("l_quantity").cast("bigint"))
         return (
             self.given("lineitem")
-            .filter((F.col("l_shipdate") >= F.lit(start)) & (F.col("l_shipdate") < F.lit(end)))
-            .groupBy((F.col("l_suppkey") % STORES).alias("store_id"), "l_partkey")
-            .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
+            .groupBy(F.col("l_suppkey").alias("store_id"), "l_partkey")
+            .agg(F.sum(counted).alias("quantity"))
+            .filter("quantity IS NOT NULL")
             .select("store_id", part_sku("l_partkey").alias("sku"), "quantity")
         )
 
     @cached_property
     def inventory_before(self) -> DataFrame:
-        return self.inventory_snapshot("2000-01-01", "2000-12-31")
+        """Stock up to a date."""
+        return self.stock(F.col("l_shipdate") < F.lit(STOCK_DATE + dt.timedelta(days=1)))
 
     @cached_property
     def inventory_after(self) -> DataFrame:
-        return self.inventory_snapshot("2000-07-01", "2001-06-30")
+        """Stock of all lines; what was returned has left it."""
+        return self.stock(F.col("l_returnflag") != "R")
 
     @cached_property
     def first_source(self) -> DataFrame:
@@ -423,8 +432,22 @@ class Tables:
 
     @cached_property
     def second_source(self) -> DataFrame:
-        """Products of the second source: the larger sizes, with changed prices and texts."""
-        return self._sized_products("p_size >= 17", changed=True)
+        """Products of the second source: larger sizes, with changed prices and texts."""
+        return self._sized_products("p_size BETWEEN 17 AND 42", changed=True)
+
+    @cached_property
+    def third_source(self) -> DataFrame:
+        """A later delivery: small sizes that left come back, others leave, the largest are new,
+        some have lost their key."""
+        later = self._sized_products("p_size <= 25 OR p_size > 40", changed=False)
+        key = F.substring_index(F.substring_index("sku", "-", 1), "P", -1).cast("bigint")
+        raised = F.col("wholesale_price") * F.lit("1.2").cast("decimal(2,1)")
+        return later.select(
+            F.when(key % 97 != 0, F.col("sku")).alias("sku"),
+            "brandname",
+            F.when(key % 3 == 0, _text("Later ", F.col("skudesc"))).otherwise(F.col("skudesc")).alias("skudesc"),
+            F.when(key % 3 == 1, raised).otherwise(F.col("wholesale_price")).cast("decimal(18,4)").alias("wholesale_price"),
+        )
 
     def _sized_products(self, condition: str, changed: bool) -> DataFrame:
         key = F.col("p_partkey")
@@ -457,4 +480,10 @@ class Tables:
             F.col("l_quantity").cast("bigint").alias("units"),
             money("l_extendedprice").alias("value"),
             "l_returnflag",
+            (F.col("l_partkey") % 100).alias("style"),
         )
+
+    @cached_property
+    def last_date(self) -> dt.date:
+        """The largest ship date of the data."""
+        return self.given("lineitem").agg(F.max("l_shipdate")).first()[0].date()

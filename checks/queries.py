@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import (
-    AS_OF,
     BACKORDER_PARAMS,
     ELIGIBILITY_PARAMS,
     LOCATION_PARAMS,
+    STOCK_DATE,
     Tables,
 )
 from shelfcast import sinks, sources
@@ -30,12 +30,13 @@ from shelfcast.operators import (
     quality,
     sizing,
 )
-from shelfcast.plans import planning_rejects
+from shelfcast.plans import planning_checks, product_dimension_run, store_inventory_run
 from shelfcast.plans.interface import location_dimension
 from shelfcast.session import scratch_path
 
 RUN_TS = dt.datetime(2021, 10, 14, 6, 45, 0)
 HISTORY_START = dt.datetime(2021, 1, 1)
+FIRST_RUN = dt.datetime(2021, 4, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -265,27 +266,26 @@ def exported(t: Tables) -> DataFrame:
     return sinks.read_feed(t.spark, path, rows.schema)
 
 
-def _manifest(t: Tables) -> DataFrame:
-    feeds = {
+def _manifest_feeds(t: Tables) -> dict[str, DataFrame]:
+    return {
         "location_attributes": attributes(t),
         "zip_network": zips(t),
         "size_groups": group_list(t),
     }
-    return sinks.combine_manifests(
-        [sinks.feed_manifest(df, feed, RUN_TS) for feed, df in feeds.items()]
-    )
 
 
 @query("q30_feed_manifest")
 def manifest(t: Tables) -> DataFrame:
-    return _manifest(t)
+    """The counts are observed while the feeds are written."""
+    return sinks.export_run(_manifest_feeds(t), scratch_path(t.spark, "feeds"), RUN_TS)
 
 
 @query("q31_manifest_export")
 def manifest_file(t: Tables) -> DataFrame:
-    rows = _manifest(t)
-    path = sinks.export_manifest(rows, scratch_path(t.spark, "manifest"), RUN_TS, "manifest")
-    return sinks.read_feed(t.spark, path, rows.schema)
+    root = scratch_path(t.spark, "feeds")
+    rows = sinks.export_run(_manifest_feeds(t), root, RUN_TS)
+    stamp = RUN_TS.strftime("%Y%m%d%H%M%S")
+    return sinks.read_feed(t.spark, f"{root}/{stamp}/manifest_{stamp}", rows.schema)
 
 
 @query("q32_store_delta_export")
@@ -319,15 +319,16 @@ def prices(t: Tables) -> DataFrame:
 
 @query("q35_reject_summary")
 def rejects(t: Tables) -> DataFrame:
-    """The location feed is checked itself and is what the others are checked against, so it is
-    published first and read twice."""
-    base = scratch_path(t.spark, "location-attributes")
+    """Three feeds that hold what they promise and a delivery with products that lack a key."""
+    base = scratch_path(t.spark, "checked-feeds")
     feeds = {
-        "location_attributes": sinks.stage_table(attributes(t), base, "run-1"),
+        "location_attributes": sinks.stage_table(attributes(t), base, "locations"),
         "zip_network": zips(t),
         "backorder_sales": pending_value_of(t),
     }
-    return planning_rejects(feeds, sources.live_rows(t.catalog))
+    delivery = quality.FeedCheck("product_delivery", t.third_source, ["sku"])
+    checks = planning_checks(feeds, sources.live_rows(t.catalog), t.locations)
+    return quality.reject_summary([*checks, delivery])
 
 
 @query("q36_reject_alert")
@@ -341,35 +342,61 @@ def combined(t: Tables) -> DataFrame:
 
 
 def _dimension(t: Tables) -> DataFrame:
-    return product_history.start_history(t.first_source, HISTORY_START)
+    """A dimension after a first run: it has closed rows, new ones and deleted ones."""
+    first = product_history.start_history(t.first_source, HISTORY_START)
+    changed = product_history.track_changes(first, t.second_source, ["wholesale_price"], FIRST_RUN)
+    grown = product_history.insert_new(changed, t.second_source, FIRST_RUN)
+    return product_history.mark_deleted(grown, t.second_source)
 
 
 @query("q38_product_scd")
 def product_versions(t: Tables) -> DataFrame:
     return product_history.track_changes(
-        _dimension(t), t.second_source, ["wholesale_price"], RUN_TS
+        _dimension(t), t.third_source, ["wholesale_price"], RUN_TS
     )
 
 
 @query("q38b_product_type1")
 def product_overwrites(t: Tables) -> DataFrame:
-    return product_history.overwrite_current(_dimension(t), t.second_source, ["skudesc"])
+    return product_history.overwrite_current(_dimension(t), t.third_source, ["skudesc"])
 
 
 @query("q38c_insert_new")
 def product_inserts(t: Tables) -> DataFrame:
-    return product_history.insert_new(_dimension(t), t.second_source, RUN_TS)
+    return product_history.insert_new(_dimension(t), t.third_source, RUN_TS)
 
 
 @query("q38d_mark_deleted")
 def product_deletes(t: Tables) -> DataFrame:
-    return product_history.mark_deleted(_dimension(t), t.second_source)
+    return product_history.mark_deleted(_dimension(t), t.third_source)
+
+
+@query("q38e_product_run")
+def product_run(t: Tables) -> DataFrame:
+    """Two whole runs on products with all their columns, the second on a later delivery."""
+    key = F.substring_index(F.substring_index("sku", "-", 1), "P", -1).cast("bigint")
+    raised = (F.col("wholesale_price") * F.lit("1.1").cast("decimal(2,1)")).cast("decimal(18,4)")
+    merchandise = F.col("merchandise_class")
+    products = t.raw_products
+    second = products.filter(merchandise != "MC1").withColumn(
+        "wholesale_price", F.when(key % 4 == 0, raised).otherwise(F.col("wholesale_price"))
+    )
+    third = products.filter(merchandise != "MC2").withColumn("sku", F.when(key % 97 != 0, F.col("sku")))
+    base = scratch_path(t.spark, "product-run")
+    table = product_history.start_history(products.filter(~merchandise.isin("MC2", "MC3")), HISTORY_START)
+    for source, run_ts in ((second, FIRST_RUN), (third, RUN_TS)):
+        table = product_dimension_run(
+            table, [source], t.brand, ["wholesale_price"], ["skudesc"], base, run_ts, ELIGIBILITY_PARAMS
+        )
+    return table.select(
+        "sku", "skudesc", "wholesale_price", "valid_from", "valid_to", "is_current", "is_deleted", "is_excluded"
+    )
 
 
 @query("q39_inventory_upsert")
 def inventory_upsert(t: Tables) -> DataFrame:
-    before = t.inventory_before.withColumn("as_of", F.lit(dt.date(2000, 12, 31)))
-    after = t.inventory_after.withColumn("as_of", F.lit(dt.date(2001, 6, 30)))
+    before = t.inventory_before.withColumn("as_of", F.lit(STOCK_DATE))
+    after = t.inventory_after.withColumn("as_of", F.lit(dt.date(2001, 12, 31)))
     return inventory.upsert_snapshot(before, after)
 
 
@@ -378,6 +405,19 @@ def store_delta(t: Tables) -> DataFrame:
     return inventory.snapshot_delta(t.inventory_before, t.inventory_after)
 
 
+@query("q40b_store_inventory_run")
+def inventory_run(t: Tables) -> DataFrame:
+    """The delta that a run puts into its history and its files."""
+    before = sinks.stage_table(t.inventory_before, scratch_path(t.spark, "stock"), "before")
+    after = sinks.stage_table(t.inventory_after, scratch_path(t.spark, "stock"), "after")
+    inventory_table = before.withColumn("as_of", F.lit(STOCK_DATE))
+    base = scratch_path(t.spark, "inventory-run")
+    store_inventory_run(
+        inventory_table, before, after.withColumn("as_of", F.lit(dt.date(2001, 12, 31))), base, "INV_", RUN_TS, 7
+    )
+    return sinks.read_history(t.spark, f"{base}/history", before.schema)
+
+
 @query("q41_history_append")
 def history(t: Tables) -> DataFrame:
     base = scratch_path(t.spark, "inventory-history")
@@ -396,17 +436,26 @@ def _decimal_value(df: DataFrame) -> DataFrame:
 @query("q42_refresh_full")
 def full_refresh(t: Tables) -> DataFrame:
     lines = t.sales_lines()
-    return _decimal_value(facts.refreshed_fact(facts.fact_rollup(lines), lines, "full", AS_OF))
+    return _decimal_value(facts.refreshed_fact(None, lines, "full", t.last_date))
+
+
+def _by_month(df: DataFrame) -> DataFrame:
+    return df.withColumn("fact_month", F.trunc("fact_date", "month"))
 
 
 def _window_refresh(t: Tables, mode: str) -> DataFrame:
-    """A stored fact that has only part of the window's lines, then the refresh of that window."""
-    first = facts.refresh_window(mode, AS_OF)
+    """A stored fact, by month, that has only part of the window's lines; then the refresh of the
+    months that the window touches; then the table as stored."""
+    last = t.last_date
+    first = facts.refresh_window(mode, last)
+    path = scratch_path(t.spark, "sales-fact")
     known = (F.col("fact_date") < F.lit(first)) | (F.col("l_returnflag") == "N")
-    stored = facts.fact_rollup(
-        t.sales_lines().filter((F.col("fact_date") <= F.lit(AS_OF)) & known)
-    )
-    return _decimal_value(facts.refreshed_fact(stored, t.sales_lines(first), mode, AS_OF))
+    rows = _by_month(facts.fact_rollup(t.sales_lines().filter(known)))
+    sinks.write_by_date(rows, path, "fact_month")
+    month = first.replace(day=1)
+    fresh = _by_month(facts.fact_rollup(t.sales_lines(month)))
+    sinks.refresh_dates(fresh, path, "fact_month", month, last.replace(day=1))
+    return _decimal_value(t.spark.read.schema(rows.schema).parquet(path).drop("fact_month"))
 
 
 @query("q42b_refresh_incr")
@@ -417,3 +466,25 @@ def incremental_refresh(t: Tables) -> DataFrame:
 @query("q42c_refresh_daily")
 def daily_refresh(t: Tables) -> DataFrame:
     return _window_refresh(t, "daily")
+
+
+@query("q42d_refresh_weekly")
+def weekly_refresh(t: Tables) -> DataFrame:
+    return _window_refresh(t, "weekly")
+
+
+@query("q42e_inventory_fact")
+def inventory_fact(t: Tables) -> DataFrame:
+    """Units that stay: returned lines count against them."""
+    sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
+    lines = t.sales_lines().withColumns(
+        {"units": F.col("units") * sign, "value": F.col("value") * sign.cast("decimal(2,0)")}
+    )
+    return _decimal_value(facts.refreshed_fact(None, lines, "full", t.last_date))
+
+
+@query("q42f_style_fact")
+def style_fact(t: Tables) -> DataFrame:
+    lines = t.sales_lines()
+    found = facts.refreshed_fact(None, lines, "full", t.last_date, keys=facts.STYLE_KEYS)
+    return _decimal_value(found)

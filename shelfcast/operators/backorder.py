@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions import local_date
@@ -125,20 +125,30 @@ def demand_sales(
     return demand_totals(details.join(owed, ["transaction_extid", "sku"], "left_semi"), params)
 
 
+def _share_in_cents(sales: Column, units: Column, quantity: Column) -> Column:
+    """sales * units / quantity in cents, exact before the one rounding."""
+    top = (sales * 100).cast("decimal(18,0)") * (F.abs(units) * 200).cast("decimal(15,0)")
+    bottom = F.abs((quantity * 100).cast("decimal(18,0)"))
+    # twice the quotient and a half, both whole
+    doubled = F.abs(top) + bottom
+    cents = F.call_function("div", doubled, bottom * 2)
+    sign = F.signum(sales) * F.signum(units) * F.signum(quantity)
+    return ((cents * sign.cast("int")).cast("decimal(20,0)") / 100).cast("decimal(18,2)")
+
+
 def backorder_value(
     backordered: DataFrame, demand: DataFrame, products: DataFrame, params: BackorderParams
 ) -> DataFrame:
     """Units owed with their retail and cost value, for products that are not excluded.
 
     The join keeps pairs found on both sides, so ``demand`` may cover more than the backordered
-    pairs: ``demand_totals`` and ``demand_sales`` give the same result here. The retail value
-    multiplies before it divides, which keeps halves of a cent exact.
+    pairs: ``demand_totals`` and ``demand_sales`` give the same result here. The retail value is
+    rounded once, half away from zero, on whole cents; totals of 10^18 cents or 10^12 units and
+    above overflow, which Spark reports.
     """
     priced = products.filter(F.col("is_excluded") == F.lit(False)).select("sku", "wholesale_price")
     units = F.col("backordered_qty")
-    retail = F.round(
-        F.try_divide(F.col("demand_sales") * units, F.col("demand_quantity")), 2
-    )
+    retail = _share_in_cents(F.col("demand_sales"), units, F.col("demand_quantity"))
     return (
         backordered.join(
             demand.filter(F.col("demand_quantity") != 0).drop("catalog_name"),
@@ -154,7 +164,7 @@ def backorder_value(
             "demand_quantity",
             F.col("demand_sales").alias("item_demand_sales"),
             units.alias("pending_backorder_u"),
-            retail.cast("decimal(18,2)").alias("pending_backorder_v"),
+            retail.alias("pending_backorder_v"),
             (F.col("wholesale_price") * units).cast("decimal(18,4)").alias("pending_backorder_c"),
         )
     )

@@ -20,8 +20,8 @@ def combine_sources(sources: Sequence[DataFrame], key: str = "sku") -> DataFrame
 
     An aggregate over the union rather than a chain of full outer joins: one shuffle for any
     number of sources, merged map-side, so a key repeated within a source cannot multiply. Such a
-    repeat resolves to the smallest value. A NULL key identifies nothing, so those rows stay as
-    they are.
+    repeat resolves to the smallest value. A NULL key identifies nothing: those rows stay out and
+    ``keyless_rows`` counts them.
     """
     fields = [c for c in sources[0].columns if c != key]
     ranked = reduce(
@@ -33,10 +33,13 @@ def combine_sources(sources: Sequence[DataFrame], key: str = "sku") -> DataFrame
         known = F.when(F.col(field).isNotNull(), F.struct("source_rank", field))
         return F.min(known)[field].alias(field)
 
-    keyed = (
-        ranked.filter(F.col(key).isNotNull()).groupBy(key).agg(*[first_known(f) for f in fields])
-    )
-    return keyed.unionByName(ranked.filter(F.col(key).isNull()).drop("source_rank"))
+    return ranked.filter(F.col(key).isNotNull()).groupBy(key).agg(*[first_known(f) for f in fields])
+
+
+def keyless_rows(sources: Sequence[DataFrame], key: str = "sku") -> DataFrame:
+    """One row with the number of source rows that a run leaves out for want of a key."""
+    keys = reduce(DataFrame.unionByName, [source.select(key) for source in sources])
+    return keys.agg(F.count(F.when(F.col(key).isNull(), 1)).alias("reject_count"))
 
 
 def _instant(ts: dt.datetime) -> Column:
@@ -110,9 +113,10 @@ def overwrite_current(
 def new_rows(
     dimension: DataFrame, source: DataFrame, run_ts: dt.datetime, key: str = "sku"
 ) -> DataFrame:
-    """An open row for each source row whose key has no current row."""
+    """An open row for each source row whose key is known and has no current row."""
     current = dimension.filter("is_current").select(key)
-    return start_history(source.join(current, key, "left_anti"), run_ts)
+    keyed = source.filter(F.col(key).isNotNull())
+    return start_history(keyed.join(current, key, "left_anti"), run_ts)
 
 
 def insert_new(
@@ -127,10 +131,10 @@ def insert_new(
 def mark_deleted(
     dimension: DataFrame, source: DataFrame, key: str = "sku", flag: str = "is_deleted"
 ) -> DataFrame:
-    """Flag current rows whose key left the source; nothing is removed."""
+    """Flag current rows whose key is not in the source, and only those: a key that came back is
+    not deleted any more. Closed rows keep the flag they had; nothing is removed."""
     present = source.select(key).distinct().withColumn("in_source", F.lit(True))
-    gone = F.col("is_current") & F.col("in_source").isNull()
-    if flag in dimension.columns:
-        gone = gone | F.coalesce(flag, F.lit(False))
+    before = F.coalesce(flag, F.lit(False)) if flag in dimension.columns else F.lit(False)
+    gone = F.when(F.col("is_current"), F.col("in_source").isNull()).otherwise(before)
     columns = [c for c in dimension.columns if c != flag]
     return dimension.join(present, key, "left").select(*columns, gone.alias(flag))

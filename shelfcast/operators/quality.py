@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class FeedCheck:
-    """A feed, its unique key and, per reference column, a one-column frame of known values."""
+    """A feed, its key (unique unless said otherwise) and, per reference column, a one-column frame
+    of known values."""
 
     name: str
     rows: DataFrame
     key: Sequence[str]
     dimensions: Mapping[str, DataFrame] = field(default_factory=dict)
+    unique: bool = True
 
 
 def _any(conditions: Sequence[Column]) -> Column:
@@ -28,27 +30,29 @@ def feed_rejects(feed: FeedCheck) -> DataFrame:
     """One row: feed name and how many of its rows are rejected.
 
     A row is rejected, once, when a key or reference column is NULL, when a reference is not in its
-    dimension, or when its key occurs more than once. Our own definition: only the summary's
-    columns are known. Rows are counted per key and reference before anything is joined, so a key
-    or reference shared by many rows costs one row in the joins.
+    dimension, or when its unique key occurs more than once. Our own definition: only the summary's
+    columns are known. Each reference's distinct values are compared with its dimension first; what
+    the rows are joined to is the values found unknown, usually few or none.
     """
     columns = list(dict.fromkeys([*feed.key, *feed.dimensions]))
     counted = feed.rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
     bad = [F.col(c).isNull() for c in columns]
     for i, (column, dimension) in enumerate(feed.dimensions.items()):
-        known = (
-            dimension.toDF(column)
+        unknown = (
+            feed.rows.select(column)
             .distinct()
-            .withColumn(f"known_{i}", F.lit(True))
+            .join(dimension.toDF(column), column, "left_anti")
+            .withColumn(f"unknown_{i}", F.lit(True))
         )
-        counted = counted.join(known, column, "left")
-        bad.append(F.col(f"known_{i}").isNull())
+        counted = counted.join(unknown, column, "left")
+        bad.append(F.col(f"unknown_{i}").isNotNull())
     per_key = (
         counted.withColumn("n_bad", F.when(_any(bad), F.col("n")).otherwise(0))
         .groupBy(*feed.key)
         .agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad"))
     )
-    rejected = F.when(F.col("n") > 1, F.col("n")).otherwise(F.col("n_bad"))
+    repeated = (F.col("n") > 1) & F.lit(feed.unique)
+    rejected = F.when(repeated, F.col("n")).otherwise(F.col("n_bad"))
     return per_key.agg(F.coalesce(F.sum(rejected), F.lit(0)).alias("reject_count")).select(
         F.lit(feed.name).alias("interface_name"), "reject_count"
     )

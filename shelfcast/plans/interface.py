@@ -7,7 +7,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from shelfcast.functions import surrogate_key
 from shelfcast.operators.backorder import (
     backorder_value,
     backordered_units,
@@ -33,6 +35,7 @@ from shelfcast.params import BackorderParams, LocationParams
 from shelfcast.session import apply_scale_settings
 from shelfcast.sinks import stage_table
 from shelfcast.sinks.feeds import run_stamp
+from shelfcast.sources import live_rows
 
 
 @dataclass(frozen=True)
@@ -132,23 +135,39 @@ def planning_feeds(
     }
 
 
-def planning_rejects(feeds: Mapping[str, DataFrame], catalog: DataFrame) -> DataFrame:
+def planning_checks(
+    feeds: Mapping[str, DataFrame], catalog: DataFrame, locations: DataFrame
+) -> list[FeedCheck]:
+    """What the feeds that others refer to are held to.
+
+    A member is listed once for each PO type. A facility is any live location, stores included. The
+    backorder feed hides the employee and the status that split its rows, so its key repeats.
+    """
+    facilities = live_rows(locations).select(surrogate_key("location", F.col("name")).alias("key"))
+    return [
+        FeedCheck(
+            "location_attributes",
+            feeds["location_attributes"],
+            ["member_id", "dc_po_type_location"],
+        ),
+        FeedCheck(
+            "zip_network",
+            feeds["zip_network"],
+            ["zip_code", "inv_loc_id", "priority"],
+            {"inv_loc_id": facilities},
+        ),
+        FeedCheck(
+            "backorder_sales",
+            feeds["backorder_sales"],
+            ["catalog", "order_source", "order_number", "sku"],
+            {"catalog": catalog.select("catalog_name")},
+            unique=False,
+        ),
+    ]
+
+
+def planning_rejects(
+    feeds: Mapping[str, DataFrame], catalog: DataFrame, locations: DataFrame
+) -> DataFrame:
     """Rejected rows of the feeds that others refer to."""
-    members = feeds["location_attributes"].select("member_id")
-    return reject_summary(
-        [
-            FeedCheck("location_attributes", feeds["location_attributes"], ["member_id"]),
-            FeedCheck(
-                "zip_network",
-                feeds["zip_network"],
-                ["zip_code", "inv_loc_id", "priority"],
-                {"inv_loc_id": members},
-            ),
-            FeedCheck(
-                "backorder_sales",
-                feeds["backorder_sales"],
-                ["catalog", "order_source", "order_number", "sku"],
-                {"catalog": catalog.select("catalog_name")},
-            ),
-        ]
-    )
+    return reject_summary(planning_checks(feeds, catalog, locations))

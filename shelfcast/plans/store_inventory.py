@@ -14,6 +14,7 @@ from shelfcast.sinks.feeds import run_stamp
 
 def store_inventory_run(
     inventory: DataFrame,
+    previous: DataFrame,
     snapshot: DataFrame,
     base: str,
     prefix: str,
@@ -22,13 +23,14 @@ def store_inventory_run(
 ) -> DataFrame:
     """Publish the merged inventory and return it; write the run's delta and history.
 
-    The history is written first and the store files are made from it, so the delta is computed
+    The delta compares the previous snapshot with the new one, so a key that left the stock is
+    reported with quantity 0; the merged inventory keeps such keys. The history is written first and the store files are made from it, so the delta is computed
     once and both agree after a retry.
     """
     apply_scale_settings(inventory.sparkSession)
     run_id = run_stamp(run_ts)
     merged = stage_table(upsert_snapshot(inventory, snapshot), f"{base}/inventory", run_id)
-    delta = snapshot_delta(inventory, merged)
+    delta = snapshot_delta(previous, snapshot)
     history = append_history(delta, f"{base}/history", run_id)
     rows = merged.sparkSession.read.schema(delta.schema).parquet(f"{history}/run_id={run_id}")
     export_store_deltas(rows, f"{base}/files/{run_id}", prefix, run_ts, sequence)

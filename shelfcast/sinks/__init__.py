@@ -13,6 +13,7 @@ from shelfcast.sinks.publish import (
     read_history,
     refresh_dates,
     stage_table,
+    write_by_date,
 )
 from shelfcast.sinks.store_delta import export_store_deltas
 
@@ -30,4 +31,5 @@ __all__ = [
     "read_history",
     "refresh_dates",
     "stage_table",
+    "write_by_date",
 ]

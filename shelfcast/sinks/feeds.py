@@ -19,6 +19,7 @@ FEED_OPTIONS = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
+    "multiLine": True,
 }
 MANIFEST_SCHEMA = "filename string, count bigint"
 

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from shelfcast.session import scratch_path
+
 
 def publish_table(df: DataFrame, base: str, run_id: str) -> str:
     """Write one run's version of a table and return its path. A retry takes a new run id."""
@@ -48,22 +50,24 @@ def refresh_dates(
 ) -> None:
     """Replace the dates from first to last of a table partitioned by date; leave the others.
 
-    Dynamic overwrite touches only dates that still have rows. A date in the window that lost all
-    its rows is emptied on its own; there are at most as many of those as days in the window.
+    The new rows are stored first, so they are computed once. Dynamic overwrite touches only dates
+    that have rows; a date in the window that lost all its rows is emptied on its own before, and
+    there are at most as many of those as days in the window. A rerun after a failure ends the same.
     """
     spark = rollup.sparkSession
     window = F.col(date_column).between(F.lit(first), F.lit(last))
+    fresh = stage_table(rollup.filter(window), scratch_path(spark, "refresh"), "rows")
     stored = spark.read.schema(rollup.schema).parquet(path).filter(window)
     vanished = (
         stored.select(date_column)
         .distinct()
-        .join(rollup.filter(window).select(date_column).distinct(), date_column, "left_anti")
+        .join(fresh.select(date_column).distinct(), date_column, "left_anti")
         .collect()
     )
-    write_by_date(rollup.filter(window), path, date_column, dynamic=True)
     empty = rollup.drop(date_column).limit(0)
     for row in vanished:
         empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{date_column}={row[0]}")
+    write_by_date(fresh, path, date_column, dynamic=True)
 
 
 def write_by_date(df: DataFrame, path: str, date_column: str, dynamic: bool = False) -> None:

@@ -18,7 +18,11 @@ def price_file_name(run_date: dt.date, prefix: str) -> str:
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, so prices are written back exactly as they were delivered."""
     return (
-        spark.read.option("header", True).option("sep", ";").option("escape", '"').csv(path)
+        spark.read.option("header", True)
+        .option("sep", ";")
+        .option("escape", '"')
+        .option("multiLine", True)
+        .csv(path)
     )
 
 

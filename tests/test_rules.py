@@ -285,6 +285,29 @@ def test_value_rounds_half_away_from_zero_and_keeps_local_date(spark):
     assert (row.pending_backorder_u, row.sku) == (3, "a")
 
 
+@pytest.mark.parametrize(
+    ("sales", "quantity", "units", "value"),
+    [
+        ("50.00", "10001.00", 1, "0.00"),
+        ("50.00", "10000.00", 1, "0.01"),
+        ("-50.00", "10000.00", 1, "-0.01"),
+        ("0.01", "0.03", 1, "0.33"),
+        ("99999999999.99", "1.00", 3, "299999999999.97"),
+    ],
+)
+def test_value_is_rounded_once(spark, sales, quantity, units, value):
+    owed, totals, products = backorder_fixture(spark)
+    owed = owed.filter("order_number = 1 AND sku = 'a'").withColumn("backordered_qty", F.lit(units).cast("bigint"))
+    totals = totals.withColumns(
+        {
+            "demand_sales": F.lit(Decimal(sales)).cast("decimal(28,2)"),
+            "demand_quantity": F.lit(Decimal(quantity)).cast("decimal(28,2)"),
+        }
+    )
+    found = backorder.backorder_value(owed, totals, products, PARAMS).first()
+    assert found.pending_backorder_v == Decimal(value)
+
+
 def test_restricting_demand_first_changes_nothing(spark):
     owed, totals, products = backorder_fixture(spark)
     restricted = totals.join(owed.select("order_number", "sku"), ["order_number", "sku"], "left_semi")
@@ -431,8 +454,9 @@ def test_combine_takes_each_field_from_the_first_source_that_has_it(spark):
     second = spark.createDataFrame([("a", "A", 9), ("c", "C", 3), (None, "y", 2)], schema)
     combined = product_history.combine_sources([first, second])
     assert rows(combined) == sorted(
-        [("a", "A", 1), ("b", "B", None), ("c", "C", 3), (None, "x", 1), (None, "y", 2)], key=repr
+        [("a", "A", 1), ("b", "B", None), ("c", "C", 3)], key=repr
     )
+    assert rows(product_history.keyless_rows([first, second])) == [(2,)]
 
 
 def test_track_changes_is_null_safe_and_leaves_closed_rows(spark):
@@ -465,7 +489,16 @@ def test_type1_insert_and_delete(spark):
     marked = product_history.mark_deleted(grown, source)
     assert rows(marked.select("sku", "is_deleted")) == [("a", False), ("b", True), ("c", False)]
     kept = product_history.mark_deleted(marked, base)
-    assert rows(kept.select("sku", "is_deleted")) == [("a", False), ("b", True), ("c", True)]
+    assert rows(kept.select("sku", "is_deleted")) == [("a", False), ("b", False), ("c", True)]
+    nameless = spark.createDataFrame([(None, "x")], schema)
+    assert product_history.new_rows(grown, nameless, RUN).isEmpty()
+
+
+def test_closed_rows_keep_their_flag(spark):
+    schema = "sku string, is_current boolean, is_deleted boolean"
+    versions = spark.createDataFrame([("a", False, True), ("a", True, True), ("b", False, False)], schema)
+    marked = product_history.mark_deleted(versions, spark.createDataFrame([("a",)], "sku string"))
+    assert rows(marked) == [("a", False, True), ("a", True, False), ("b", False, False)]
 
 
 def test_upsert_twice_is_upsert_once(spark):
@@ -494,10 +527,15 @@ def test_daily_refreshes_equal_a_full_one(spark):
         "fact_date date, location_id int, sku string, units bigint, value decimal(18,2)",
     )
     full = facts.refreshed_fact(None, lines, "full", days[-1])
-    table = facts.refreshed_fact(None, lines, "full", days[0])
+    table = facts.refreshed_fact(None, lines.filter(F.col("fact_date") == F.lit(days[0])), "full", days[0])
     for day in days[1:]:
         table = facts.refreshed_fact(table, lines, "daily", day)
     assert rows(table) == rows(full)
+    styles = facts.refreshed_fact(
+        None, lines.withColumn("style", F.lit("s")), "full", days[-1], keys=facts.STYLE_KEYS
+    )
+    assert styles.columns == ["fact_date", "location_id", "style", "units", "value"] and styles.count() == 10
+    assert facts.refresh_window("weekly", days[-1]) == dt.date(2020, 12, 14)
     late = facts.refreshed_fact(
         facts.refreshed_fact(None, lines.filter("sku = 'a'"), "full", days[-1]), lines, "incremental", days[-1]
     )

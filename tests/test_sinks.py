@@ -158,13 +158,13 @@ def test_store_inventory_run(spark, tmp_path):
     old, new = dt.date(2021, 1, 1), dt.date(2021, 1, 2)
     stock = spark.createDataFrame([(1, "a", 5, old), (1, "b", 6, old)], schema)
     snapshot = spark.createDataFrame([(1, "a", 7, new), (2, "c", 1, new)], schema)
-    merged = store_inventory_run(stock, snapshot, str(tmp_path), "INV_", RUN, 3)
+    merged = store_inventory_run(stock, stock.drop("as_of"), snapshot, str(tmp_path), "INV_", RUN, 3)
     assert rows(merged.select("store_id", "sku", "quantity")) == [
         (1, "a", 7), (1, "b", 6), (2, "c", 1)
     ]
     files = spark.read.options(sep="|", header=True).csv(f"{tmp_path}/files/20211014064500")
     assert rows(files.select("store_id", "sku", "quantity", F.col("feed_file").substr(-8, 8))) == [
-        ("1", "a", "7", "DELTA_03"), ("2", "c", "1", "DELTA_03")
+        ("1", "a", "7", "DELTA_03"), ("1", "b", "0", "DELTA_03"), ("2", "c", "1", "DELTA_03")
     ]
 
 
