@@ -1,24 +1,25 @@
 """Removal of repeated runs of lines by a suffix array over line ids.
 
 A text is a sequence of lines: it is cut at line breaks and behind sentence ends (``.``, ``!``, ``?``
-before white space), so that a passage is found whether or not it has lines of its own. A line's id
-is the 64-bit hash of its characters.
+before a space), so that a passage is found whether or not it has lines of its own. A line's id is
+the 64-bit hash of its characters without the white space around it.
 
-Prefix doubling: round k has the ranks of all suffixes by their first 2^k lines, and pairs of ranks
-2^k lines apart, sorted over all documents, rank them by 2^(k+1) lines. Suffixes whose rank nobody
-shares are in no repeated run and leave; the others go on, so each round works on what still
-repeats. A run of any length is told by the ranks of two overlapping halves, and the suffixes with
-the same two ranks are the interval of the suffix array with that common prefix length or more.
+Prefix doubling: suffixes are first ranked by the ids of their first four lines, taken together as
+one number. Then each round has their ranks by the first 2^k lines, and pairs of ranks 2^k lines
+apart, sorted over all documents, rank them by 2^(k+1) lines. Suffixes whose rank nobody shares are
+in no repeated run and leave; the others go on, so each round works on what still repeats. A run of
+any length is told by the ranks of two overlapping halves, and the suffixes with the same two ranks
+are the interval of the suffix array with that common prefix length or more.
 
 A line goes if it is part of a run of ``min_words`` words or more that also starts at an earlier
 place, in order of doc_id, row and line. Two kinds of runs are enough to cover every maximal one:
 from each line the shortest run that has min_words, and those that would lack them without their
-first line. They are compared at the round of their length.
+first line. They are compared at the round of their length; runs of fewer than four lines by the
+number that their ids make.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,9 +30,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import stored, with_row_ids
+from shelfcast.llm.common import mixed, stored, with_row_ids
 
-LINE = re.compile(r"\S[^\n]*?(?:[.!?](?=\s)|(?=\n)|\Z)")
+FIRST_LEVEL = 2  # suffixes are ranked by 2^2 lines to start with
+SUFFIX = "id long, row long, at int, least int, most int, size int, name long"
 
 
 @dataclass(frozen=True)
@@ -39,8 +41,13 @@ class LineParams:
     min_words: int = 50
 
 
+def _cut_up(text: str) -> list[str]:
+    """The text in parts that end with a line; joined by one character each they have its length."""
+    return text.replace(". ", ".\n").replace("! ", "!\n").replace("? ", "?\n").split("\n")
+
+
 def lines_of(text: str | None) -> list[str]:
-    return [line.rstrip() for line in LINE.findall(text)] if text else []
+    return [line for part in _cut_up(text) if (line := part.strip())] if text else []
 
 
 def run_lengths(n_words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -57,17 +64,53 @@ def run_lengths(n_words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.nda
     return np.where(enough, least, 0), np.where(enough, most, -1)
 
 
-def _ids(p: LineParams):
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            rows = []
-            for text in texts:
+def _names(ids: np.ndarray, size: int) -> np.ndarray:
+    """One number for each run of size lines."""
+    n = max(0, len(ids) - size + 1)
+    v = np.full(n, size, dtype=np.uint64)
+    for i in range(size):
+        v = v * np.uint64(0x9E3779B97F4A7C15) + ids[i : i + n]
+    return mixed(v).view(np.int64)
+
+
+def _suffixes(p: LineParams):
+    """From (id, row, text) to the suffixes of four lines or more (size 0) and the compared runs of
+    fewer lines."""
+    first = 1 << FIRST_LEVEL
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for docs in batches:
+            parts: list[tuple[np.ndarray, ...]] = []
+            for i, text in enumerate(docs["text"]):
                 lines = lines_of(text)
-                ids = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in lines], dtype=np.uint64)
-                counts = np.array([len(x.split()) for x in lines], dtype=np.int64)
+                counts = np.fromiter((len(x.split()) for x in lines), dtype=np.int64, count=len(lines))
+                if counts.sum() < p.min_words:
+                    continue
+                ids = np.fromiter(
+                    (xxhash.xxh3_64_intdigest(x.encode()) for x in lines), dtype=np.uint64, count=len(lines)
+                )
                 least, most = run_lengths(counts, p.min_words)
-                rows.append((ids.view(np.int64), least.astype(np.int32), most.astype(np.int32)))
-            yield pd.DataFrame(rows, columns=["rank", "least", "most"])
+                for size in range(first):
+                    names = _names(ids, size or first)
+                    at = np.arange(len(names))
+                    if size:
+                        at = np.flatnonzero((least[: len(names)] <= size) & (size <= most[: len(names)]))
+                        at = at[least[at] > 0]
+                    if len(at):
+                        parts.append((np.full(len(at), i), at, least[at], most[at], np.full(len(at), size), names[at]))
+            if parts:
+                doc, at, least, most, size, name = (np.concatenate(c) for c in zip(*parts, strict=True))
+                yield pd.DataFrame(
+                    {
+                        "id": docs["id"].to_numpy()[doc],
+                        "row": docs["row"].to_numpy()[doc],
+                        "at": at.astype(np.int32),
+                        "least": least.astype(np.int32),
+                        "most": most.astype(np.int32),
+                        "size": size.astype(np.int32),
+                        "name": name,
+                    }
+                )
 
     return run
 
@@ -82,11 +125,9 @@ def _runs(level: int):
         for docs in batches:
             if not len(docs):
                 continue
-            counts = docs["suffixes"].map(len).to_numpy()
-            flat = [s for suffixes in docs["suffixes"] for s in suffixes]
+            counts = docs["ats"].map(len).to_numpy()
             at, rank, least, most = (
-                np.fromiter((s[c] for s in flat), dtype=np.int64, count=len(flat))
-                for c in ("at", "rank", "least", "most")
+                np.concatenate(docs[c].to_list()).astype(np.int64) for c in ("ats", "ranks", "leasts", "mosts")
             )
             doc = np.repeat(np.arange(len(docs), dtype=np.int64), counts)
             place = (doc << 40) + at
@@ -140,79 +181,77 @@ def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def repeated_runs(rows: DataFrame, params: LineParams) -> DataFrame:
     """Rows (id, row, at, size): runs of ``size`` lines from line ``at`` that also start earlier;
     from rows (id, row, text)."""
-    ids = F.pandas_udf(_ids(params), "rank array<long>, least array<int>, most array<int>")
-    texts = stored(rows.select("id", "row", ids(F.col("text")).alias("l")).select("id", "row", "l.*"), "lines")
-    lines = texts.select(
-        "id", "row", F.posexplode(F.arrays_zip("rank", "least", "most")).alias("at", "l")
-    ).select("id", "row", F.col("at").cast("long").alias("at"), "l.*")
-    shared = lines.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank")
-    active = stored(lines.join(shared, "rank", "left_semi"), "suffixes")
-    longest = active.agg(F.max("most")).first()[0] or 0
-    repeated = []
-    level = 0
-    while (1 << level) <= longest:
+    begun = stored(rows.mapInPandas(_suffixes(params), SUFFIX), "lines")
+    shared = begun.groupBy("size", "name").agg(F.count("*").alias("n")).where("n > 1")
+    hits = stored(begun.join(shared.select("size", "name"), ["size", "name"], "left_semi"), "suffixes")
+    repeated = [
+        _later(
+            hits.where("size > 0").withColumnRenamed("name", "a").withColumn("b", F.lit(0).cast("long")),
+            ["size", "a"],
+        )
+    ]
+    active = hits.where("size = 0").withColumnRenamed("name", "rank")
+    level = FIRST_LEVEL
+    n_sorts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while (1 << level) <= (active.agg(F.max("most")).first()[0] or 0):
         suffixes = active.groupBy("id", "row").agg(
-            F.collect_list(F.struct("at", "rank", "least", "most")).alias("suffixes")
+            *[F.collect_list(c).alias(f"{c}s") for c in ("at", "rank", "least", "most")]
         )
         compared = stored(
             suffixes.mapInPandas(
                 _runs(level),
-                "id long, row long, at long, least int, most int, size long, a long, b long",
+                "id long, row long, at int, least int, most int, size int, a long, b long",
             ),
             "runs",
         )
-        groups = stored(
-            compared.groupBy("size", "a", "b")
-            .agg(F.count("*").alias("n"), F.min(F.struct("id", "row", "at")).alias("first"))
-            .where("n > 1")
-            .drop("n"),
-            "intervals",
-        )
-        later = (
-            compared.where("size > 0")
-            .join(groups.where("size > 0"), ["size", "a", "b"])
-            .where(F.struct("id", "row", "at") != F.col("first"))
-        )
-        repeated.append(stored(later.select("id", "row", "at", "size"), "repeated"))
-        n_sorts = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        repeated.append(_later(compared.where("size > 0"), ["size", "a", "b"]))
+        pairs = compared.where("size = 0")
         ranked = stored(
-            groups.where("size = 0")
+            pairs.groupBy("a", "b")
+            .agg(F.count("*").alias("n"))
+            .where("n > 1")
             .select("a", "b")
-            .repartitionByRange(int(n_sorts), "a", "b")
+            .repartitionByRange(n_sorts, "a", "b")
             .sortWithinPartitions("a", "b")
             .mapInPandas(_numbered, "a long, b long, rank long"),
             "ranks",
         )
         active = stored(
-            compared.where("size = 0")
-            .join(ranked, ["a", "b"])
-            .select("rank", "id", "row", "at", "least", "most"),
-            "suffixes",
+            pairs.join(ranked, ["a", "b"]).select("rank", "id", "row", "at", "least", "most"), "suffixes"
         )
         level += 1
-        longest = active.agg(F.max("most")).first()[0] or 0
-    if not repeated:
-        return rows.select("id", "row", F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("size")).limit(0)
     found = repeated[0]
     for more in repeated[1:]:
         found = found.unionByName(more)
     return found
 
 
+def _later(runs: DataFrame, key: list[str]) -> DataFrame:
+    """The runs of each interval (rows with the same key) but its first."""
+    place = F.struct("id", "row", "at")
+    first = runs.groupBy(*key).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = runs.join(first.drop("n"), key).where(place != F.col("first"))
+    return stored(later.select("id", "row", "at", "size"), "repeated")
+
+
 def cut_text(text: str | None, at: np.ndarray, size: np.ndarray) -> tuple[str | None, int, int]:
-    """The text without the runs, its number of lines before, and the number removed."""
+    """The text without the runs, its number of lines before, and the number removed. A line goes
+    with the white space behind it."""
     if not text:
         return text, 0, 0
-    starts = [m.start() for m in LINE.finditer(text)]
-    gone = np.zeros(len(starts) + 1, dtype=np.int64)
+    parts = _cut_up(text)
+    solid = [n for n, part in enumerate(parts) if part.strip()]
+    gone = np.zeros(len(solid) + 1, dtype=np.int64)
     np.add.at(gone, at, 1)
     np.add.at(gone, at + size, -1)
     gone = np.cumsum(gone)[:-1] > 0
     if not gone.any():
-        return text, len(starts), 0
-    ends = starts[1:] + [len(text)]
+        return text, len(solid), 0
+    begins = np.concatenate([[0], np.cumsum([len(part) + 1 for part in parts])])
+    starts = [int(begins[n]) + len(parts[n]) - len(parts[n].lstrip()) for n in solid]
+    ends = [*starts[1:], len(text)]
     kept = [text[s:e] for s, e, g in zip(starts, ends, gone, strict=True) if not g]
-    return (text[: starts[0]] + "".join(kept)).rstrip(), len(starts), int(gone.sum())
+    return (text[: starts[0]] + "".join(kept)).rstrip(), len(solid), int(gone.sum())
 
 
 def _cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:

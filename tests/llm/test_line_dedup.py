@@ -49,6 +49,7 @@ def test_random_texts_equal_a_direct_search(spark):
         lines = [rng.choice(["a b.", "c.", "d e f!", "g", "h i j k l m."]) for _ in range(rng.randint(0, 14))]
         rows.append((i, rng.choice(["\n", "\n\n"]).join(lines)))
     check(spark, rows, 7)
+    check(spark, rows, 16)
     check(spark, rows, 1)
 
 
