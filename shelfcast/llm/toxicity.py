@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import stored
+
 WORD = re.compile(r"\w+")
 
 
@@ -192,11 +194,18 @@ def fit_chain(texts: Sequence[str | None], labels: np.ndarray, p: ToxicityParams
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, p: ToxicityParams) -> tuple[list, np.ndarray]:
     """Texts and labels (columns doc_id and one per category) of max_rows documents at most; rows
-    without an id or any label are left out, of repeated ids the largest labels and text count."""
+    without an id or any label are left out, of repeated ids the largest labels and text count.
+
+    The sample is drawn from ids; its max_rows ids at most are then broadcast to the texts, which
+    are read once and not shuffled.
+    """
     usable = labels.where(F.col("doc_id").isNotNull()).select("doc_id", *p.categories).dropna()
     once = usable.groupBy("doc_id").agg(*[F.max(F.col(c).cast("int")).alias(c) for c in p.categories])
-    texts = docs.select("doc_id", "text").join(once, "doc_id")
-    picked = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(p.max_rows).collect()
+    present = once.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    chosen = stored(present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.max_rows), "labelled")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one_each = texts.groupBy("doc_id", *p.categories).agg(F.max("text").alias("text"))
+    picked = sorted(one_each.collect(), key=lambda r: r["doc_id"])
     y = np.array([[r[c] for c in p.categories] for r in picked], dtype=np.int64)
     return [r["text"] for r in picked], y.reshape(len(picked), len(p.categories)) > 0
 
