@@ -5,7 +5,8 @@ texts as places in that list. Word counts are summed over the blocks and sent ba
 task needs the whole vocabulary.
 
 Words with a share of ``min_share`` of the training tokens or more (so 1 / min_share at most), and
-``min_count`` at least, are put into ``n_classes`` classes by exchange: in each round every block counts its words' neighbours
+``min_count`` at least, are put into ``n_classes`` classes, to start with by the one of the n_classes most frequent words that it
+stands next to most, for that word's count. Then the exchange: in each round every block counts its words' neighbours
 by class, the counts meet by range of words, and each word of the half whose turn it is moves to the
 class that raises the likelihood of class bigrams most, given the others' classes. Rarer words form
 classes by the power of two of their count, unknown words a class of their own.
@@ -247,12 +248,28 @@ def exchanged(
     return np.where(stay, own, best)
 
 
-def learnt_classes(blocks: DataFrame, words: np.ndarray, p: ClassLmParams) -> tuple[Model, np.ndarray]:
+def first_class(near: np.ndarray, own: np.ndarray, frequency: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """For each word the class of the frequent word it stands next to most, by its frequency; a
+    frequent word stays in its class (own below the number of classes), others without such a
+    neighbour go by spread."""
+    n = len(frequency)
+    rate = near[:, :n] / np.maximum(frequency, 1)
+    found = np.where(rate.max(axis=1) > 0, rate.argmax(axis=1), spread % n)
+    return np.where(own < n, own, found)
+
+
+def learnt_classes(
+    blocks: DataFrame, words: np.ndarray, counts: np.ndarray, p: ClassLmParams
+) -> tuple[Model, np.ndarray]:
     """The exchange. words come sorted; what the driver holds of it is bounded by 1 / min_share."""
-    spread = (words.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-    classes = (spread % np.uint64(p.n_classes)).astype(np.int64)
-    turn = ((spread // np.uint64(p.n_classes)) % np.uint64(2)).astype(np.int64)
-    for r in range(p.rounds + 1):
+    spread = ((words.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64)
+    turn = (spread // p.n_classes) % 2
+    top = np.lexsort((words, -counts))[: p.n_classes]
+    classes = np.full(len(words), p.n_classes, dtype=np.int64)
+    classes[top] = np.arange(len(top))
+    frequency = np.zeros(p.n_classes)
+    frequency[: len(top)] = counts[top]
+    for r in range(-1, p.rounds + 1):
         model = Model(words, classes, p.n_classes)
         c = model.total
         counted = (
@@ -270,27 +287,33 @@ def learnt_classes(blocks: DataFrame, words: np.ndarray, p: ClassLmParams) -> tu
         if first is None:
             return model, np.zeros((c, c), dtype=np.int64)
         pairs = _array(first[1], np.int64).reshape(c, c)
-        sent = blocks.sparkSession.sparkContext.broadcast((classes, pairs))
+        sent = blocks.sparkSession.sparkContext.broadcast((classes, pairs, spread))
+        starting = r < 0
 
         def moved(batches: Iterator[pd.DataFrame], n: int = p.n_classes, size: int = p.range_words):
-            own, between = sent.value
+            own, between, spreads = sent.value
             for rows in batches:
                 for k, counts in zip(rows["range"], rows["counts"], strict=True):
                     both = _array(counts, np.int64).reshape(-1, 2 * len(between))
                     mine = own[k * size : k * size + len(both)]
                     lefts, rights = np.hsplit(both.astype(np.float64), 2)
-                    new = [
-                        exchanged(lefts[i : i + 256], rights[i : i + 256], mine[i : i + 256], between, n)
-                        for i in range(0, len(both), 256)
-                    ]
                     at = np.arange(k * size, k * size + len(both), dtype=np.int64)
+                    if starting:
+                        new = [first_class(lefts + rights, mine, frequency, spreads[at])]
+                    else:
+                        new = [
+                            exchanged(lefts[i : i + 256], rights[i : i + 256], mine[i : i + 256], between, n)
+                            for i in range(0, len(both), 256)
+                        ]
                     yield pd.DataFrame({"at": at, "class": np.concatenate(new)})
 
         found = counted.where("range >= 0").mapInPandas(moved, "at long, class long").toPandas()
         at, new = found["at"].to_numpy(dtype=np.int64), found["class"].to_numpy(dtype=np.int64)
         classes = classes.copy()
-        mine = turn[at] == r % 2
+        mine = np.ones(len(at), dtype=bool) if starting else turn[at] == r % 2
         classes[at[mine]] = new[mine]
+        # a word without neighbours among the training tokens has no counts and goes by spread
+        classes = np.where(classes < p.n_classes, classes, spread % p.n_classes)
     raise AssertionError
 
 
@@ -399,7 +422,8 @@ def class_lm_scores(docs: DataFrame, params: ClassLmParams) -> DataFrame:
         "counted",
     )
     frequent = counts.where(F.col("n") >= F.lit(max(p.min_count, p.min_share * n)))  # 1 / min_share at most
-    words = np.sort(frequent.select("word").toPandas()["word"].to_numpy(dtype=np.int64))
-    model, pairs = learnt_classes(blocks, words, p)
+    listed_words = frequent.select("word", "n").toPandas().sort_values("word")
+    words, sizes = (listed_words[c].to_numpy(dtype=np.int64) for c in ("word", "n"))
+    model, pairs = learnt_classes(blocks, words, sizes, p)
     logs = transition_logs(pairs, corpus, p.prior)
     return blocks.mapInPandas(_scores(model, logs, pairs.sum(axis=0), corpus), SCORES)
