@@ -6,10 +6,20 @@ they are, so stages can be left out or put elsewhere. ``sf_dir`` is where the la
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import documents, new_name, of_files, stored, with_row_ids
+from shelfcast.llm.common import (
+    documents,
+    new_name,
+    of_files,
+    stored,
+    with_row_ids,
+    with_settings,
+)
 from shelfcast.llm.line_dedup import LineParams, dedup_lines
 from shelfcast.llm.mixing import mix_slots, root_weights
 from shelfcast.llm.near_dups import NearParams, near_duplicates
@@ -23,6 +33,9 @@ from shelfcast.llm.toxicity import (
 )
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
 def _columns(docs: DataFrame, changed: dict[str, Column] | None = None) -> list[Column]:
     """The columns of docs out of the struct ``doc``, some of them changed."""
     changed = changed or {}
@@ -73,12 +86,20 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return pack(docs, PackingParams(), stored_order=of_files(docs))
 
 
-STAGES = [
-    ("toxicity", drop_toxic),
-    ("line_dedup", drop_repeated_lines),
-    ("near_duplicates", drop_near_copies),
-    ("mixing", mix_sources),
-    ("packing", pack_documents),
+def _set(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(with_settings(spark), docs, sf_dir)
+
+    return run_stage
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", _set(drop_toxic)),
+    ("line_dedup", _set(drop_repeated_lines)),
+    ("near_duplicates", _set(drop_near_copies)),
+    ("mixing", _set(mix_sources)),
+    ("packing", _set(pack_documents)),
 ]
 
 #: Learning and iteration are not SQL; the stages are tested against brute force.

@@ -24,6 +24,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +33,9 @@ from shelfcast.llm.common import hashed_words, stored
 
 #: Stands for the end of a text among the word hashes.
 END = np.uint64(0x00454E44)
-RARE = 64  # classes of rare words, by power of two of the count
+RARE = 40  # classes of rare words, by power of two of the count
 BLOCK = (
-    "block string, held_out binary, doc_ids binary, no_id binary, lengths binary, places binary, "
+    "block long, held_out binary, doc_ids binary, no_id binary, lengths binary, places binary, "
     "words binary, trained binary"
 )
 
@@ -49,10 +51,17 @@ class ClassLmParams:
     range_words: int = 1024
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def _array(value: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value), dtype=kind)
+
+
 def _blocks(p: ClassLmParams):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import uuid
-
+        number_of_block = TaskContext.get().partitionId() << 32
         rows: list[tuple] = []
         tokens: list[np.ndarray] = []
 
@@ -66,16 +75,18 @@ def _blocks(p: ClassLmParams):
             lengths = np.array([len(t) for t in tokens], dtype=np.int64)
             held = np.array([r[1] for r in rows], dtype=np.bool_)
             trained = np.bincount(places[np.repeat(~held, lengths)], minlength=len(order))
+            nonlocal number_of_block
+            number_of_block += 1
             return pd.DataFrame(
                 {
-                    "block": [uuid.uuid4().hex],
-                    "held_out": [held.tobytes()],
-                    "doc_ids": [np.array([r[0] or 0 for r in rows], dtype=np.int64).tobytes()],
-                    "no_id": [np.array([r[0] is None for r in rows], dtype=np.bool_).tobytes()],
-                    "lengths": [lengths.tobytes()],
-                    "places": [places.astype(np.int32).tobytes()],
-                    "words": [distinct[order].view(np.int64).tobytes()],
-                    "trained": [trained.astype(np.int64).tobytes()],
+                    "block": [number_of_block],
+                    "held_out": [_packed(held)],
+                    "doc_ids": [_packed(np.array([r[0] or 0 for r in rows], dtype=np.int64))],
+                    "no_id": [_packed(np.array([r[0] is None for r in rows], dtype=np.bool_))],
+                    "lengths": [_packed(lengths)],
+                    "places": [_packed(places.astype(np.int32))],
+                    "words": [_packed(distinct[order].view(np.int64))],
+                    "trained": [_packed(trained.astype(np.int64))],
                 }
             )
 
@@ -95,10 +106,6 @@ def _blocks(p: ClassLmParams):
     return run
 
 
-def _array(value: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(value, dtype=kind)
-
-
 def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for blocks in batches:
         for b in blocks.itertuples():
@@ -113,25 +120,37 @@ def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
-def _with_counts(blocks: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-    """A block with the corpus counts of its words in place of their hashes' own counts."""
-    if not len(blocks):
-        return pd.DataFrame({c: [] for c in COUNTED_COLUMNS}, dtype=object)
-    n = np.zeros(len(_array(blocks["words"].iloc[0], np.int64)), dtype=np.int64)
-    n[counts["place"].to_numpy()] = counts["n"].to_numpy()
-    return blocks.drop(columns="trained").assign(counts=[n.tobytes()])[COUNTED_COLUMNS]
+def _with_counts(frequent: np.ndarray):
+    """A block with its words' counts in the corpus and their places among the frequent words (-1
+    for others) instead of their hashes and counts in the block."""
 
+    def run(blocks: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        if not len(blocks):
+            return pd.DataFrame({c: [] for c in COUNTED_COLUMNS}, dtype=object)
+        n = _array(blocks["trained"].iloc[0], np.int64).copy()
+        n[counts["place"].to_numpy()] = counts["n"].to_numpy()
+        known = places_among(frequent, _array(blocks["words"].iloc[0], np.int64))
+        return blocks.assign(known=[_packed(known.astype(np.int32))], counts=[_packed(n)])[COUNTED_COLUMNS]
+
+    return run
 
-COUNTED = BLOCK.replace("trained binary", "counts binary")
+
+def places_among(sorted_words: np.ndarray, words: np.ndarray) -> np.ndarray:
+    if not len(sorted_words):
+        return np.full(len(words), -1)
+    at = np.minimum(np.searchsorted(sorted_words, words), len(sorted_words) - 1)
+    return np.where(sorted_words[at] == words, at, -1)
+
+
+COUNTED = BLOCK.replace("words binary, trained binary", "known binary, counts binary")
 COUNTED_COLUMNS = [c.split()[0] for c in COUNTED.split(", ")]
 
 
 @dataclass(frozen=True)
 class Model:
-    """words: sorted hashes of the words with learnt classes, classes: theirs; other words by count.
-    Classes from n_classes on are those of rare words, the last one that of unknown words."""
+    """Classes of the frequent words; other words are classed by count. Classes from n_classes on
+    are those of rare words, the last one that of unknown words."""
 
-    words: np.ndarray
     classes: np.ndarray
     n_classes: int
 
@@ -139,18 +158,10 @@ class Model:
     def total(self) -> int:
         return self.n_classes + RARE + 1
 
-    def classes_of(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def classes_of(self, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
         rare = self.n_classes + np.log2(np.maximum(counts, 1)).astype(np.int64)
         out = np.where(counts > 0, np.minimum(rare, self.total - 2), self.total - 1)
-        at = self.places_of(words)
-        return np.where(at >= 0, self.classes[at] if len(self.classes) else out, out)
-
-    def places_of(self, words: np.ndarray) -> np.ndarray:
-        """Places among the words with learnt classes, -1 for others."""
-        if not len(self.words):
-            return np.full(len(words), -1)
-        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, at, -1)
+        return np.where(known >= 0, self.classes[known] if len(self.classes) else out, out)
 
 
 def _previous(lengths: np.ndarray, n: int) -> np.ndarray:
@@ -165,15 +176,15 @@ def _neighbours(model: Model, p: ClassLmParams):
     by left and right class, and as range -1 those of class bigrams and of each class."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c, f = model.total, len(model.words)
+        c, f = model.total, len(model.classes)
         left, right = np.zeros(f * c, dtype=np.int64), np.zeros(f * c, dtype=np.int64)
         pairs = np.zeros(c * c, dtype=np.int64)
         any_block = False
         for blocks in batches:
             for b in blocks.itertuples():
                 any_block = True
-                words, lengths = _array(b.words, np.int64), _array(b.lengths, np.int64)
-                cls, known = model.classes_of(words, _array(b.counts, np.int64)), model.places_of(words)
+                known, lengths = _array(b.known, np.int32), _array(b.lengths, np.int64)
+                cls = model.classes_of(known, _array(b.counts, np.int64))
                 places = _array(b.places, np.int32)
                 now = cls[places]
                 end = now[-1]  # a block's last token is an end
@@ -188,12 +199,12 @@ def _neighbours(model: Model, p: ClassLmParams):
                 use = train & (prior >= 0)
                 right += np.bincount((prior * c + now)[use], minlength=f * c)
         if any_block:
-            yield pd.DataFrame({"range": [-1], "counts": [pairs.tobytes()]})
+            yield pd.DataFrame({"range": [-1], "counts": [_packed(pairs)]})
             both = np.hstack([left.reshape(f, c), right.reshape(f, c)]) if f else np.zeros((0, 2 * c))
             for i in range(0, f, p.range_words):
                 part = both[i : i + p.range_words].astype(np.int64)
                 if part.any():
-                    yield pd.DataFrame({"range": [i // p.range_words], "counts": [part.tobytes()]})
+                    yield pd.DataFrame({"range": [i // p.range_words], "counts": [_packed(part)]})
 
     return run
 
@@ -206,12 +217,12 @@ def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part = _array(counts, np.int64)
             if r != now:
                 if now is not None:
-                    yield pd.DataFrame({"range": [now], "counts": [total.tobytes()]})
+                    yield pd.DataFrame({"range": [now], "counts": [_packed(total)]})
                 now, total = r, part.copy()
             else:
                 total += part
     if now is not None:
-        yield pd.DataFrame({"range": [now], "counts": [total.tobytes()]})
+        yield pd.DataFrame({"range": [now], "counts": [_packed(total)]})
 
 
 def _growth(base: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -270,7 +281,7 @@ def learnt_classes(
     frequency = np.zeros(p.n_classes)
     frequency[: len(top)] = counts[top]
     for r in range(-1, p.rounds + 1):
-        model = Model(words, classes, p.n_classes)
+        model = Model(classes, p.n_classes)
         c = model.total
         counted = (
             blocks.mapInPandas(_neighbours(model, p), "range int, counts binary")
@@ -344,9 +355,9 @@ def _scores(model: Model, logs: np.ndarray, class_totals: np.ndarray, corpus: Co
         floor = corpus.n + 0.5 * (corpus.v + 1)
         for blocks in batches:
             for b in blocks.itertuples():
-                words, counts = _array(b.words, np.int64), _array(b.counts, np.int64)
+                counts = _array(b.counts, np.int64)
                 lengths, places = _array(b.lengths, np.int64), _array(b.places, np.int32)
-                cls = model.classes_of(words, counts)
+                cls = model.classes_of(_array(b.known, np.int32), counts)
                 within = np.log10(np.maximum(counts, 1) / np.maximum(class_totals[cls], 1))
                 emission = np.where(counts > 0, within, 0.0)
                 base = np.log10((counts + 0.5) / floor)
@@ -356,7 +367,7 @@ def _scores(model: Model, logs: np.ndarray, class_totals: np.ndarray, corpus: Co
                 starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
                 each = logs[earlier, now] + emission[places]
                 score = np.add.reduceat(each, starts)
-                known = (counts > 0)[places]
+                seen = (counts > 0)[places]
                 no_id = _array(b.no_id, np.bool_)
                 ids = pd.array(_array(b.doc_ids, np.int64).copy(), dtype="Int64")
                 ids[no_id] = pd.NA
@@ -365,12 +376,12 @@ def _scores(model: Model, logs: np.ndarray, class_totals: np.ndarray, corpus: Co
                         "doc_id": ids,
                         "held_out": _array(b.held_out, np.bool_),
                         "n_tokens": lengths,
-                        "n_known": np.add.reduceat(known.astype(np.int64), starts),
+                        "n_known": np.add.reduceat(seen.astype(np.int64), starts),
                         "train_tokens": corpus.n,
                         "base_score": np.add.reduceat(base[places], starts),
                         "score": score,
-                        "known_base_score": np.add.reduceat(np.where(known, base[places], 0), starts),
-                        "known_score": np.add.reduceat(np.where(known, each, 0), starts),
+                        "known_base_score": np.add.reduceat(np.where(seen, base[places], 0), starts),
+                        "known_score": np.add.reduceat(np.where(seen, each, 0), starts),
                         "perplexity": 10 ** np.minimum(-score / lengths, 300),
                     }
                 )
@@ -401,11 +412,8 @@ def class_lm_scores(docs: DataFrame, params: ClassLmParams) -> DataFrame:
         F.col("doc_id").cast("string").alias("id"), (F.crc32(id_text) % 5 == 1).alias("held_out"), "text"
     )
     raw = stored(rows.mapInPandas(_blocks(p), BLOCK), "blocks")
-    listed = stored(
-        raw.select("block", "words", "trained").mapInPandas(
-            _words, "block string, place int, word long, trained long"
-        ),
-        "words",
+    listed = raw.select("block", "words", "trained").mapInPandas(
+        _words, "block long, place int, word long, trained long"
     )
     counts = stored(
         listed.where("trained > 0").groupBy("word").agg(F.sum("trained").alias("n")), "counts"
@@ -416,14 +424,18 @@ def class_lm_scores(docs: DataFrame, params: ClassLmParams) -> DataFrame:
         F.count(F.when(F.col("n") == 1, 1)),
     ).first()
     corpus = Corpus(n, v, once)
-    sent_back = listed.select("block", "place", "word").join(counts, "word").select("block", "place", "n")
-    blocks = stored(
-        raw.groupBy("block").cogroup(sent_back.groupBy("block")).applyInPandas(_with_counts, COUNTED),
-        "counted",
-    )
     frequent = counts.where(F.col("n") >= F.lit(max(p.min_count, p.min_share * n)))  # 1 / min_share at most
     listed_words = frequent.select("word", "n").toPandas().sort_values("word")
     words, sizes = (listed_words[c].to_numpy(dtype=np.int64) for c in ("word", "n"))
+    # a word that only one block has keeps the block's own count
+    sent_back = listed.join(counts, "word").where("n <> trained").select("block", "place", "n")
+    counted = _with_counts(words)
+    blocks = stored(
+        raw.groupBy("block")
+        .cogroup(sent_back.groupBy("block"))
+        .applyInPandas(lambda a, b: counted(a, b), COUNTED),
+        "counted",
+    )
     model, pairs = learnt_classes(blocks, words, sizes, p)
     logs = transition_logs(pairs, corpus, p.prior)
     return blocks.mapInPandas(_scores(model, logs, pairs.sum(axis=0), corpus), SCORES)

@@ -15,18 +15,32 @@ from shelfcast.session import scratch_path
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Smaller Arrow batches bound what a Python worker holds of long texts. In Spark 4.1 a union that
+#: keeps its inputs' partitioning can fail when AQE changes one of them.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.unionOutputPartitioning": "false",
+}
+
+
+def with_settings(spark: SparkSession) -> SparkSession:
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return with_settings(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return with_settings(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, written once to the shared folder and read back: lineage ends here."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -61,7 +75,7 @@ class _WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 400_000 and len(word) < 64:
+        if len(self) < 200_000 and len(word) < 64:
             self[word] = value
         return value
 
