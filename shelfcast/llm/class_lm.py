@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import hashed_words, stored
+from shelfcast.llm.common import hashed_words, ship_code, stored
 
 #: Stands for the end of a text among the word hashes.
 END = np.uint64(0x00454E44)
@@ -407,6 +407,7 @@ def class_lm_scores(docs: DataFrame, params: ClassLmParams) -> DataFrame:
     are scored each for itself; other columns are ignored; an empty table gives no rows.
     """
     p = params
+    ship_code(docs.sparkSession)
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("string").alias("id"), (F.crc32(id_text) % 5 == 1).alias("held_out"), "text"

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -10,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import shelfcast
 from shelfcast.session import scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -23,7 +27,26 @@ SETTINGS = {
 }
 
 
+_shipped_to: list[str] = []
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that functions in tasks can be
+    imported wherever the driver got the package from."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped_to:
+        package = Path(shelfcast.__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="shelfcast-code-")  # on the driver, which serves the file
+        archive = Path(folder) / "shelfcast_code.zip"
+        with zipfile.ZipFile(archive, "w") as packed:
+            for path in sorted(package.rglob("*.py")):
+                packed.write(path, path.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped_to.append(app)
+
+
 def with_settings(spark: SparkSession) -> SparkSession:
+    ship_code(spark)
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark

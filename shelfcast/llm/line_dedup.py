@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import mixed, stored, with_row_ids
+from shelfcast.llm.common import mixed, ship_code, stored, with_row_ids
 
 FIRST_LEVEL = 2  # suffixes are ranked by 2^2 lines to start with
 SUFFIX = "id long, row long, at int, least int, most int, size int, name long"
@@ -275,6 +275,7 @@ def dedup_lines(docs: DataFrame, params: LineParams) -> DataFrame:
     runs that are long enough. Within a run that overlaps its own copy, all behind the first period
     goes. An empty table gives no rows.
     """
+    ship_code(docs.sparkSession)
     rows = with_row_ids(docs)
     runs = repeated_runs(rows.select("id", "row", F.col("doc.text").alias("text")), params)
     # one (at, size) for each start: the longest covers the others

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import components, hashed_words, mixed, stored
+from shelfcast.llm.common import components, hashed_words, mixed, ship_code, stored
 
 
 @dataclass(frozen=True)
@@ -176,6 +176,7 @@ def near_duplicates(docs: DataFrame, params: NearParams) -> DataFrame:
     are ignored; an empty table gives no rows.
     """
     p = params
+    ship_code(docs.sparkSession)
     signed_text = F.pandas_udf(_signed(p), "n_shingles long, class binary, sig array<int>")
     signed = stored(
         docs.select("doc_id", signed_text(F.col("text")).alias("s")).select("doc_id", "s.*"), "signed"

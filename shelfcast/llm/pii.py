@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import ship_code
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("login", "account", "secret")
 KIND_ORDER = {k: i for i, k in enumerate(BASE_KINDS + ADDED_KINDS)}
@@ -184,5 +186,6 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 
     Repeated rows stay repeated, other columns are ignored, an empty table gives no rows.
     """
+    ship_code(docs.sparkSession)
     found = F.pandas_udf(_found, FOUND)
     return docs.select("doc_id", found(F.col("text")).alias("found")).select("doc_id", "found.*")

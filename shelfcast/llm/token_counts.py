@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import ship_code
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Stretches that a worker remembers; when it is full, new ones are counted and not kept.
@@ -113,6 +115,7 @@ def with_token_counts(docs: DataFrame, vocabulary: Vocabulary, name: str = "n_to
     The vocabulary is broadcast; its size is that of its file, whatever the documents. Other columns
     and repeated rows stay; a column of the same name is replaced.
     """
+    ship_code(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     @F.pandas_udf("long")

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import stored
+from shelfcast.llm.common import ship_code, stored
 
 WORD = re.compile(r"\w+")
 
@@ -218,6 +218,7 @@ def classifier_chain(docs: DataFrame, labels: DataFrame, params: ToxicityParams)
 def with_chances(docs: DataFrame, chain: Chain, params: ToxicityParams, name: str) -> DataFrame:
     """docs with a struct column of each category's probability; all rows and columns stay, a null
     or empty text is scored as one without words, a column of that name is replaced."""
+    ship_code(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(chain)
     categories = list(params.categories)
 

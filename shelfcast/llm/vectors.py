@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import stored
+from shelfcast.llm.common import ship_code, stored
 
 
 def usable(vectors: DataFrame, zero_too: bool) -> DataFrame:
     """Rows (vec_id, vec array<double>) with an id whose vector has components that are all finite,
     not all zero unless zero_too, and as many as most vectors have (the larger number of equals)."""
+    ship_code(vectors.sparkSession)
     rows = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vec")
     )
