@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm.common import mixed, ship_code, stored, with_row_ids
 
 FIRST_LEVEL = 2  # suffixes are ranked by 2^2 lines to start with
+RUN = ("id", "row", "at", "size")
 SUFFIX = "id long, row long, at int, least int, most int, size int, name long"
 
 
@@ -182,18 +183,20 @@ def repeated_runs(rows: DataFrame, params: LineParams) -> DataFrame:
     """Rows (id, row, at, size): runs of ``size`` lines from line ``at`` that also start earlier;
     from rows (id, row, text)."""
     begun = stored(rows.mapInPandas(_suffixes(params), SUFFIX), "lines")
-    shared = begun.groupBy("size", "name").agg(F.count("*").alias("n")).where("n > 1")
-    hits = stored(begun.join(shared.select("size", "name"), ["size", "name"], "left_semi"), "suffixes")
-    repeated = [
-        _later(
-            hits.where("size > 0").withColumnRenamed("name", "a").withColumn("b", F.lit(0).cast("long")),
-            ["size", "a"],
-        )
-    ]
+    shared = begun.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    # the distinct names are the side that is hashed; the suffixes need no sort
+    hits = stored(begun.join(shared.hint("shuffle_hash"), "name", "left_semi"), "suffixes")
+    place = F.struct("id", "row", "at")
+    short = hits.where("size > 0")
+    first = short.groupBy("name").agg(F.min(place).alias("first"))
+    found = stored(
+        short.join(first.hint("shuffle_hash"), "name").where(place != F.col("first")).select(*RUN), "repeated"
+    )
     active = hits.where("size = 0").withColumnRenamed("name", "rank")
-    level = FIRST_LEVEL
+    longest = active.agg(F.max("most")).first()[0] or 0
     n_sorts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    while (1 << level) <= (active.agg(F.max("most")).first()[0] or 0):
+    key = ["size", "a", "b"]
+    for level in range(FIRST_LEVEL, int(longest).bit_length()):
         suffixes = active.groupBy("id", "row").agg(
             *[F.collect_list(c).alias(f"{c}s") for c in ("at", "rank", "least", "most")]
         )
@@ -204,36 +207,28 @@ def repeated_runs(rows: DataFrame, params: LineParams) -> DataFrame:
             ),
             "runs",
         )
-        repeated.append(_later(compared.where("size > 0"), ["size", "a", "b"]))
-        pairs = compared.where("size = 0")
-        ranked = stored(
-            pairs.groupBy("a", "b")
-            .agg(F.count("*").alias("n"))
+        # the intervals of the suffix array at this depth, numbered in its order
+        intervals = stored(
+            compared.groupBy(*key)
+            .agg(F.count("*").alias("n"), F.min(place).alias("first"))
             .where("n > 1")
-            .select("a", "b")
-            .repartitionByRange(n_sorts, "a", "b")
-            .sortWithinPartitions("a", "b")
-            .mapInPandas(_numbered, "a long, b long, rank long"),
-            "ranks",
-        )
-        active = stored(
-            pairs.join(ranked, ["a", "b"]).select("rank", "id", "row", "at", "least", "most"), "suffixes"
+            .select(*key, "first.*")
+            .repartitionByRange(n_sorts, "a", "b", "size")
+            .sortWithinPartitions("a", "b", "size")
+            .mapInPandas(_numbered, "size int, a long, b long, id long, row long, at int, rank long"),
+            "intervals",
+        ).select(*key, "rank", F.struct("id", "row", "at").alias("first"))
+        again = stored(
+            compared.join(intervals.hint("shuffle_hash"), key)
+            .where((F.col("size") == 0) | (place != F.col("first")))
+            .select("rank", *RUN, "least", "most"),
+            "again",
         )
-        level += 1
-    found = repeated[0]
-    for more in repeated[1:]:
-        found = found.unionByName(more)
+        found = found.unionByName(again.where("size > 0").select(*RUN))
+        active = again.where("size = 0").select("rank", "id", "row", "at", "least", "most")
     return found
 
 
-def _later(runs: DataFrame, key: list[str]) -> DataFrame:
-    """The runs of each interval (rows with the same key) but its first."""
-    place = F.struct("id", "row", "at")
-    first = runs.groupBy(*key).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = runs.join(first.drop("n"), key).where(place != F.col("first"))
-    return stored(later.select("id", "row", "at", "size"), "repeated")
-
-
 def cut_text(text: str | None, at: np.ndarray, size: np.ndarray) -> tuple[str | None, int, int]:
     """The text without the runs, its number of lines before, and the number removed. A line goes
     with the white space behind it."""
@@ -285,7 +280,7 @@ def dedup_lines(docs: DataFrame, params: LineParams) -> DataFrame:
     )
     cut = F.pandas_udf(_cut, "text string, n_lines int, n_removed int")
     return (
-        rows.join(stored(per_doc, "removals"), ["id", "row"], "left")
+        rows.join(stored(per_doc, "removals").hint("shuffle_hash"), ["id", "row"], "left")
         .select("doc", cut(F.col("doc.text"), F.col("ats"), F.col("sizes")).alias("cut"))
         .select("doc", "cut.*")
     )
