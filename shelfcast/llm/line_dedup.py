@@ -51,17 +51,19 @@ def lines_of(text: str | None) -> list[str]:
     return [line for part in _cut_up(text) if (line := part.strip())] if text else []
 
 
-def run_lengths(n_words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+def run_lengths(n_words: np.ndarray, last: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     """For each line the least and the largest number of lines of the runs from it that are
-    compared; 0 and -1 if the rest of the text has fewer than min_words."""
-    n = len(n_words)
+    compared; 0 and -1 if the rest of its text has fewer than min_words.
+
+    Lines of several texts follow one another; last is the place behind the line's text.
+    """
     total = np.concatenate([[0], np.cumsum(n_words)])
-    # the first place whose total is min_words above; n + 1 if there is none
-    end = np.searchsorted(total, total[:-1] + min_words)
-    after = np.append(end[1:], n + 1) if n else end
-    at = np.arange(n)
+    # the first place whose total is min_words above; one behind the text if it has none
+    end = np.minimum(np.searchsorted(total, total[:-1] + min_words), last + 1)
+    at = np.arange(len(end))
+    after = np.where(at + 1 < last, np.append(end[1:], 0), last + 1)
     least, most = end - at, np.maximum(after - 1, end) - at
-    enough = end <= n
+    enough = end <= last
     return np.where(enough, least, 0), np.where(enough, most, -1)
 
 
@@ -77,39 +79,39 @@ def _names(ids: np.ndarray, size: int) -> np.ndarray:
 def _suffixes(p: LineParams):
     """From (id, row, text) to the suffixes of four lines or more (size 0) and the compared runs of
     fewer lines."""
-    first = 1 << FIRST_LEVEL
+    longest = 1 << FIRST_LEVEL
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for docs in batches:
-            parts: list[tuple[np.ndarray, ...]] = []
-            for i, text in enumerate(docs["text"]):
-                lines = lines_of(text)
-                counts = np.fromiter((len(x.split()) for x in lines), dtype=np.int64, count=len(lines))
-                if counts.sum() < p.min_words:
-                    continue
-                ids = np.fromiter(
-                    (xxhash.xxh3_64_intdigest(x.encode()) for x in lines), dtype=np.uint64, count=len(lines)
-                )
-                least, most = run_lengths(counts, p.min_words)
-                for size in range(first):
-                    names = _names(ids, size or first)
-                    at = np.arange(len(names))
-                    if size:
-                        at = np.flatnonzero((least[: len(names)] <= size) & (size <= most[: len(names)]))
-                        at = at[least[at] > 0]
-                    if len(at):
-                        parts.append((np.full(len(at), i), at, least[at], most[at], np.full(len(at), size), names[at]))
-            if parts:
-                doc, at, least, most, size, name = (np.concatenate(c) for c in zip(*parts, strict=True))
+            lines: list[str] = []
+            ends = [len(lines) for text in docs["text"] if lines.extend(lines_of(text)) is None]
+            if not lines:
+                continue
+            counts = np.fromiter((len(x.split()) for x in lines), dtype=np.int64, count=len(lines))
+            hashes = (xxhash.xxh3_64_intdigest(x.encode()) for x in lines)
+            ids = np.fromiter(hashes, dtype=np.uint64, count=len(lines))
+            n_lines = np.diff([0, *ends])
+            doc = np.repeat(np.arange(len(docs)), n_lines)
+            last = np.repeat(np.array(ends), n_lines)
+            least, most = run_lengths(counts, last, p.min_words)
+            # texts too short for any run have no place in the comparison
+            compared = np.bincount(doc, weights=counts, minlength=len(docs))[doc] >= p.min_words
+            for size in range(longest):
+                names = _names(ids, size or longest)
+                at = np.arange(len(names))
+                use = compared[: len(names)] & (at + (size or longest) <= last[: len(names)])
+                if size:
+                    use &= (least[: len(names)] > 0) & (least[: len(names)] <= size) & (size <= most[: len(names)])
+                at = at[use]
                 yield pd.DataFrame(
                     {
-                        "id": docs["id"].to_numpy()[doc],
-                        "row": docs["row"].to_numpy()[doc],
-                        "at": at.astype(np.int32),
-                        "least": least.astype(np.int32),
-                        "most": most.astype(np.int32),
-                        "size": size.astype(np.int32),
-                        "name": name,
+                        "id": docs["id"].to_numpy()[doc[at]],
+                        "row": docs["row"].to_numpy()[doc[at]],
+                        "at": (at - last[at] + n_lines[doc[at]]).astype(np.int32),
+                        "least": least[at].astype(np.int32),
+                        "most": most[at].astype(np.int32),
+                        "size": np.full(len(at), size, dtype=np.int32),
+                        "name": names[use],
                     }
                 )
 

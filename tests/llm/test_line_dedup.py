@@ -77,6 +77,8 @@ def test_helpers():
     import numpy as np
 
     assert lines_of("A b. C d!  e\n\n 3.5 kg") == ["A b.", "C d!", "e", "3.5 kg"]
-    least, most = run_lengths(np.array([5, 1, 1, 1]), 3)
+    least, most = run_lengths(np.array([5, 1, 1, 1]), np.array([4] * 4), 3)
     assert least.tolist() == [1, 3, 0, 0] and most.tolist() == [3, 3, -1, -1]
+    least, most = run_lengths(np.array([5, 1, 1, 1, 4]), np.array([2, 2, 4, 4, 5]), 3)
+    assert least.tolist() == [1, 0, 0, 0, 1] and most.tolist() == [2, -1, -1, -1, 1]
     assert cut_text("A b. C d! e", np.array([1]), np.array([1])) == ("A b. e", 3, 1)
