@@ -98,7 +98,7 @@ class _WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 200_000 and len(word) < 64:
+        if len(self) < 100_000 and len(word) < 64:
             self[word] = value
         return value
 

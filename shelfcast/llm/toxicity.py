@@ -47,7 +47,7 @@ class ToxicityParams:
 #: Lengths of the beginnings of words; a longer word has them as features of their own.
 BEGINNINGS = (4, 5, 6)
 #: Words whose features a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 50_000
 
 
 def words_in(text: str | None) -> set[str]:
