@@ -47,7 +47,7 @@ class ClassLmParams:
     min_count: int = 20
     rounds: int = 8
     prior: float = 20.0
-    block_tokens: int = 1_000_000
+    block_tokens: int = 2_000_000
     range_words: int = 1024
 
 
