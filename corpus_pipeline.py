@@ -56,7 +56,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     which nothing is left go, those that were empty before stay."""
     found = dedup_lines(docs, LineParams())
     left = (F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines"))
-    cut = F.col("n_removed") > 0
+    cut = ~F.col("text").eqNullSafe(F.col("doc.text"))
     changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)

@@ -1,21 +1,21 @@
-"""Removal of repeated runs of lines by a suffix array over line ids.
-
-A text is a sequence of lines: it is cut at line breaks and behind sentence ends (``.``, ``!``, ``?``
-before a space), so that a passage is found whether or not it has lines of its own. A line's id is
-the 64-bit hash of its characters without the white space around it.
-
-Prefix doubling: suffixes are first ranked by the ids of their first four lines, taken together as
-one number. Then each round has their ranks by the first 2^k lines, and pairs of ranks 2^k lines
-apart, sorted over all documents, rank them by 2^(k+1) lines. Suffixes whose rank nobody shares are
-in no repeated run and leave; the others go on, so each round works on what still repeats. A run of
-any length is told by the ranks of two overlapping halves, and the suffixes with the same two ranks
-are the interval of the suffix array with that common prefix length or more.
-
-A line goes if it is part of a run of ``min_words`` words or more that also starts at an earlier
-place, in order of doc_id, row and line. Two kinds of runs are enough to cover every maximal one:
-from each line the shortest run that has min_words, and those that would lack them without their
-first line. They are compared at the round of their length; runs of fewer than four lines by the
-number that their ids make.
+"""Removal of repeated passages by the words they share.
+
+A word goes if it is part of a run of ``min_words`` words or more that also starts at an earlier
+place, in order of doc_id, row and word, wherever in a line or sentence the run starts and ends.
+These are the words of all windows of ``min_words`` words that an earlier place has too. Words are
+what lies between white space; which white space that is does not matter.
+
+Not every window is compared. Of the numbers of the shorter runs in it a window selects the least,
+its anchor, so equal windows have equal anchors. The windows next to one another with the same anchor
+form a span (16 on average), and spans are what is counted:
+
+* A window whose anchor occurs once is unique.
+* Of spans with the same words all but the first go whole.
+* First spans whose anchor other spans have too are the ends of repeated passages. Only their windows
+  are compared one by one.
+
+A text is also a sequence of lines: it is cut at line breaks and behind sentence ends (``.``, ``!``,
+``?`` before a space). Lines are only counted, before and those of which no word is left.
 """
 
 from __future__ import annotations
@@ -26,15 +26,18 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import mixed, ship_code, stored, with_row_ids
 
-FIRST_LEVEL = 2  # suffixes are ranked by 2^2 lines to start with
 RUN = ("id", "row", "at", "size")
-SUFFIX = "id long, row long, at int, least int, most int, size int, name long"
+SPAN = "id long, row long, at int, size int, anchor long, name long"
+WINDOW = "id long, row long, at int, name long"
+FACTOR = 0x9E3779B97F4A7C15  # of a polynomial of word hashes modulo 2^64
+CHUNK_WORDS = 250_000  # held at a time, or one text
+#: White space by code point; there is none above.
+SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
 
 
 @dataclass(frozen=True)
@@ -53,7 +56,8 @@ def lines_of(text: str | None) -> list[str]:
 
 def run_lengths(n_words: np.ndarray, last: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     """For each line the least and the largest number of lines of the runs from it that are
-    compared; 0 and -1 if the rest of its text has fewer than min_words.
+    compared; 0 and -1 if the rest of its text has fewer than min_words. Of the comparison by whole
+    lines, which removal does not use any more.
 
     Lines of several texts follow one another; last is the place behind the line's text.
     """
@@ -67,205 +71,238 @@ def run_lengths(n_words: np.ndarray, last: np.ndarray, min_words: int) -> tuple[
     return np.where(enough, least, 0), np.where(enough, most, -1)
 
 
-def _names(ids: np.ndarray, size: int) -> np.ndarray:
-    """One number for each run of size lines."""
-    n = max(0, len(ids) - size + 1)
-    v = np.full(n, size, dtype=np.uint64)
-    for i in range(size):
-        v = v * np.uint64(0x9E3779B97F4A7C15) + ids[i : i + n]
-    return mixed(v).view(np.int64)
-
-
-def _suffixes(p: LineParams):
-    """From (id, row, text) to the suffixes of four lines or more (size 0) and the compared runs of
-    fewer lines."""
-    longest = 1 << FIRST_LEVEL
+class _Hashes(dict):
+    """64-bit hashes of words; those first met are remembered, for one task."""
+
+    def __missing__(self, word: str) -> int:
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(self) < 100_000 and len(word) < 64:
+            self[word] = value
+        return value
+
+
+class _Words:
+    """The words of several texts one behind the other, and numbers for runs of them."""
+
+    def __init__(self, hashes: list[np.ndarray]):
+        ids = np.concatenate(hashes)
+        lengths = np.array([len(h) for h in hashes], dtype=np.int64)
+        self.ends = np.cumsum(lengths)
+        self.begins = self.ends - lengths
+        self.doc = np.repeat(np.arange(len(hashes)), lengths)
+        power = np.full(len(ids) + 1, FACTOR, dtype=np.uint64)
+        back = np.full(len(ids) + 1, pow(FACTOR, -1, 1 << 64), dtype=np.uint64)
+        power[0] = back[0] = 1
+        self.back = np.cumprod(back)
+        self.sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(ids * np.cumprod(power)[:-1])])
+
+    def names(self, at: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+        """One number for each run of size words from place at."""
+        value = (self.sums[at + size] - self.sums[at]) * self.back[at]
+        return mixed(value + np.asarray(size).astype(np.uint64))
+
+
+def _chunks(batches: Iterator[pd.DataFrame], min_words: int) -> Iterator[tuple[pd.DataFrame, _Words]]:
+    """The rows whose texts have min_words words or more, some at a time, with their words."""
+    hashes = _Hashes()
+    for docs in batches:
+        rows: list[int] = []
+        held: list[np.ndarray] = []
+        size = 0
+        for n, text in enumerate(docs["text"]):
+            found = text.split() if text else ()
+            if len(found) >= min_words:
+                rows.append(n)
+                held.append(np.fromiter(map(hashes.__getitem__, found), dtype=np.uint64, count=len(found)))
+                size += len(found)
+            if size >= CHUNK_WORDS:
+                yield docs.iloc[rows], _Words(held)
+                rows, held, size = [], [], 0
+        if rows:
+            yield docs.iloc[rows], _Words(held)
+
+
+def anchor_width(min_words: int) -> int:
+    """Of how many runs a window selects one: a power of two, about two thirds of its words at most."""
+    return 1 << max(0, (2 * (min_words + 1) // 3).bit_length() - 1)
+
+
+def selected(names: np.ndarray, width: int) -> np.ndarray:
+    """For each place the place of the least of the width names from there on, the first of equals."""
+    at = np.arange(max(0, len(names) - width + 1) and len(names))
+    step = 1
+    while step < width:
+        first, second = at[:-step], at[step:]
+        at = np.where(names[second] < names[first], second, first)
+        step *= 2
+    return at
+
+
+def _spans(min_words: int):
+    """From (id, row, text) to the spans: their first window's first word, number of windows, anchor
+    and the number of all their words."""
+    width = anchor_width(min_words)
+    short = min_words - width + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for docs in batches:
-            lines: list[str] = []
-            ends = [len(lines) for text in docs["text"] if lines.extend(lines_of(text)) is None]
-            if not lines:
-                continue
-            counts = np.fromiter((len(x.split()) for x in lines), dtype=np.int64, count=len(lines))
-            hashes = (xxhash.xxh3_64_intdigest(x.encode()) for x in lines)
-            ids = np.fromiter(hashes, dtype=np.uint64, count=len(lines))
-            n_lines = np.diff([0, *ends])
-            doc = np.repeat(np.arange(len(docs)), n_lines)
-            last = np.repeat(np.array(ends), n_lines)
-            least, most = run_lengths(counts, last, p.min_words)
-            # texts too short for any run have no place in the comparison
-            compared = np.bincount(doc, weights=counts, minlength=len(docs))[doc] >= p.min_words
-            for size in range(longest):
-                names = _names(ids, size or longest)
-                at = np.arange(len(names))
-                use = compared[: len(names)] & (at + (size or longest) <= last[: len(names)])
-                if size:
-                    use &= (least[: len(names)] > 0) & (least[: len(names)] <= size) & (size <= most[: len(names)])
-                at = at[use]
-                yield pd.DataFrame(
-                    {
-                        "id": docs["id"].to_numpy()[doc[at]],
-                        "row": docs["row"].to_numpy()[doc[at]],
-                        "at": (at - last[at] + n_lines[doc[at]]).astype(np.int32),
-                        "least": least[at].astype(np.int32),
-                        "most": most[at].astype(np.int32),
-                        "size": np.full(len(at), size, dtype=np.int32),
-                        "name": names[use],
-                    }
-                )
+        for docs, words in _chunks(batches, min_words):
+            n = len(words.doc)
+            names = words.names(np.arange(n - short + 1), short)
+            anchors = selected(names, width)
+            starts = np.arange(len(anchors))
+            starts = starts[starts + min_words <= words.ends[words.doc[: len(anchors)]]]
+            chosen = anchors[starts]
+            begin = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1]))
+            size = np.diff(np.append(begin, len(starts)))
+            at = starts[begin]
+            doc = words.doc[at]
+            yield pd.DataFrame(
+                {
+                    "id": docs["id"].to_numpy()[doc],
+                    "row": docs["row"].to_numpy()[doc],
+                    "at": (at - words.begins[doc]).astype(np.int32),
+                    "size": size.astype(np.int32),
+                    "anchor": names[chosen[begin]].view(np.int64),
+                    "name": words.names(at, size + min_words - 1).view(np.int64),
+                }
+            )
 
     return run
 
 
-def _runs(level: int):
-    """From a document's active suffixes to the pairs of ranks compared in this round: (id, row, at,
-    size, a, b), size being the run's number of lines; 0 for the pair that ranks the next round."""
-    half = 1 << level
-    columns = ["id", "row", "at", "least", "most", "size", "a", "b"]
+def _every(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places from each begin on, size of them."""
+    return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def _windows(min_words: int):
+    """From (id, row, text, ats, sizes) to the windows of these spans."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for docs in batches:
-            if not len(docs):
-                continue
+        for docs, words in _chunks(batches, min_words):
             counts = docs["ats"].map(len).to_numpy()
-            at, rank, least, most = (
-                np.concatenate(docs[c].to_list()).astype(np.int64) for c in ("ats", "ranks", "leasts", "mosts")
+            begin = np.concatenate(docs["ats"].to_list()).astype(np.int64)
+            size = np.concatenate(docs["sizes"].to_list()).astype(np.int64)
+            begin += np.repeat(words.begins, counts)
+            at = _every(begin, size)
+            doc = words.doc[at]
+            yield pd.DataFrame(
+                {
+                    "id": docs["id"].to_numpy()[doc],
+                    "row": docs["row"].to_numpy()[doc],
+                    "at": (at - words.begins[doc]).astype(np.int32),
+                    "name": words.names(at, min_words).view(np.int64),
+                }
             )
-            doc = np.repeat(np.arange(len(docs), dtype=np.int64), counts)
-            place = (doc << 40) + at
-            order = np.argsort(place)
-            place, rank, least, most, at, doc = (x[order] for x in (place, rank, least, most, at, doc))
-
-            def pairs(chosen: np.ndarray, ahead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-                target = place[chosen] + ahead
-                found = np.minimum(np.searchsorted(place, target), len(place) - 1)
-                hit = place[found] == target
-                return chosen[hit], rank[found[hit]]
-
-            first, second = pairs(np.arange(len(place)), np.full(len(place), half))
-            parts = [(first, np.zeros(len(first), dtype=np.int64), second)]
-            low, high = np.maximum(least, half), np.minimum(most, 2 * half - 1)
-            with_runs = np.flatnonzero((least > 0) & (low <= high))
-            n = (high - low + 1)[with_runs]
-            chosen = np.repeat(with_runs, n)
-            size = low[chosen] + np.arange(len(chosen)) - np.repeat(np.cumsum(n) - n, n)
-            # the place in the list goes along as rank's companion
-            target = place[chosen] + size - half
-            found = np.minimum(np.searchsorted(place, target), max(len(place) - 1, 0))
-            hit = place[found] == target if len(chosen) else np.zeros(0, dtype=bool)
-            parts.append((chosen[hit], size[hit], rank[found[hit]]))
-            ids, rows = docs["id"].to_numpy(), docs["row"].to_numpy()
-            for chosen, size, second in parts:
-                yield pd.DataFrame(
-                    {
-                        "id": ids[doc[chosen]],
-                        "row": rows[doc[chosen]],
-                        "at": at[chosen],
-                        "least": least[chosen],
-                        "most": most[chosen],
-                        "size": size,
-                        "a": rank[chosen],
-                        "b": second,
-                    }
-                )[columns]
 
     return run
 
 
-def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted pairs with ranks that rise with the partition and the place in it."""
-    n = TaskContext.get().partitionId() << 40
-    for pairs in batches:
-        yield pairs.assign(rank=np.arange(n, n + len(pairs), dtype=np.int64))
-        n += len(pairs)
+def _shared(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key others have too; the distinct keys are the side that is hashed. They are
+    stored first, as AQE splits the rows of a hot key only where the join follows its shuffle."""
+    keys = rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key)
+    return rows.join(stored(keys, "keys").hint("shuffle_hash"), key, "left_semi")
+
+
+def _per_text(rows: DataFrame, size: Column) -> DataFrame:
+    return rows.groupBy("id", "row").agg(
+        F.collect_list("at").alias("ats"), F.collect_list(size).alias("sizes")
+    )
 
 
 def repeated_runs(rows: DataFrame, params: LineParams) -> DataFrame:
-    """Rows (id, row, at, size): runs of ``size`` lines from line ``at`` that also start earlier;
+    """Rows (id, row, at, size): runs of ``size`` words from word ``at`` that also start earlier;
     from rows (id, row, text)."""
-    begun = stored(rows.mapInPandas(_suffixes(params), SUFFIX), "lines")
-    shared = begun.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    # the distinct names are the side that is hashed; the suffixes need no sort
-    hits = stored(begun.join(shared.hint("shuffle_hash"), "name", "left_semi"), "suffixes")
+    n = max(1, params.min_words)
     place = F.struct("id", "row", "at")
-    short = hits.where("size > 0")
-    first = short.groupBy("name").agg(F.min(place).alias("first"))
-    found = stored(
-        short.join(first.hint("shuffle_hash"), "name").where(place != F.col("first")).select(*RUN), "repeated"
+    spans = stored(_shared(stored(rows.mapInPandas(_spans(n), SPAN), "spans"), "anchor"), "shared")
+    firsts = stored(
+        spans.groupBy("name").agg(
+            F.count("*").alias("n"),
+            F.min(place).alias("first"),
+            F.first("anchor").alias("anchor"),
+            F.first("size").alias("size"),
+        ),
+        "firsts",
     )
-    active = hits.where("size = 0").withColumnRenamed("name", "rank")
-    longest = active.agg(F.max("most")).first()[0] or 0
-    n_sorts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = ["size", "a", "b"]
-    for level in range(FIRST_LEVEL, int(longest).bit_length()):
-        suffixes = active.groupBy("id", "row").agg(
-            *[F.collect_list(c).alias(f"{c}s") for c in ("at", "rank", "least", "most")]
-        )
-        compared = stored(
-            suffixes.mapInPandas(
-                _runs(level),
-                "id long, row long, at int, least int, most int, size int, a long, b long",
-            ),
-            "runs",
-        )
-        # the intervals of the suffix array at this depth, numbered in its order
-        intervals = stored(
-            compared.groupBy(*key)
-            .agg(F.count("*").alias("n"), F.min(place).alias("first"))
-            .where("n > 1")
-            .select(*key, "first.*")
-            .repartitionByRange(n_sorts, "a", "b", "size")
-            .sortWithinPartitions("a", "b", "size")
-            .mapInPandas(_numbered, "size int, a long, b long, id long, row long, at int, rank long"),
-            "intervals",
-        ).select(*key, "rank", F.struct("id", "row", "at").alias("first"))
-        again = stored(
-            compared.join(intervals.hint("shuffle_hash"), key)
-            .where((F.col("size") == 0) | (place != F.col("first")))
-            .select("rank", *RUN, "least", "most"),
-            "again",
-        )
-        found = found.unionByName(again.where("size > 0").select(*RUN))
-        active = again.where("size = 0").select("rank", "id", "row", "at", "least", "most")
-    return found
+    copied = firsts.where("n > 1").select("name", "first")
+    copies = (
+        spans.join(copied.hint("shuffle_hash"), "name")
+        .where(place != F.col("first"))
+        .select("id", "row", "at", (F.col("size") + F.lit(n - 1)).alias("size"))
+    )
+    ends = stored(_per_text(_shared(firsts.select("first.*", "anchor", "size"), "anchor"), F.col("size")), "ends")
+    windows = rows.join(ends.hint("shuffle_hash"), ["id", "row"]).select("id", "row", "text", "ats", "sizes")
+    windows = stored(windows.mapInPandas(_windows(n), WINDOW), "windows")
+    earliest = windows.groupBy("name").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    earliest = stored(earliest.where("n > 1").select("name", "first"), "earliest")
+    again = (
+        windows.join(earliest.hint("shuffle_hash"), "name")
+        .where(place != F.col("first"))
+        .select("id", "row", "at", F.lit(n).alias("size"))
+    )
+    return copies.unionByName(again)
 
 
-def cut_text(text: str | None, at: np.ndarray, size: np.ndarray) -> tuple[str | None, int, int]:
-    """The text without the runs, its number of lines before, and the number removed. A line goes
-    with the white space behind it."""
+def cut_text(
+    text: str | None, at: np.ndarray, size: np.ndarray, by_word: bool = False
+) -> tuple[str | None, int, int]:
+    """The text without the runs, which are of lines or of words, its number of lines before, and of
+    those of which no word is left. A run goes with the white space behind it, or with that before it
+    if only the one behind has a line break."""
     if not text:
         return text, 0, 0
-    parts = _cut_up(text)
-    solid = [n for n, part in enumerate(parts) if part.strip()]
-    gone = np.zeros(len(solid) + 1, dtype=np.int64)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    space = SPACE[np.minimum(codes, len(SPACE) - 1)]
+    begins = np.flatnonzero(~space & np.append(True, space[:-1]))
+    ends = np.flatnonzero(~space & np.append(space[1:], True)) + 1
+    if not len(begins):
+        return text, 0, 0
+    stops = (codes == ord(".")) | (codes == ord("!")) | (codes == ord("?"))
+    breaks = (codes == ord("\n")) | ((codes == ord(" ")) & np.append(False, stops[:-1]))
+    line = np.cumsum(breaks)[begins]
+    line = np.cumsum(np.append(False, line[1:] != line[:-1]))
+    n_lines = int(line[-1]) + 1
+    gone = np.zeros((len(begins) if by_word else n_lines) + 1, dtype=np.int64)
     np.add.at(gone, at, 1)
     np.add.at(gone, at + size, -1)
     gone = np.cumsum(gone)[:-1] > 0
+    if not by_word:
+        gone = gone[line]
     if not gone.any():
-        return text, len(solid), 0
-    begins = np.concatenate([[0], np.cumsum([len(part) + 1 for part in parts])])
-    starts = [int(begins[n]) + len(parts[n]) - len(parts[n].lstrip()) for n in solid]
-    ends = [*starts[1:], len(text)]
-    kept = [text[s:e] for s, e, g in zip(starts, ends, gone, strict=True) if not g]
-    return (text[: starts[0]] + "".join(kept)).rstrip(), len(solid), int(gone.sum())
+        return text, n_lines, 0
+    n_removed = n_lines - len(np.unique(line[~gone]))
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]]))).reshape(-1, 2)
+    parts, done = [], 0
+    for i, j in edges.tolist():
+        if i == 0:
+            parts.append(text[: begins[0]])
+        else:
+            before = text[ends[i - 1] : begins[i]]
+            behind = text[ends[j - 1] : begins[j]] if j < len(begins) else ""
+            parts += [text[done : ends[i - 1]], behind if "\n" in behind and "\n" not in before else before]
+        done = begins[j] if j < len(begins) else len(text)
+    return ("".join(parts) + text[done:]).rstrip(), n_lines, n_removed
 
 
 def _cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     none = np.zeros(0, dtype=np.int64)
+
+    def numbers(values: np.ndarray | None) -> np.ndarray:
+        return none if values is None else np.asarray(values, dtype=np.int64)
+
     for texts, ats, sizes in batches:
         yield pd.DataFrame(
-            [
-                cut_text(t, none if a is None else np.asarray(a, dtype=np.int64), none if s is None else np.asarray(s, dtype=np.int64))
-                for t, a, s in zip(texts, ats, sizes, strict=True)
-            ],
+            [cut_text(t, numbers(a), numbers(s), True) for t, a, s in zip(texts, ats, sizes, strict=True)],
             columns=["text", "n_lines", "n_removed"],
         )
 
 
 def dedup_lines(docs: DataFrame, params: LineParams) -> DataFrame:
     """Rows (doc, text, n_lines, n_removed), one per row of docs: all its columns as the struct
-    ``doc``, the text without later copies of repeated runs, the lines it had and those removed.
+    ``doc``, the text without later copies of repeated passages, the lines it had and those of which
+    nothing is left. Of a line that a passage starts or ends in, the other words stay.
 
     Null and empty texts stay as they are, without lines. Rows of one doc_id are put in an order of
     their own, rows without doc_id come first; of a repeated row all copies but the first lose the
@@ -275,11 +312,7 @@ def dedup_lines(docs: DataFrame, params: LineParams) -> DataFrame:
     ship_code(docs.sparkSession)
     rows = with_row_ids(docs)
     runs = repeated_runs(rows.select("id", "row", F.col("doc.text").alias("text")), params)
-    # one (at, size) for each start: the longest covers the others
-    longest = runs.groupBy("id", "row", "at").agg(F.max("size").alias("size"))
-    per_doc = longest.groupBy("id", "row").agg(
-        F.collect_list("at").alias("ats"), F.collect_list("size").alias("sizes")
-    )
+    per_doc = _per_text(runs, F.col("size"))
     cut = F.pandas_udf(_cut, "text string, n_lines int, n_removed int")
     return (
         rows.join(stored(per_doc, "removals").hint("shuffle_hash"), ["id", "row"], "left")

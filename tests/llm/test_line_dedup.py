@@ -82,3 +82,64 @@ def test_helpers():
     least, most = run_lengths(np.array([5, 1, 1, 1, 4]), np.array([2, 2, 4, 4, 5]), 3)
     assert least.tolist() == [1, 0, 0, 0, 1] and most.tolist() == [2, -1, -1, -1, 1]
     assert cut_text("A b. C d! e", np.array([1]), np.array([1])) == ("A b. e", 3, 1)
+
+
+def words_left(rows, min_words):
+    """Each text's words that are in no run of min_words that also starts earlier, by all windows."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, i))
+    seen, gone = set(), {i: set() for i in order}
+    for i in order:
+        words = (rows[i][1] or "").split()
+        for at in range(len(words) - min_words + 1):
+            window = tuple(words[at : at + min_words])
+            gone[i] |= set(range(at, at + min_words)) if window in seen else set()
+            seen.add(window)
+    return [[w for n, w in enumerate((t or "").split()) if n not in gone[i]] for i, (_, t) in enumerate(rows)]
+
+
+def test_passages_that_start_and_end_inside_sentences(spark):
+    passage = " ".join(f"w{i}{'.' if i % 17 == 16 else ''}" for i in range(54))
+    rows = [
+        (1, f"First text with {passage} and on it goes. End."),
+        (2, f"Quega esado en no {passage} then more words. Last."),
+        (3, f"One line.\nAnother has {passage}\nThird line."),
+        (4, " ".join(passage.split()[:49]) + " is too short."),
+    ]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], SCHEMA)
+    found = {r.doc.doc_id: r for r in dedup_lines(docs, LineParams()).collect()}
+    assert {i: r.text for i, r in found.items()} == {
+        1: rows[0][1],
+        2: "Quega esado en no then more words. Last.",
+        3: "One line.\nAnother has\nThird line.",
+        4: rows[3][1],
+    }
+    assert [(found[i].n_lines, found[i].n_removed) for i in (1, 2, 3)] == [(5, 0), (5, 2), (6, 3)]
+
+
+def test_random_words_equal_all_windows(spark):
+    rng = random.Random(5)
+    vocabulary = ["a", "b", "c.", "d", "e!"]
+    pieces = [[rng.choice(vocabulary) for _ in range(rng.randint(5, 60))] for _ in range(12)]
+    rows = []
+    for i in range(80):
+        own = [[rng.choice(vocabulary) for _ in range(rng.randint(0, 9))] for _ in range(3)]
+        parts = [own[0], rng.choice(pieces), own[1], rng.choice(pieces)[rng.randint(0, 9) :], own[2]]
+        rows.append((i, rng.choice([" ", "\n", "  "]).join(w for part in parts for w in part)))
+    rows.append((None, rows[7][1] + " " + "x " * 90))
+    for n in (1, 4, 9, 16, 50):
+        docs = spark.createDataFrame([(i, t, "en") for i, t in rows], SCHEMA)
+        found = {r.doc.doc_id: r.text.split() for r in dedup_lines(docs, LineParams(n)).collect()}
+        want = words_left(rows, n)
+        assert found == {i: want[k] for k, (i, _) in enumerate(rows)}, n
+
+
+def test_anchors_are_told_by_the_window_alone():
+    import numpy as np
+
+    from shelfcast.llm.line_dedup import anchor_width, selected
+
+    assert [anchor_width(n) for n in (1, 2, 7, 16, 50)] == [1, 2, 4, 8, 32]
+    names = np.array([5, 3, 3, 9, 1, 1, 7])
+    assert selected(names, 4).tolist() == [1 if i == 0 else 4 for i in range(4)]
+    assert selected(names, 1).tolist() == list(range(7))
+    assert selected(names[:3], 4).tolist() == []
