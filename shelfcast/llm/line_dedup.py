@@ -15,11 +15,12 @@ form a span (16 on average), and spans are what is counted:
   are compared one by one.
 
 A text is also a sequence of lines: it is cut at line breaks and behind sentence ends (``.``, ``!``,
-``?`` before a space). Lines are only counted, before and those of which no word is left.
+``?`` before any white space). Lines are only counted, before and those of which no word is left.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +37,7 @@ SPAN = "id long, row long, at int, size int, anchor long, name long"
 WINDOW = "id long, row long, at int, name long"
 FACTOR = 0x9E3779B97F4A7C15  # of a polynomial of word hashes modulo 2^64
 CHUNK_WORDS = 250_000  # held at a time, or one text
+LINE_END = re.compile(r"\n|(?<=[.!?])\s")
 #: White space by code point; there is none above.
 SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
 
@@ -47,7 +49,7 @@ class LineParams:
 
 def _cut_up(text: str) -> list[str]:
     """The text in parts that end with a line; joined by one character each they have its length."""
-    return text.replace(". ", ".\n").replace("! ", "!\n").replace("? ", "?\n").split("\n")
+    return LINE_END.split(text)
 
 
 def lines_of(text: str | None) -> list[str]:
@@ -260,7 +262,7 @@ def cut_text(
     if not len(begins):
         return text, 0, 0
     stops = (codes == ord(".")) | (codes == ord("!")) | (codes == ord("?"))
-    breaks = (codes == ord("\n")) | ((codes == ord(" ")) & np.append(False, stops[:-1]))
+    breaks = (codes == ord("\n")) | (space & np.append(False, stops[:-1]))
     line = np.cumsum(breaks)[begins]
     line = np.cumsum(np.append(False, line[1:] != line[:-1]))
     n_lines = int(line[-1]) + 1

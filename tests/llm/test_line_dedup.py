@@ -143,3 +143,13 @@ def test_anchors_are_told_by_the_window_alone():
     assert selected(names, 4).tolist() == [1 if i == 0 else 4 for i in range(4)]
     assert selected(names, 1).tolist() == list(range(7))
     assert selected(names[:3], 4).tolist() == []
+
+
+def test_lines_end_behind_a_sentence_before_any_white_space():
+    import numpy as np
+
+    text = "A b.\tC d!\r\nE f?\u00a0G 3.5\tkg. \t H\u2003i.\u3000J"
+    assert lines_of(text) == ["A b.", "C d!", "E f?", "G 3.5\tkg.", "H\u2003i.", "J"]
+    assert cut_text(text, np.array([1]), np.array([2])) == ("A b.\t" + text[text.index("G") :], 6, 2)
+    passage = cut_text("One.\tTwo three.\rFour.", np.array([1]), np.array([2]), by_word=True)
+    assert passage == ("One.\tFour.", 3, 1)
