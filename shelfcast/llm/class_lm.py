@@ -4,12 +4,14 @@ The corpus is stored once as blocks of documents: a block's distinct words as 64
 texts as places in that list. Word counts are summed over the blocks and sent back to them, so no
 task needs the whole vocabulary.
 
-Words with a share of ``min_share`` of the training tokens or more (so 1 / min_share at most), and
-``min_count`` at least, are put into ``n_classes`` classes, to start with by the one of the n_classes most frequent words that it
-stands next to most, for that word's count. Then the exchange: in each round every block counts its words' neighbours
-by class, the counts meet by range of words, and each word of the half whose turn it is moves to the
-class that raises the likelihood of class bigrams most, given the others' classes. Rarer words form
-classes by the power of two of their count, unknown words a class of their own.
+Words that the training tokens have ``min_count`` times or more, at any size of the corpus, are put
+into ``n_classes`` classes, to start with by the one of the n_classes most frequent words that it stands
+next to most, for that word's count. Then the exchange: in each round every block counts its words'
+neighbours by class, the counts that are not zero meet by range of words, and each word of the half
+whose turn it is moves to the class that raises the likelihood of class bigrams most, given the others'
+classes. Rarer words form classes by the power of two of their count, unknown words a class of their
+own. The driver and each task hold the hashes and classes of the words that are exchanged, so they grow
+with the vocabulary; neighbour counts are held for ``held_counts`` of them at a time.
 
 A token has the probability of its class after the previous token's class, smoothed with ``prior``
 observations of the class itself, times its share of its class. As in the base, all unknown words
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,12 +45,12 @@ BLOCK = (
 @dataclass(frozen=True)
 class ClassLmParams:
     n_classes: int = 32
-    min_share: float = 2e-5
     min_count: int = 20
     rounds: int = 8
     prior: float = 20.0
     block_tokens: int = 2_000_000
     range_words: int = 1024
+    held_counts: int = 1_500_000
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -120,7 +122,7 @@ def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
-def _with_counts(frequent: np.ndarray):
+def _with_counts(frequent: Broadcast):
     """A block with its words' counts in the corpus and their places among the frequent words (-1
     for others) instead of their hashes and counts in the block."""
 
@@ -129,7 +131,7 @@ def _with_counts(frequent: np.ndarray):
             return pd.DataFrame({c: [] for c in COUNTED_COLUMNS}, dtype=object)
         n = _array(blocks["trained"].iloc[0], np.int64).copy()
         n[counts["place"].to_numpy()] = counts["n"].to_numpy()
-        known = places_among(frequent, _array(blocks["words"].iloc[0], np.int64))
+        known = places_among(frequent.value, _array(blocks["words"].iloc[0], np.int64))
         return blocks.assign(known=[_packed(known.astype(np.int32))], counts=[_packed(n)])[COUNTED_COLUMNS]
 
     return run
@@ -143,6 +145,7 @@ def places_among(sorted_words: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 
 COUNTED = BLOCK.replace("words binary, trained binary", "known binary, counts binary")
+COUNTS = "range int, keys binary, counts binary"
 COUNTED_COLUMNS = [c.split()[0] for c in COUNTED.split(", ")]
 
 
@@ -161,7 +164,7 @@ class Model:
     def classes_of(self, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
         rare = self.n_classes + np.log2(np.maximum(counts, 1)).astype(np.int64)
         out = np.where(counts > 0, np.minimum(rare, self.total - 2), self.total - 1)
-        return np.where(known >= 0, self.classes[known] if len(self.classes) else out, out)
+        return np.where(known >= 0, self.classes[known].astype(np.int64) if len(self.classes) else out, out)
 
 
 def _previous(lengths: np.ndarray, n: int) -> np.ndarray:
@@ -171,15 +174,44 @@ def _previous(lengths: np.ndarray, n: int) -> np.ndarray:
     return before
 
 
-def _neighbours(model: Model, p: ClassLmParams):
-    """Counts of training bigrams by class: (range, counts) with the counts of ``range_words`` words
-    by left and right class, and as range -1 those of class bigrams and of each class."""
+def _summed_keys(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the sum of the counts of each."""
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, dtype=np.int64)
+    return key[first], np.add.reduceat(count, first) if len(key) else count
+
+
+def _neighbours(classes: Broadcast, p: ClassLmParams):
+    """Counts of training bigrams by class: (range, keys, counts) with the counts of ``range_words``
+    words by left and right class that are not zero, a key being the word's place in the range times
+    twice the number of classes and the class (right ones behind the left ones), and as range -1 those
+    of class bigrams."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c, f = model.total, len(model.classes)
-        left, right = np.zeros(f * c, dtype=np.int64), np.zeros(f * c, dtype=np.int64)
+        model = Model(classes.value, p.n_classes)
+        c = model.total
         pairs = np.zeros(c * c, dtype=np.int64)
         any_block = False
+        keys: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        held = 0
+
+        def parts() -> Iterator[pd.DataFrame]:
+            key, count = _summed_keys(keys, counts)
+            width = 2 * c * p.range_words
+            ranges = key // width
+            begin = np.flatnonzero(np.append(len(key) > 0, ranges[1:] != ranges[:-1]))
+            for i, j in zip(begin, np.append(begin, len(key))[1:], strict=True):
+                yield pd.DataFrame(
+                    {
+                        "range": [int(ranges[i])],
+                        "keys": [_packed(np.diff(key[i:j] - ranges[i] * width, prepend=0).astype(np.int32))],
+                        "counts": [_packed(count[i:j])],
+                    }
+                )
+
         for blocks in batches:
             for b in blocks.itertuples():
                 any_block = True
@@ -192,37 +224,65 @@ def _neighbours(model: Model, p: ClassLmParams):
                 earlier = np.where(before >= 0, now[before], end)
                 train = np.repeat(~_array(b.held_out, np.bool_), lengths)
                 pairs += np.bincount((earlier * c + now)[train], minlength=c * c)
-                at = known[places]
-                use = train & (at >= 0)
-                left += np.bincount((at * c + earlier)[use], minlength=f * c)
-                prior = np.where(before >= 0, at[before], known[places[-1]] if len(places) else -1)
-                use = train & (prior >= 0)
-                right += np.bincount((prior * c + now)[use], minlength=f * c)
+                prior = np.where(before >= 0, places[before], places[-1])
+                for word, near, side in ((places, earlier, 0), (prior, now, c)):
+                    use = train & (known[word] >= 0)
+                    key = known[word[use]].astype(np.int64) * (2 * c) + side + near[use]
+                    key, count = np.unique(key, return_counts=True)
+                    keys.append(key)
+                    counts.append(count)
+                    held += len(key)
+                if held > p.held_counts:
+                    key, count = _summed_keys(keys, counts)
+                    keys, counts, held = [key], [count], len(key)
+                    if 2 * held > p.held_counts:
+                        yield from parts()
+                        keys, counts, held = [], [], 0
         if any_block:
-            yield pd.DataFrame({"range": [-1], "counts": [_packed(pairs)]})
-            both = np.hstack([left.reshape(f, c), right.reshape(f, c)]) if f else np.zeros((0, 2 * c))
-            for i in range(0, f, p.range_words):
-                part = both[i : i + p.range_words].astype(np.int64)
-                if part.any():
-                    yield pd.DataFrame({"range": [i // p.range_words], "counts": [_packed(part)]})
+            yield pd.DataFrame({"range": [-1], "keys": [b""], "counts": [_packed(pairs)]})
+            if keys:
+                yield from parts()
 
     return run
 
 
+def _dense(keys: bytes, counts: bytes, words: int, c: int) -> np.ndarray:
+    """The counts of a range as rows of words and columns of left and right classes."""
+    out = np.zeros(words * 2 * c, dtype=np.int64)
+    out[np.cumsum(_array(keys, np.int32))] = _array(counts, np.int64)
+    return out.reshape(words, 2 * c)
+
+
 def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Adds up the counts of each range that meet in a partition sorted by range."""
-    now, total = None, None
+    now: int | None = None
+    keys: list[np.ndarray] = []
+    counts: list[np.ndarray] = []
+
+    def row() -> pd.DataFrame:
+        if now == -1:
+            return pd.DataFrame({"range": [now], "keys": [b""], "counts": [_packed(np.sum(counts, axis=0))]})
+        key, count = _summed_keys(keys, counts)
+        packed = _packed(np.diff(key, prepend=0).astype(np.int32))
+        return pd.DataFrame({"range": [now], "keys": [packed], "counts": [_packed(count)]})
+
     for rows in batches:
-        for r, counts in zip(rows["range"], rows["counts"], strict=True):
-            part = _array(counts, np.int64)
+        for r, some_keys, some_counts in zip(rows["range"], rows["keys"], rows["counts"], strict=True):
             if r != now:
                 if now is not None:
-                    yield pd.DataFrame({"range": [now], "counts": [_packed(total)]})
-                now, total = r, part.copy()
-            else:
-                total += part
+                    yield row()
+                now, keys, counts = r, [], []
+            if r >= 0:
+                keys.append(np.cumsum(_array(some_keys, np.int32)).astype(np.int64))
+            counts.append(_array(some_counts, np.int64))
+            if len(counts) == 64:  # what is held stays near one range's size
+                if r >= 0:
+                    key, count = _summed_keys(keys, counts)
+                    keys, counts = [key], [count]
+                else:
+                    counts = [np.sum(counts, axis=0)]
     if now is not None:
-        yield pd.DataFrame({"range": [now], "counts": [_packed(total)]})
+        yield row()
 
 
 def _growth(base: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -272,7 +332,7 @@ def first_class(near: np.ndarray, own: np.ndarray, frequency: np.ndarray, spread
 def learnt_classes(
     blocks: DataFrame, words: np.ndarray, counts: np.ndarray, p: ClassLmParams
 ) -> tuple[Model, np.ndarray]:
-    """The exchange. words come sorted; what the driver holds of it is bounded by 1 / min_share."""
+    """The exchange. words come sorted; the driver holds their counts and classes."""
     spread = ((words.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64)
     turn = (spread // p.n_classes) % 2
     top = np.lexsort((words, -counts))[: p.n_classes]
@@ -283,34 +343,35 @@ def learnt_classes(
     for r in range(-1, p.rounds + 1):
         model = Model(classes, p.n_classes)
         c = model.total
+        context = blocks.sparkSession.sparkContext
         counted = (
-            blocks.mapInPandas(_neighbours(model, p), "range int, counts binary")
+            blocks.mapInPandas(_neighbours(context.broadcast(classes.astype(np.int16)), p), COUNTS)
             .repartition("range")
             .sortWithinPartitions("range")
-            .mapInPandas(_summed, "range int, counts binary")
+            .mapInPandas(_summed, COUNTS)
         )
         if r == p.rounds:
             last = counted.where("range = -1").first()
-            pairs = _array(last[1], np.int64).reshape(c, c) if last else np.zeros((c, c), dtype=np.int64)
+            pairs = _array(last["counts"], np.int64).reshape(c, c) if last else np.zeros((c, c), dtype=np.int64)
             return model, pairs
         counted = stored(counted, "neighbours")
         first = counted.where("range = -1").first()
         if first is None:
             return model, np.zeros((c, c), dtype=np.int64)
-        pairs = _array(first[1], np.int64).reshape(c, c)
-        sent = blocks.sparkSession.sparkContext.broadcast((classes, pairs, spread))
+        pairs = _array(first["counts"], np.int64).reshape(c, c)
+        sent = context.broadcast((classes.astype(np.int16), pairs))
         starting = r < 0
 
         def moved(batches: Iterator[pd.DataFrame], n: int = p.n_classes, size: int = p.range_words):
-            own, between, spreads = sent.value
+            own, between = sent.value
             for rows in batches:
-                for k, counts in zip(rows["range"], rows["counts"], strict=True):
-                    both = _array(counts, np.int64).reshape(-1, 2 * len(between))
-                    mine = own[k * size : k * size + len(both)]
+                for k, keys, counts in zip(rows["range"], rows["keys"], rows["counts"], strict=True):
+                    mine = own[k * size : (k + 1) * size].astype(np.int64)
+                    both = _dense(keys, counts, len(mine), len(between))
                     lefts, rights = np.hsplit(both.astype(np.float64), 2)
                     at = np.arange(k * size, k * size + len(both), dtype=np.int64)
                     if starting:
-                        new = [first_class(lefts + rights, mine, frequency, spreads[at])]
+                        new = [first_class(lefts + rights, mine, frequency, at)]
                     else:
                         new = [
                             exchanged(lefts[i : i + 256], rights[i : i + 256], mine[i : i + 256], between, n)
@@ -350,8 +411,9 @@ def unknown_share(corpus: Corpus) -> float:
     return min(max(corpus.once / corpus.n if corpus.n else 1.0, floor), 0.5 if corpus.n else 1.0)
 
 
-def _scores(model: Model, logs: np.ndarray, class_totals: np.ndarray, corpus: Corpus):
+def _scores(classes: Broadcast, p: ClassLmParams, logs: np.ndarray, class_totals: np.ndarray, corpus: Corpus):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = Model(classes.value, p.n_classes)
         floor = corpus.n + 0.5 * (corpus.v + 1)
         for blocks in batches:
             for b in blocks.itertuples():
@@ -425,12 +487,13 @@ def class_lm_scores(docs: DataFrame, params: ClassLmParams) -> DataFrame:
         F.count(F.when(F.col("n") == 1, 1)),
     ).first()
     corpus = Corpus(n, v, once)
-    frequent = counts.where(F.col("n") >= F.lit(max(p.min_count, p.min_share * n)))  # 1 / min_share at most
+    frequent = counts.where(F.col("n") >= p.min_count)
     listed_words = frequent.select("word", "n").toPandas().sort_values("word")
     words, sizes = (listed_words[c].to_numpy(dtype=np.int64) for c in ("word", "n"))
     # a word that only one block has keeps the block's own count
     sent_back = listed.join(counts, "word").where("n <> trained").select("block", "place", "n")
-    counted = _with_counts(words)
+    context = docs.sparkSession.sparkContext
+    counted = _with_counts(context.broadcast(words))
     blocks = stored(
         raw.groupBy("block")
         .cogroup(sent_back.groupBy("block"))
@@ -439,4 +502,5 @@ def class_lm_scores(docs: DataFrame, params: ClassLmParams) -> DataFrame:
     )
     model, pairs = learnt_classes(blocks, words, sizes, p)
     logs = transition_logs(pairs, corpus, p.prior)
-    return blocks.mapInPandas(_scores(model, logs, pairs.sum(axis=0), corpus), SCORES)
+    classes = context.broadcast(model.classes.astype(np.int16))
+    return blocks.mapInPandas(_scores(classes, p, logs, pairs.sum(axis=0), corpus), SCORES)

@@ -267,3 +267,31 @@ def test_exchange_raises_the_likelihood():
         mine = np.arange(40) % 4 // 2 == turn % 2
         classes = np.where(mine, new, classes)
     assert likelihood(classes) > start and len(set(map(tuple, np.c_[truth, classes]))) == 2
+
+
+def test_words_are_exchanged_from_one_count_on_at_any_size(spark, monkeypatch):
+    from shelfcast.llm import class_lm
+
+    exchange, given = class_lm.learnt_classes, {}
+
+    def seen(blocks, words, counts, p):
+        given["counts"] = sorted(counts.tolist())
+        return exchange(blocks, words, counts, p)
+
+    monkeypatch.setattr(class_lm, "learnt_classes", seen)
+    texts = ["f " * 1_300_000, "a b " * 20, "c d " * 19]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    class_lm_scores(docs, ClassLmParams(rounds=1)).collect()
+    assert given["counts"] == [20, 20, 1_300_000]
+
+
+def test_neighbour_counts_do_not_depend_on_how_many_are_held(spark):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{int(rng.expovariate(0.05))}" for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    few = ClassLmParams(n_classes=4, block_tokens=500, range_words=8, held_counts=50, min_count=3, rounds=4)
+    many = ClassLmParams(n_classes=4, block_tokens=5000, range_words=64, min_count=3, rounds=4)
+    found = [{r.doc_id: r.score for r in class_lm_scores(docs, p).collect()} for p in (few, many)]
+    # where a block ends decides what stands before the first text only by an end, so scores agree
+    assert found[0].keys() == found[1].keys()
+    assert all(abs(found[0][i] - found[1][i]) < 1e-9 for i in found[0])
