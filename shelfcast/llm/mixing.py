@@ -29,10 +29,14 @@ def _key(source: Column) -> Column:
 
 def root_weights(docs: DataFrame, resolution: int = 1000) -> DataFrame:
     """Rows (source, weight): weights proportional to the square root of each source's documents,
-    in whole parts of about ``resolution``, 1 at least."""
+    in whole parts of about ``resolution``, or of as many as give the smallest source 1 if it would
+    be rounded to none, so that no source has more than its share by more than rounding."""
     counts = docs.groupBy("source").agg(F.count("*").alias("n"))
-    root = F.sqrt("n")
-    share = F.round(resolution * root / F.sum(root).over(Window.partitionBy()))
+    root, every = F.sqrt("n"), Window.partitionBy()
+    total = F.sum(root).over(every)
+    needed = total / F.min(root).over(every)
+    parts = F.when(needed > 2 * resolution, F.ceil(needed)).otherwise(F.lit(resolution))
+    share = F.round(parts * root / total)
     return counts.select("source", F.greatest(share, F.lit(1)).cast("long").alias("weight"))
 
 

@@ -46,6 +46,14 @@ def test_mix_keeps_all_rows_and_shares(spark):
     assert mix_slots(docs.limit(0), root_weights(docs.limit(0)), 4).count() == 0
 
 
+def test_weights_follow_square_roots_with_many_small_sources(spark):
+    rows = [(f"s{i}",) for i in range(40)] + [("large",)] * 400
+    docs = spark.createDataFrame(rows, "source string")
+    found = {r.source: r.weight for r in root_weights(docs, 10).collect()}
+    assert found == {**{f"s{i}": 1 for i in range(40)}, "large": 20}
+    assert sorted(r.weight for r in root_weights(docs.where("source in ('s1', 'large')"), 20).collect()) == [1, 19]
+
+
 def test_mix_runs_on_dataframe_functions(spark):
     plan = explained(REGISTERED["op6_source_mixing"](spark, SMALL))
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
