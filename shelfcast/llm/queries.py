@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.ann import AnnParams, nearest_by_hashing
+from shelfcast.llm.chat import format_chats, read_loss, read_turns
 from shelfcast.llm.class_lm import ClassLmParams, class_lm_scores
-from shelfcast.llm.common import documents, embeddings
+from shelfcast.llm.common import documents, embeddings, with_settings
 from shelfcast.llm.line_dedup import LineParams, dedup_lines
 from shelfcast.llm.mixing import mix_slots, root_weights
 from shelfcast.llm.near_dups import NearParams, near_duplicates
-from shelfcast.llm.oracle import MIXING_SQL, NEAR_SQL, TOP_K_SQL
+from shelfcast.llm.oracle import CHAT_SQL, MIXING_SQL, NEAR_SQL, TOP_K_SQL
 from shelfcast.llm.packing import PackingParams, pack
 from shelfcast.llm.pii import find_personal_data
 from shelfcast.llm.token_counts import Vocabulary, token_counts
@@ -86,6 +87,29 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(documents(spark, sf_dir))
 
 
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_settings(spark).read.parquet(f"{sf_dir}/conversations.parquet")
+    rows = rows.select("conv_id", "turn", "role", "text")
+    marked = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    told = format_chats(rows.unionByName(marked)).withColumn("turns", read_turns(F.col("formatted")))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return told.withColumn("learnt", read_loss(F.col("segments"))).select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "n_blocks",
+        F.sha2("formatted", 256).alias("formatted_sha256"),
+    )
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,9 +123,15 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_line_dedup,
         op10_personal_data,
+        op12_chat_format,
     )
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_near_duplicates": NEAR_SQL, "op6_source_mixing": MIXING_SQL, "op7_exact_top_k": TOP_K_SQL}
+    return {
+        "op4_near_duplicates": NEAR_SQL,
+        "op6_source_mixing": MIXING_SQL,
+        "op7_exact_top_k": TOP_K_SQL,
+        "op12_chat_format": CHAT_SQL,
+    }
