@@ -123,3 +123,39 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
        sha256(formatted) AS formatted_sha256
 FROM joined
 """
+
+
+def _means_round(i: int) -> str:
+    """Assignment a{i} of every vector to the centroids c{i}, and the centroids after it."""
+    return f"""
+), d{i} AS (
+  SELECT row, vec_id, q, k, list_sum(list_transform(list_zip(q, c), lambda p: (p[1] - p[2]) ** 2))::BIGINT AS d
+  FROM v CROSS JOIN c{i}
+), a{i} AS (
+  SELECT row, any_value(vec_id) AS vec_id, any_value(q) AS q, arg_min(k, d * 100 + k) AS k, min(d) AS d
+  FROM d{i} GROUP BY row
+), m{i} AS (
+  SELECT k, list(m ORDER BY place) AS c
+  FROM (SELECT k, place, floor(sum(x)::DOUBLE / count(*))::BIGINT AS m
+        FROM (SELECT k, unnest(q) AS x, generate_subscripts(q, 1) AS place FROM a{i}) GROUP BY k, place)
+  GROUP BY k
+), c{i + 1} AS (
+  SELECT c{i}.k, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (k)"""
+
+
+MEANS_SQL = f"""
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR), q) - 1 AS k, q AS c FROM v
+  QUALIFY k < 16{"".join(_means_round(i) for i in range(4))}
+)
+SELECT vec_id, a3.k::INTEGER AS cluster, d AS distance,
+       (sum(d) OVER (PARTITION BY a3.k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON c3.k = a3.k
+"""

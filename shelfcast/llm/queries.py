@@ -14,7 +14,8 @@ from shelfcast.llm.common import documents, embeddings, with_settings
 from shelfcast.llm.line_dedup import LineParams, dedup_lines
 from shelfcast.llm.mixing import mix_slots, root_weights
 from shelfcast.llm.near_dups import NearParams, near_duplicates
-from shelfcast.llm.oracle import CHAT_SQL, MIXING_SQL, NEAR_SQL, TOP_K_SQL
+from shelfcast.llm.ns_means import MeansParams, cluster_vectors
+from shelfcast.llm.oracle import CHAT_SQL, MEANS_SQL, MIXING_SQL, NEAR_SQL, TOP_K_SQL
 from shelfcast.llm.packing import PackingParams, pack
 from shelfcast.llm.pii import find_personal_data
 from shelfcast.llm.token_counts import Vocabulary, token_counts
@@ -110,6 +111,10 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ns_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(embeddings(spark, sf_dir), MeansParams()).drop("evaluated")
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -124,6 +129,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_line_dedup,
         op10_personal_data,
         op12_chat_format,
+        op13_ns_means,
     )
 }
 
@@ -134,4 +140,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_source_mixing": MIXING_SQL,
         "op7_exact_top_k": TOP_K_SQL,
         "op12_chat_format": CHAT_SQL,
+        "op13_ns_means": MEANS_SQL,
     }
