@@ -159,3 +159,49 @@ SELECT vec_id, a3.k::INTEGER AS cluster, d AS distance,
        sha256(array_to_string(c, ',')) AS centroid_sha256
 FROM a3 JOIN c3 ON c3.k = a3.k
 """
+
+SPELLING_SQL = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+           lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n)) AS t
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[a-zÀ-ÿ]+')) AS run
+  FROM documents
+), grouped AS (
+  SELECT run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h
+  FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run
+), summed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+           list_transform(range(length(h) // 2), lambda i: 16 * (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1)
+                                                      + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1),
+           lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295)) AS crc
+  FROM grouped, crc
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT n, CASE WHEN crc % 31 = 0
+                       THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2)
+                       ELSE run END AS word FROM summed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i
+  WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON b.word = a.rest
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON b.word = a.rest
+), best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1
+), told AS (
+  SELECT w.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form,
+         CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), steps(word, root, next) AS (
+  SELECT word, word, form FROM told
+  UNION ALL SELECT s.word, t.word, t.form FROM steps s JOIN told t ON t.word = s.next
+)
+SELECT word, form, root, n, n_near, form_n FROM told JOIN steps USING (word) WHERE next IS NULL
+"""

@@ -15,9 +15,10 @@ from shelfcast.llm.line_dedup import LineParams, dedup_lines
 from shelfcast.llm.mixing import mix_slots, root_weights
 from shelfcast.llm.near_dups import NearParams, near_duplicates
 from shelfcast.llm.ns_means import MeansParams, cluster_vectors
-from shelfcast.llm.oracle import CHAT_SQL, MEANS_SQL, MIXING_SQL, NEAR_SQL, TOP_K_SQL
+from shelfcast.llm.oracle import CHAT_SQL, MEANS_SQL, MIXING_SQL, NEAR_SQL, SPELLING_SQL, TOP_K_SQL
 from shelfcast.llm.packing import PackingParams, pack
 from shelfcast.llm.pii import find_personal_data
+from shelfcast.llm.spelling import VariantParams, spelling_variants, word_counts
 from shelfcast.llm.token_counts import Vocabulary, token_counts
 from shelfcast.llm.topk import TopKParams, exact_top_k
 from shelfcast.llm.toxicity import (
@@ -29,6 +30,7 @@ from shelfcast.llm.toxicity import (
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MIX_RESOLUTION, MIX_BLOCK = 1000, 16
+TYPO_EVERY = 31
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +90,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(documents(spark, sf_dir))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = VariantParams()
+    return spelling_variants(word_counts(documents(spark, sf_dir), params, TYPO_EVERY), params)
+
+
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_settings(spark).read.parquet(f"{sf_dir}/conversations.parquet")
     rows = rows.select("conv_id", "turn", "role", "text")
@@ -128,6 +135,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_line_dedup,
         op10_personal_data,
+        op11_spelling_variants,
         op12_chat_format,
         op13_ns_means,
     )
@@ -139,6 +147,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_near_duplicates": NEAR_SQL,
         "op6_source_mixing": MIXING_SQL,
         "op7_exact_top_k": TOP_K_SQL,
+        "op11_spelling_variants": SPELLING_SQL,
         "op12_chat_format": CHAT_SQL,
         "op13_ns_means": MEANS_SQL,
     }
