@@ -9,9 +9,10 @@
    edit begins a gram of the dictionary) and, likewise, grams behind it. A near word therefore shares
    all but that many grams, at the same place or, behind an added character, one place further.
 4. So two near words share one of their rarest grams: of as many as can change, and one more. Words
-   are listed under these, with place and length. Lists are merged in cells of bounded size: pairs
-   that share fewer grams than the larger of both words' bounds asks for are passed over, the others
-   are compared character by character.
+   are listed under these, with place and length. Where the bounds ask for two shared grams, the
+   second is among one more of each word's rarest: the words of a list are merged by it in cells of
+   bounded size. Pairs that share fewer grams than the larger of both words' bounds asks for are
+   passed over, the others are compared character by character.
 
 One edit leaves the first or the last gram of every word with ``2 * q_max`` characters or more, so no
 word has an empty bound and no near word is lost; shorter limits are refused. A list of any length is
@@ -50,7 +51,7 @@ class VariantParams:
     q_min: int = 2
     q_max: int = 3
     frequent: float = 1 / 2000
-    block_rows: int = 4096
+    block_rows: int = 16_384
     bin_rows: int = 60_000
     remembered_words: int = 200_000
 
@@ -264,9 +265,13 @@ def _list_keys(grams: np.ndarray, places: np.ndarray, length: int) -> np.ndarray
     return mixed(grams + places.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(length)).view(np.int64)
 
 
+LISTED = "key long, home boolean, word string, n long, rank int, shift int, changed int"
+
+
 def _listed(dictionary: GramDictionary):
-    """Rows (key, home, word, n): a word under its rarest grams, with its own length (home) and, as
-    the shorter word of a pair, with the next length."""
+    """A word under its rarest grams, with its own length (home) and, as the shorter word of a pair,
+    with the next length; rank of the gram, places added to it, and how many grams an edit of that
+    kind changes at most."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -277,133 +282,194 @@ def _listed(dictionary: GramDictionary):
                 replaced, added = dictionary.changed(codes, lengths)
                 order = dictionary.rarest(grams, lengths)
                 have = (lengths > 0).sum(axis=1)
-                keys, rows, homes = [], [], []
+                found = []
                 for rank in range(int(min(max(replaced.max(), added.max()) + 1, have.max()))):
                     place = order[:, rank]
                     gram = grams[np.arange(len(at)), place]
-                    own = np.flatnonzero((rank <= replaced) & (rank < have))
-                    keys.append(_list_keys(gram[own], place[own], length))
-                    visits = np.flatnonzero((rank <= added) & (rank < have))
-                    for shift in (0, 1):
-                        keys.append(_list_keys(gram[visits], place[visits] + shift, length + 1))
-                    rows += [own, visits, visits]
-                    homes += [np.ones(len(own), dtype=bool), np.zeros(2 * len(visits), dtype=bool)]
-                row = at[np.concatenate(rows)]
+                    for home, shift, bound in ((True, 0, replaced), (False, 0, added), (False, 1, added)):
+                        row = np.flatnonzero((rank <= bound) & (rank < have))
+                        key = _list_keys(gram[row], place[row] + shift, length + (not home))
+                        found.append((key, home, row, rank, shift, bound[row]))
+                sizes = [len(f[0]) for f in found]
+                row = at[np.concatenate([f[2] for f in found])]
                 yield pd.DataFrame(
-                    {"key": np.concatenate(keys), "home": np.concatenate(homes), "word": words[row], "n": n[row]}
+                    {
+                        "key": np.concatenate([f[0] for f in found]),
+                        "home": np.repeat([f[1] for f in found], sizes),
+                        "word": words[row],
+                        "n": n[row],
+                        "rank": np.repeat([f[3] for f in found], sizes),
+                        "shift": np.repeat([f[4] for f in found], sizes),
+                        "changed": np.concatenate([f[5] for f in found]),
+                    }
                 )
 
     return run
 
 
-class _Merger:
-    """Grams and code points of the words of a cell, by length."""
+def _packed(values: np.ndarray) -> np.ndarray:
+    """Bytes (words, places), eight to a whole number: (words, ceil(places / 8))."""
+    wide = np.zeros((len(values), -(-values.shape[1] // 8) * 8), dtype=np.uint8)
+    wide[:, : values.shape[1]] = values
+    return wide.view(np.uint64)
+
+
+_LOW, _HIGH = np.uint64(0x7F7F7F7F7F7F7F7F), np.uint64(0x8080808080808080)
+
+
+def _equal_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The high bit of each byte in which a and b are equal."""
+    x = a ^ b
+    return ~(((x & _LOW) + _LOW) | x) & _HIGH
+
+
+class _Words:
+    """The words of a bin by length: code points, grams and their order, grams as bytes."""
 
     def __init__(self, words: np.ndarray, dictionary: GramDictionary):
         self.length = np.zeros(len(words), dtype=np.int64)
         self.row = np.zeros(len(words), dtype=np.int64)
-        self.need_replaced = np.zeros(len(words), dtype=np.int64)
-        self.need_added = np.zeros(len(words), dtype=np.int64)
+        self.have = np.zeros(len(words), dtype=np.int64)
         self.codes: dict[int, np.ndarray] = {}
+        self.grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.left: dict[int, np.ndarray] = {}
-        self.right: dict[int, np.ndarray] = {}
+        self.right: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for at, codes in _by_length(words):
             n = codes.shape[1]
             grams, lengths = dictionary.decomposed(codes)
-            replaced, added = dictionary.changed(codes, lengths)
-            have = (lengths > 0).sum(axis=1)
             self.length[at], self.row[at] = n, np.arange(len(at))
-            self.need_replaced[at], self.need_added[at] = have - replaced, have - added
-            # one byte a gram: equal grams stay equal, and different ones that look equal only
-            # let a pair through to the comparison of characters
+            self.have[at] = (lengths > 0).sum(axis=1)
+            self.codes[n], self.grams[n] = codes, (grams, dictionary.rarest(grams, lengths))
+            # a byte a gram: equal grams stay equal, and different ones that look equal only let a
+            # pair through to the comparison of characters; no byte stands for no gram
             short = (mixed(grams) % np.uint64(254) + np.uint64(1)).astype(np.uint8)
-            self.codes[n] = codes
-            self.left[n] = np.where(lengths > 0, short, 0).astype(np.uint8)
-            self.right[n] = np.where(lengths > 0, short, 255).astype(np.uint8)
-
-    def near(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The pairs of words (a, b) that are one edit apart."""
-        swap = self.length[a] > self.length[b]
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        more = self.length[b] - self.length[a]
-        found_a, found_b = [], []
-        for n in np.unique(self.length[a]):
-            for added in (0, 1):
-                at = np.flatnonzero((self.length[a] == n) & (more == added))
-                if len(at):
-                    x, y = a[at], b[at]
-                    kept = (self._one_more if added else self._same)(int(n), x, y)
-                    found_a.append(x[kept])
-                    found_b.append(y[kept])
-        none = np.empty(0, dtype=np.int64)
-        return (np.concatenate(found_a), np.concatenate(found_b)) if found_a else (none, none)
-
-    def _same(self, n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        shared = (self.left[n][self.row[x]] == self.right[n][self.row[y]]).sum(axis=1)
-        at = np.flatnonzero(shared >= np.maximum(self.need_replaced[x], self.need_replaced[y]))
+            right = np.where(lengths > 0, short, 255).astype(np.uint8)
+            self.left[n] = _packed(np.where(lengths > 0, short, 0).astype(np.uint8))
+            self.right[n] = tuple(_packed(x) | _beyond(x.shape[1]) for x in (right, right[:, :-1], right[:, 1:]))
+
+    def same(self, n: int, x: np.ndarray, y: np.ndarray, need: np.ndarray) -> np.ndarray:
+        """Which pairs of words of length n share as many grams as needed and differ in one
+        character."""
+        row, other = self.row[x], self.row[y]
+        equal = _equal_bytes(self.left[n][row], self.right[n][0][other])
+        at = np.flatnonzero(_count(equal) >= need)
         codes = self.codes[n]
-        return at[(codes[self.row[x[at]]] != codes[self.row[y[at]]]).sum(axis=1) == 1]
-
-    def _one_more(self, n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        grams, longer = self.left[n][self.row[x]], self.right[n + 1][self.row[y]]
-        shared = ((grams == longer[:, :-1]) | (grams == longer[:, 1:])).sum(axis=1)
-        at = np.flatnonzero(shared >= np.maximum(self.need_added[x], self.need_replaced[y]))
-        codes, more = self.codes[n][self.row[x[at]]], self.codes[n + 1][self.row[y[at]]]
+        return at[(codes[row[at]] != codes[other[at]]).sum(axis=1) == 1]
+
+    def one_more(self, n: int, x: np.ndarray, y: np.ndarray, need: np.ndarray) -> np.ndarray:
+        """The same for words x of length n that one added character turns into words y."""
+        row, other = self.row[x], self.row[y]
+        grams, (_, here, further) = self.left[n][row], self.right[n + 1]
+        equal = _equal_bytes(grams, here[other]) | _equal_bytes(grams, further[other])
+        at = np.flatnonzero(_count(equal) >= need)
+        codes, more = self.codes[n][row[at]], self.codes[n + 1][other[at]]
         before = np.logical_and.accumulate(codes == more[:, :-1], axis=1).sum(axis=1)
         behind = np.logical_and.accumulate((codes == more[:, 1:])[:, ::-1], axis=1).sum(axis=1)
         return at[before + behind >= n]
 
 
-PAIRS_AT_ONCE = 500_000
+def _beyond(places: int) -> np.ndarray:
+    """255 in the bytes that fill up the last whole number."""
+    filled = np.zeros((1, -(-places // 8) * 8), dtype=np.uint8)
+    filled[:, places:] = 255
+    return filled.view(np.uint64)
+
+
+def _count(bits: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(bits).astype(np.int64).sum(axis=1)
+
+
+PAIRS_AT_ONCE = 250_000
 NEAR = "word string, near string, near_n long"
 
 
+def _seconds(words: _Words, name: np.ndarray, home: np.ndarray, rank: np.ndarray, shift: np.ndarray, changed: np.ndarray):
+    """What a list is merged by: (row, key) for each row of a list and each gram that can be the
+    second that it shares, which is one behind the list's own in the order of grams. Rows that may
+    share one gram only have the key 0 too, under which they meet one another."""
+    rows, keys = [np.flatnonzero(words.have[name] - changed <= 1)], []
+    keys.append(np.zeros(len(rows[0]), dtype=np.uint64))
+    for n in np.unique(words.length[name]):
+        at = np.flatnonzero(words.length[name] == n)
+        grams, order = words.grams[int(n)]
+        own = words.row[name[at]]
+        first = order[own, rank[at]]
+        upto = np.minimum(changed[at] + 1, words.have[name[at]] - 1)
+        for second in range(1, int(upto.max()) + 1):
+            use = np.flatnonzero((second > rank[at]) & (second <= upto))
+            place = order[own[use], second]
+            key = mixed(grams[own[use], place] + place.astype(np.uint64) * TIMES) | np.uint64(1)
+            later = mixed(grams[own[use], place] + (place + 1).astype(np.uint64) * TIMES) | np.uint64(1)
+            behind, moved, short = place > first[use], shift[at[use]] == 1, ~home[at[use]]
+            stays = ~short | ~(behind & moved)
+            moves = short & (behind | moved)
+            rows += [at[use[stays]], at[use[moves]]]
+            keys += [key[stays], later[moves]]
+    return np.concatenate(rows), np.concatenate(keys)
+
+
 def _merged(dictionary: GramDictionary):
     """The near pairs of a bin of cells, both ways."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        cell = rows[["key", "c1", "c2"]].to_numpy()
-        side, home = rows["side"].to_numpy(), rows["home"].to_numpy().astype(bool)
-        order = np.lexsort((~home, side, cell[:, 2], cell[:, 1], cell[:, 0]))
-        cell, side, home = cell[order], side[order], home[order]
-        size = len(cell)
+        names, texts = pd.factorize(rows["word"].to_numpy())
+        words = _Words(np.asarray(texts, dtype=object), dictionary)
+        counts = np.zeros(len(texts), dtype=np.int64)
+        counts[names] = rows["n"].to_numpy()
+        changed, homes = rows["changed"].to_numpy(), rows["home"].to_numpy().astype(bool)
+        cells = rows.groupby(["key", "c1", "c2"], sort=False).ngroup().to_numpy()
+        own, second = _seconds(words, names, homes, rows["rank"].to_numpy(), rows["shift"].to_numpy(), changed)
+        length = words.length[names] + ~homes  # of the longer word
+        sides = rows["side"].to_numpy()
+        order = np.lexsort((~homes[own], sides[own], second, cells[own], length[own]))
+        own, second = own[order], second[order]
+        name, home, side, cell = names[own], homes[own], sides[own], cells[own]
+        need, length = words.have[name] - changed[own], length[own]
+        size = len(own)
         new = np.ones(size, dtype=bool)
-        new[1:] = (cell[1:] != cell[:-1]).any(axis=1)
+        new[1:] = (cell[1:] != cell[:-1]) | (second[1:] != second[:-1]) | (length[1:] != length[:-1])
         number, starts = np.cumsum(new) - 1, np.flatnonzero(new)
-        ends = np.append(starts[1:], size)[number]
-
-        def in_cell(values: np.ndarray) -> np.ndarray:
-            return np.add.reduceat(values.astype(np.int64), starts)[number]
-
-        # a row's partners lie together: the rows behind it in a cell of one block, else the other block
-        second = starts[number] + in_cell(side < 2)
-        low = np.where(side == 0, np.arange(size) + 1, second)
-        high = np.where(home, ends, np.where(side == 1, second + in_cell((side == 2) & home), low))
-        many = np.where(side < 2, high - low, 0)
-        paired = in_cell(many) > 0  # words of other lists need no grams
-        place = np.cumsum(paired) - 1
-        used = np.flatnonzero(many)
-        low, many, used = place[low[used]], many[used], place[used]
-        row = order[paired]
-        names, words = pd.factorize(rows["word"].to_numpy()[row])
-        counts = np.zeros(len(words), dtype=np.int64)
-        counts[names] = rows["n"].to_numpy()[row]
-        merger = _Merger(np.asarray(words, dtype=object), dictionary)
+        ends = np.append(starts[1:], size)[number] if size else starts
+
+        def in_list(values: np.ndarray) -> np.ndarray:
+            return np.add.reduceat(values.astype(np.int64), starts)[number] if size else values.astype(np.int64)
+
+        # partners of a row lie together: homes, then shorter words, of its own or the other block
+        other = starts[number] + in_list(side < 2)
+        low = np.where(side == 0, np.arange(size) + 1, other)
+        middle = np.where(side == 0, starts[number] + in_list((side == 0) & home), other + in_list((side == 2) & home))
         found = [np.empty(0, dtype=np.int64)]
-        upto = np.cumsum(many)
-        first = 0
-        while first < len(used):
-            done = upto[first - 1] if first else 0
-            last = max(int(np.searchsorted(upto, done + PAIRS_AT_ONCE, side="right")), first + 1)
-            n = many[first:last]
-            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            a, b = merger.near(names[np.repeat(used[first:last], n)], names[np.repeat(low[first:last], n) + offset])
-            found.append(np.unique(np.minimum(a, b) * len(words) + np.maximum(a, b)))
-            first = last
+        for from_, to, which, add in (
+            (low, middle, home & (side < 2), 0),
+            (middle, ends, home & (side < 2), 1),
+            (low, middle, ~home & (side == 1), -1),
+        ):
+            many = np.where(which, np.maximum(to - from_, 0), 0)
+            used = np.flatnonzero(many)
+            edges = np.flatnonzero(np.diff(length[used])) + 1
+            for part in np.split(used, edges):
+                upto, first = np.cumsum(many[part]), 0
+                while first < len(part):
+                    done = upto[first - 1] if first else 0
+                    last = max(int(np.searchsorted(upto, done + PAIRS_AT_ONCE, side="right")), first + 1)
+                    at, n = part[first:last], many[part[first:last]]
+                    i = np.repeat(at, n)
+                    j = np.repeat(from_[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    asked = np.maximum(need[i], need[j])
+                    i, j, long = name[i], name[j], int(length[at[0]])
+                    if add == 0:
+                        kept = words.same(long, i, j, asked)
+                    elif add == 1:
+                        kept = words.one_more(long - 1, j, i, asked)
+                    else:
+                        kept = words.one_more(long - 1, i, j, asked)
+                    a, b = i[kept], j[kept]
+                    found.append(np.unique(np.minimum(a, b) * len(texts) + np.maximum(a, b)))
+                    first = last
         pairs = np.unique(np.concatenate(found))
-        a, b = pairs // max(len(words), 1), pairs % max(len(words), 1)
+        a, b = pairs // max(len(texts), 1), pairs % max(len(texts), 1)
         ab, ba = np.concatenate([a, b]), np.concatenate([b, a])
-        return pd.DataFrame({"word": words[ab], "near": words[ba], "near_n": counts[ba]})
+        return pd.DataFrame({"word": texts[ab], "near": texts[ba], "near_n": counts[ba]})
 
     return run
 
@@ -413,7 +479,7 @@ def near_words(words: DataFrame, p: VariantParams) -> DataFrame:
     or replaced code point apart; every word is there once and has min_chars code points or more."""
     ship_code(words.sparkSession)
     dictionary = gram_dictionary(words, p)
-    listed = stored(words.mapInPandas(_listed(dictionary), "key long, home boolean, word string, n long"), "lists")
+    listed = stored(words.mapInPandas(_listed(dictionary), LISTED), "lists")
     sizes = listed.groupBy("key").agg(F.count("*").alias("rows"))
     long = stored(
         sizes.where(F.col("rows") > p.block_rows).select(
@@ -432,6 +498,9 @@ def near_words(words: DataFrame, p: VariantParams) -> DataFrame:
             "home",
             "word",
             "n",
+            "rank",
+            "shift",
+            "changed",
             F.least("own", "other").alias("c1"),
             F.greatest("own", "other").alias("c2"),
             F.when(F.col("own") == F.col("other"), 0)
