@@ -468,7 +468,9 @@ class Tables:
             )
         )
 
-    def sales_lines(self, since: dt.date | None = None) -> DataFrame:
+    def sales_lines(
+        self, since: dt.date | None = None, arrived_at: Column | None = None
+    ) -> DataFrame:
         """Lines by ship date. ``since`` filters the stored timestamp: the scan skips the rest."""
         lines = self.given("lineitem")
         if since is not None:
@@ -481,6 +483,7 @@ class Tables:
             money("l_extendedprice").alias("value"),
             "l_returnflag",
             (F.col("l_partkey") % 100).alias("style"),
+            *([] if arrived_at is None else [arrived_at.alias("arrived_at")]),
         )
 
     @cached_property

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -15,6 +16,8 @@ from checks.fixtures import (
     LOCATION_PARAMS,
     STOCK_DATE,
     Tables,
+    money,
+    part_sku,
 )
 from shelfcast import sinks, sources
 from shelfcast.functions import sequence_label, surrogate_key
@@ -30,13 +33,25 @@ from shelfcast.operators import (
     quality,
     sizing,
 )
-from shelfcast.plans import planning_checks, product_dimension_run, store_inventory_run
+from shelfcast.plans import (
+    merge_events,
+    merge_exclusions,
+    planning_checks,
+    product_dimension_merge,
+    product_dimension_run,
+    store_inventory_run,
+)
 from shelfcast.plans.interface import location_dimension
 from shelfcast.session import scratch_path
 
 RUN_TS = dt.datetime(2021, 10, 14, 6, 45, 0)
 HISTORY_START = dt.datetime(2021, 1, 1)
 FIRST_RUN = dt.datetime(2021, 4, 1)
+ARRIVALS = (dt.datetime(1998, 1, 1), dt.datetime(2000, 2, 15), dt.datetime(2100, 1, 1))
+BUCKETS = 16
+DIMENSION_COLUMNS = (
+    "sku", "skudesc", "wholesale_price", "valid_from", "valid_to", "is_current", "is_deleted", "is_excluded"
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -251,6 +266,16 @@ def flagged(t: Tables) -> DataFrame:
     return eligibility.flag_excluded(t.raw_products, eligible(t)).select("sku", "is_excluded")
 
 
+@query("q27b_exclusion_merge")
+def flags_merged(t: Tables) -> DataFrame:
+    """All products are stored as excluded; the merge turns the flags that the rules turn."""
+    rows = t.raw_products.withColumn("is_excluded", F.lit(True))
+    table = sinks.BucketTable(scratch_path(t.spark, "products"), rows.schema, ("sku",), BUCKETS)
+    table.create(rows)
+    merge_exclusions(table, t.brand, ELIGIBILITY_PARAMS)
+    return table.read(t.spark).select("sku", "is_excluded")
+
+
 @query("q28_publish_replace")
 def published(t: Tables) -> DataFrame:
     rows = zips(t)
@@ -259,6 +284,15 @@ def published(t: Tables) -> DataFrame:
     return sinks.stage_table(first, base, "run-2")
 
 
+@query("q28b_publish_pointer")
+def pointed(t: Tables) -> DataFrame:
+    """A table that shows first only the zips' best facilities, then the whole network."""
+    rows, base = zips(t), scratch_path(t.spark, "zip-network")
+    name = f"zip_network_{uuid.uuid4().hex}"
+    sinks.publish_pointed(rows.where("priority = 1"), name, base, "run-1")
+    return sinks.publish_pointed(rows, name, base, "run-2")
+
+
 @query("q29_feed_export")
 def exported(t: Tables) -> DataFrame:
     rows = attributes(t)
@@ -371,9 +405,8 @@ def product_deletes(t: Tables) -> DataFrame:
     return product_history.mark_deleted(_dimension(t), t.third_source)
 
 
-@query("q38e_product_run")
-def product_run(t: Tables) -> DataFrame:
-    """Two whole runs on products with all their columns, the second on a later delivery."""
+def _deliveries(t: Tables) -> tuple[DataFrame, list[tuple[DataFrame, dt.datetime]]]:
+    """Products of a first dimension, and two later deliveries with the times of their runs."""
     key = F.substring_index(F.substring_index("sku", "-", 1), "P", -1).cast("bigint")
     raised = (F.col("wholesale_price") * F.lit("1.1").cast("decimal(2,1)")).cast("decimal(18,4)")
     merchandise = F.col("merchandise_class")
@@ -382,15 +415,59 @@ def product_run(t: Tables) -> DataFrame:
         "wholesale_price", F.when(key % 4 == 0, raised).otherwise(F.col("wholesale_price"))
     )
     third = products.filter(merchandise != "MC2").withColumn("sku", F.when(key % 97 != 0, F.col("sku")))
+    return products.filter(~merchandise.isin("MC2", "MC3")), [(second, FIRST_RUN), (third, RUN_TS)]
+
+
+@query("q38e_product_run")
+def product_run(t: Tables) -> DataFrame:
+    """Two whole runs on products with all their columns, the second on a later delivery."""
+    first, deliveries = _deliveries(t)
     base = scratch_path(t.spark, "product-run")
-    table = product_history.start_history(products.filter(~merchandise.isin("MC2", "MC3")), HISTORY_START)
-    for source, run_ts in ((second, FIRST_RUN), (third, RUN_TS)):
+    table = product_history.start_history(first, HISTORY_START)
+    for source, run_ts in deliveries:
         table = product_dimension_run(
             table, [source], t.brand, ["wholesale_price"], ["skudesc"], base, run_ts, ELIGIBILITY_PARAMS
         )
-    return table.select(
-        "sku", "skudesc", "wholesale_price", "valid_from", "valid_to", "is_current", "is_deleted", "is_excluded"
+    return table.select(*DIMENSION_COLUMNS)
+
+
+@query("q38f_dimension_merge")
+def dimension_merge(t: Tables) -> DataFrame:
+    """The two runs of q38e on a dimension in buckets."""
+    first, deliveries = _deliveries(t)
+    rows = product_history.start_history(first, HISTORY_START).withColumn("is_deleted", F.lit(False))
+    flagged = eligibility.flag_excluded(rows, eligibility.eligible_skus(rows, t.brand, ELIGIBILITY_PARAMS))
+    base = scratch_path(t.spark, "product-merge")
+    table = sinks.BucketTable(f"{base}/dimension", flagged.schema, ("sku",), BUCKETS)
+    table.create(flagged)
+    for source, run_ts in deliveries:
+        product_dimension_merge(
+            table, [source], t.brand, ["wholesale_price"], ["skudesc"], base, run_ts, ELIGIBILITY_PARAMS
+        )
+    return table.read(t.spark).select(*DIMENSION_COLUMNS)
+
+
+@query("q38g_late_changes")
+def late_changes(t: Tables) -> DataFrame:
+    """Discounts of a product by ship date; open lines are delivered first, older ones after them."""
+    lines = t.given("lineitem").select(
+        part_sku("l_partkey").alias("sku"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("effective_at"),
+        F.col("l_orderkey").alias("delivered"),
+        money("l_discount").alias("discount"),
+        "l_returnflag",
     )
+    events = lines.drop("l_returnflag")
+    base = scratch_path(t.spark, "events")
+    stored = sinks.BucketTable(f"{base}/events", events.schema, ("sku",), BUCKETS)
+    none = product_history.history_of_events(events.limit(0), "sku", ["discount"])
+    history = sinks.BucketTable(f"{base}/history", none.schema, ("sku",), BUCKETS)
+    stored.create(events.limit(0))
+    history.create(none)
+    for flag in ("N", "R", "A"):
+        delivery = events.where(lines["l_returnflag"] == flag)
+        merge_events(stored, history, delivery, "sku", ["discount"])
+    return history.read(t.spark)
 
 
 @query("q39_inventory_upsert")
@@ -405,6 +482,16 @@ def store_delta(t: Tables) -> DataFrame:
     return inventory.snapshot_delta(t.inventory_before, t.inventory_after)
 
 
+@query("q40c_delta_by_digest")
+def delta_by_digest(t: Tables) -> DataFrame:
+    base = scratch_path(t.spark, "snapshots")
+    before, after = (
+        sinks.store_snapshot(rows, f"{base}/{name}", inventory.STORE_SKU, BUCKETS)
+        for name, rows in (("before", t.inventory_before), ("after", t.inventory_after))
+    )
+    return sinks.compare_snapshots(before, after, inventory.snapshot_delta)
+
+
 @query("q40b_store_inventory_run")
 def inventory_run(t: Tables) -> DataFrame:
     """The delta that a run puts into its history and its files."""
@@ -473,6 +560,18 @@ def weekly_refresh(t: Tables) -> DataFrame:
     return _window_refresh(t, "weekly")
 
 
+@query("q42g_refresh_late")
+def late_refresh(t: Tables) -> DataFrame:
+    """Three loads; a line arrives nine days after its ship date for each line before it."""
+    arrived = F.date_add(F.to_date("l_shipdate"), (F.col("l_linenumber") * 9).cast("int"))
+    lines = t.sales_lines(arrived_at=arrived.cast("timestamp_ntz"))
+    base, since = scratch_path(t.spark, "late-fact"), None
+    for run_id, upto in (("one", ARRIVALS[0]), ("two", ARRIVALS[1]), ("three", ARRIVALS[2])):
+        sinks.load_arrivals(lines, base, run_id, upto, since)
+        since = upto
+    return _decimal_value(sinks.read_fact(lines, base))
+
+
 @query("q42e_inventory_fact")
 def inventory_fact(t: Tables) -> DataFrame:
     """Units that stay: returned lines count against them."""

@@ -45,3 +45,13 @@ def flag_excluded(products: DataFrame, eligible: DataFrame) -> DataFrame:
     return products.join(kept, "sku", "left").select(
         *columns, F.col("is_eligible").isNull().alias("is_excluded")
     )
+
+
+def flag_changes(products: DataFrame, eligible: DataFrame) -> DataFrame:
+    """Skus with a row whose stored ``is_excluded`` is not what ``flag_excluded`` would give."""
+    before = products.select("sku", F.col("is_excluded").alias("was_excluded"))
+    return (
+        flag_excluded(before, eligible)
+        .where(~F.col("was_excluded").eqNullSafe(F.col("is_excluded")))
+        .select("sku")
+    )

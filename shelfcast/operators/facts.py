@@ -23,6 +23,12 @@ def fact_rollup(lines: DataFrame, keys: Sequence[str] = FACT_KEYS) -> DataFrame:
     )
 
 
+def merge_rollups(stored: DataFrame, fresh: DataFrame, keys: Sequence[str] = FACT_KEYS) -> DataFrame:
+    """Stored totals with those of new lines added: sums of sums, one row per key."""
+    columns = [*keys, "units", "value"]
+    return fact_rollup(stored.select(*columns).unionByName(fresh.select(*columns)), keys)
+
+
 def refresh_window(mode: str, as_of: dt.date, days: int | None = None) -> dt.date | None:
     """First date a run replaces; None for all of them."""
     if mode == "full":

@@ -9,7 +9,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
@@ -96,6 +96,62 @@ def track_changes(
     return joined.select(key, F.inline(versions)).select(*columns)
 
 
+def dimension_changes(
+    dimension: DataFrame,
+    source: DataFrame,
+    columns: Sequence[str],
+    key: str = "sku",
+    flag: str = "is_deleted",
+) -> DataFrame:
+    """Keys of which a run over a delivery would change a row: current rows whose columns differ, new
+    keys, keys that vanished and are not marked, and marked ones that came back.
+
+    Both sides have at most one row per key (current rows, deliveries), so an aggregate over the
+    union compares them; closed rows never change.
+    """
+    values = F.struct(*columns)
+    before = dimension.filter("is_current").select(
+        key, values.alias("before"), F.coalesce(flag, F.lit(False)).alias("gone")
+    )
+    after = source.filter(F.col(key).isNotNull()).select(key, values.alias("after"))
+    both = before.unionByName(after, allowMissingColumns=True).groupBy(key).agg(
+        F.max("before").alias("before"), F.max("after").alias("after"), F.max("gone").alias("gone")
+    )
+    marked = F.coalesce("gone", F.lit(False))
+    kept = F.col("before").eqNullSafe(F.col("after")) & ~marked
+    return both.where(~(kept | (F.col("after").isNull() & marked))).select(key)
+
+
+def latest_events(events: DataFrame, key: str, order: str = "delivered") -> DataFrame:
+    """One event per key and ``effective_at``: the one delivered last, of those the largest."""
+    values = [c for c in events.columns if c not in (key, "effective_at", order)]
+    return (
+        events.groupBy(key, "effective_at")
+        .agg(F.max(F.struct(order, *values)).alias("last"))
+        .select(key, "effective_at", "last.*")
+        .select(*events.columns)
+    )
+
+
+def history_of_events(events: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
+    """Type 2 from events (key, effective_at, tracked columns) in any order of delivery: a version
+    for each stretch of events that say the same, from its first event to the next version.
+
+    Events are one per key and time (``latest_events``), so what a window sorts is what one key's
+    history holds. Events without a time say nothing about when and are left out; a NULL value is a
+    value.
+    """
+    by_time = Window.partitionBy(key).orderBy("effective_at")
+    said = F.struct(*tracked)
+    before = F.lag(said).over(by_time)
+    opens = before.isNull() | ~before.eqNullSafe(said)
+    stretches = events.where("effective_at IS NOT NULL").withColumn("opens", opens).where("opens")
+    until = F.lead("effective_at").over(by_time)
+    return stretches.select(
+        key, *tracked, F.col("effective_at").alias("valid_from"), until.alias("valid_to")
+    ).withColumn("is_current", F.col("valid_to").isNull())
+
+
 def overwrite_current(
     dimension: DataFrame, source: DataFrame, columns: Sequence[str], key: str = "sku"
 ) -> DataFrame:

@@ -1,3 +1,13 @@
+from shelfcast.sinks.arrivals import high_water_mark, load_arrivals, read_fact
+from shelfcast.sinks.buckets import (
+    BucketTable,
+    Snapshot,
+    compare_snapshots,
+    differing_buckets,
+    merge_buckets,
+    store_snapshot,
+    touched_buckets,
+)
 from shelfcast.sinks.feeds import (
     combine_manifests,
     export_feed,
@@ -9,6 +19,8 @@ from shelfcast.sinks.feeds import (
 )
 from shelfcast.sinks.publish import (
     append_history,
+    point_table,
+    publish_pointed,
     publish_table,
     read_history,
     refresh_dates,
@@ -18,18 +30,30 @@ from shelfcast.sinks.publish import (
 from shelfcast.sinks.store_delta import export_store_deltas
 
 __all__ = [
+    "BucketTable",
+    "Snapshot",
     "append_history",
     "combine_manifests",
+    "compare_snapshots",
+    "differing_buckets",
     "export_feed",
     "export_manifest",
     "export_run",
     "export_store_deltas",
     "feed_file_name",
     "feed_manifest",
+    "high_water_mark",
+    "load_arrivals",
+    "merge_buckets",
+    "point_table",
+    "publish_pointed",
     "publish_table",
+    "read_fact",
     "read_feed",
     "read_history",
     "refresh_dates",
     "stage_table",
+    "store_snapshot",
+    "touched_buckets",
     "write_by_date",
 ]

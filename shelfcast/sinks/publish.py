@@ -1,7 +1,8 @@
 """Replacing tables without a table format.
 
 Overwriting a path that the same job reads destroys it, so a replaced table goes to a new run
-path and the caller moves its pointer (the path it passes on) once the write has succeeded.
+path. Readers follow a catalog table that is pointed at it once the write has succeeded, or a path
+that the caller passes on.
 """
 
 from __future__ import annotations
@@ -30,6 +31,34 @@ def stage_table(df: DataFrame, base: str, run_id: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(publish_table(df, base, run_id))
 
 
+def point_table(spark: SparkSession, name: str, path: str, schema: StructType) -> None:
+    """Let the catalog table ``name`` show the rows at path, from one moment to the next.
+
+    The first call creates the table over the path. Later ones change its location, which the
+    catalog does at once, so a query sees the rows of one run whole. Its older runs stay where they
+    are for queries that are still reading them.
+    """
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
+        return
+    stored = spark.table(name).schema
+    if [(f.name, f.dataType) for f in stored] != [(f.name, f.dataType) for f in schema]:
+        raise ValueError(f"{name} has other columns than the run at {path}")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+
+
+def publish_pointed(df: DataFrame, name: str, base: str, run_id: str) -> DataFrame:
+    """Publish a run and point the catalog table at it once all its rows are written.
+
+    A run that fails leaves the table with the run before.
+    """
+    path = publish_table(df, base, run_id)
+    point_table(df.sparkSession, name, path, df.schema)
+    return df.sparkSession.table(name)
+
+
 def append_history(df: DataFrame, base: str, run_id: str) -> str:
     """Add one run's rows to a history table partitioned by run id.
 
