@@ -41,7 +41,7 @@ from shelfcast.plans import (
     product_dimension_run,
     store_inventory_run,
 )
-from shelfcast.plans.interface import location_dimension
+from shelfcast.plans.interface import location_dimension, pending_backorders
 from shelfcast.session import scratch_path
 
 RUN_TS = dt.datetime(2021, 10, 14, 6, 45, 0)
@@ -236,8 +236,8 @@ def demand(t: Tables) -> DataFrame:
 
 
 def pending_value_of(t: Tables) -> DataFrame:
-    totals = backorder.demand_totals(details(t), BACKORDER_PARAMS)
-    return backorder.backorder_value(owed_units(t), totals, t.products, BACKORDER_PARAMS)
+    base = scratch_path(t.spark, "backorders")
+    return pending_backorders(t.units, t.transactions, t.products, BACKORDER_PARAMS, base, "run")
 
 
 @query("q25_backorder_value")
@@ -357,8 +357,8 @@ def rejects(t: Tables) -> DataFrame:
     base = scratch_path(t.spark, "checked-feeds")
     feeds = {
         "location_attributes": sinks.stage_table(attributes(t), base, "locations"),
-        "zip_network": zips(t),
-        "backorder_sales": pending_value_of(t),
+        "zip_network": sinks.stage_table(zips(t), base, "zips"),
+        "backorder_sales": sinks.stage_table(pending_value_of(t), base, "backorders"),
     }
     delivery = quality.FeedCheck("product_delivery", t.third_source, ["sku"])
     checks = planning_checks(feeds, sources.live_rows(t.catalog), t.locations)

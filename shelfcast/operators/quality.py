@@ -35,11 +35,12 @@ def feed_rejects(feed: FeedCheck) -> DataFrame:
     the rows are joined to is the values found unknown, usually few or none.
     """
     columns = list(dict.fromkeys([*feed.key, *feed.dimensions]))
+    # the values to look up come from the groups, which are fewer than the rows
     counted = feed.rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
     bad = [F.col(c).isNull() for c in columns]
     for i, (column, dimension) in enumerate(feed.dimensions.items()):
         unknown = (
-            feed.rows.select(column)
+            counted.select(column)
             .distinct()
             .join(dimension.toDF(column), column, "left_anti")
             .withColumn(f"unknown_{i}", F.lit(True))

@@ -13,7 +13,7 @@ from shelfcast.functions import surrogate_key
 from shelfcast.operators.backorder import (
     backorder_value,
     backordered_units,
-    demand_totals,
+    demand_sales,
     flatten_details,
     open_orders,
 )
@@ -70,16 +70,28 @@ def location_dimension(
 
 
 def pending_backorders(
-    units: DataFrame, transactions: DataFrame, products: DataFrame, params: BackorderParams
+    units: DataFrame,
+    transactions: DataFrame,
+    products: DataFrame,
+    params: BackorderParams,
+    base: str,
+    run_id: str,
 ) -> DataFrame:
-    """Backorder value with the owed units computed once.
+    """Backorder value from the details of owed pairs of order and sku only.
 
-    Joining the units to the totals of all demand keeps exactly the pairs a prior restriction to
-    backordered pairs would keep, so the units are not computed a second time as a filter.
+    The owed units are stored under ``base``, as they are read twice: as a filter of the details,
+    before these are added up, and as rows of the result. The stored table has one scan and a filter
+    (which all rows pass), so where it is too large to broadcast, Spark can make a Bloom filter of
+    its orders and drop the other orders in the scan of the transactions (``SCALE_SETTINGS``). What
+    is left is shuffled once, by order and sku, for the filter, the totals and the result.
     """
-    backordered = backordered_units(units, open_orders(transactions, params), products, params)
-    demand = demand_totals(flatten_details(transactions), params)
-    return backorder_value(backordered, demand, products, params)
+    owed = stage_table(
+        backordered_units(units, open_orders(transactions, params), products, params),
+        f"{base}/backordered",
+        run_id,
+    ).where("backordered_qty > 0")
+    demand = demand_sales(flatten_details(transactions), owed, params)
+    return backorder_value(owed, demand, products, params)
 
 
 def planning_feeds(
@@ -129,7 +141,7 @@ def planning_feeds(
         "backorder_sales": stored(
             "backorder_sales",
             pending_backorders(
-                inputs.units, inputs.transactions, inputs.products, backorder_params
+                inputs.units, inputs.transactions, inputs.products, backorder_params, base, run_id
             ),
         ),
     }

@@ -10,12 +10,23 @@ from pyspark.sql import SparkSession
 # setting AQE leaves such a join unsplit because splitting costs one more shuffle.
 # In Spark 4.1 a union reports its inputs' common partitioning; when AQE then changes one input the
 # job fails with "Can't zip RDDs with unequal numbers of partitions", so unions keep no partitioning.
+# A join of a large scan with a filtered table that is too large to broadcast drops most rows in the
+# scan by a Bloom filter. Its size is fixed: a byte for each of BLOOM_ITEMS keys, with which 2 in 100
+# other keys pass, and each task that reads the filtered table sends one. Spark makes a filter only
+# for scans over 10 GB.
+BLOOM_ITEMS = 16_000_000
 SCALE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.unionOutputPartitioning": "false",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1TB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": str(BLOOM_ITEMS),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": str(BLOOM_ITEMS),
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": str(8 * BLOOM_ITEMS),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(8 * BLOOM_ITEMS),
 }
 
 
