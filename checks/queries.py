@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -351,8 +351,7 @@ def prices(t: Tables) -> DataFrame:
     return sources.read_prices(t.spark, target)
 
 
-@query("q35_reject_summary")
-def rejects(t: Tables) -> DataFrame:
+def _checked(t: Tables) -> list[quality.FeedCheck]:
     """Three feeds that hold what they promise and a delivery with products that lack a key."""
     base = scratch_path(t.spark, "checked-feeds")
     feeds = {
@@ -361,8 +360,34 @@ def rejects(t: Tables) -> DataFrame:
         "backorder_sales": sinks.stage_table(pending_value_of(t), base, "backorders"),
     }
     delivery = quality.FeedCheck("product_delivery", t.third_source, ["sku"])
-    checks = planning_checks(feeds, sources.live_rows(t.catalog), t.locations)
-    return quality.reject_summary([*checks, delivery])
+    return [*planning_checks(feeds, sources.live_rows(t.catalog), t.locations), delivery]
+
+
+@query("q35_reject_summary")
+def rejects(t: Tables) -> DataFrame:
+    return quality.reject_summary(_checked(t))
+
+
+@query("q35b_reject_quarantine")
+def quarantined(t: Tables) -> DataFrame:
+    """Counts of the rows that were written apart as rejected."""
+    base = scratch_path(t.spark, "quarantine")
+    counts = []
+    for feed in _checked(t):
+        path = sinks.split_feed(feed, f"{base}/{feed.name}", "run")
+        kept = sinks.split_rows(t.spark, path, feed.rows.schema, accepted=False)
+        counts.append(kept.agg(F.count("*").alias("reject_count")).select(
+            F.lit(feed.name).alias("interface_name"), "reject_count"
+        ))
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("q35c_accepted_products")
+def accepted_products(t: Tables) -> DataFrame:
+    """What of a delivery is accepted: products with a key that is theirs alone."""
+    feed = quality.FeedCheck("product_delivery", t.third_source, ["sku"])
+    path = sinks.split_feed(feed, scratch_path(t.spark, "accepted"), "run")
+    return sinks.split_rows(t.spark, path, feed.rows.schema, accepted=True)
 
 
 @query("q36_reject_alert")

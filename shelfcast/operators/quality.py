@@ -59,6 +59,51 @@ def feed_rejects(feed: FeedCheck) -> DataFrame:
     )
 
 
+def reject_rules(feed: FeedCheck) -> list[str]:
+    """The rules that a row of the feed can fail, in the order of their bits."""
+    return ["unknown_key", *[f"not_in_{c}" for c in feed.dimensions], *(["repeated_key"] if feed.unique else [])]
+
+
+def labelled_rows(feed: FeedCheck) -> DataFrame:
+    """The rows of a feed with ``reject_bits``: bit i is set where ``reject_rules(feed)[i]`` fails, and
+    none where the row is accepted. The rows with a bit are those that ``feed_rejects`` counts.
+
+    Rows are joined to what is wrong, which is usually little: values not in their dimension, and
+    keys that occur more than once. A key that occurs in a third of all rows is one row there, and
+    the rows stay on the left, where AQE splits them. A NULL key fails as unknown, not as repeated.
+    """
+    rows = feed.rows
+    columns = list(dict.fromkeys([*feed.key, *feed.dimensions]))
+    rules = reject_rules(feed)
+    failed = [_any([F.col(c).isNull() for c in columns])]
+    for i, (column, dimension) in enumerate(feed.dimensions.items()):
+        name = f"reject_{i}"
+        unknown = rows.select(column).distinct().join(dimension.toDF(column), column, "left_anti")
+        rows = rows.join(unknown.where(F.col(column).isNotNull()).withColumn(name, F.lit(True)), column, "left")
+        failed.append(F.col(name).isNotNull())
+    if feed.unique:
+        counted = feed.rows.groupBy(*feed.key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        rows = rows.join(counted.drop("n").withColumn("reject_n", F.lit(True)), list(feed.key), "left")
+        failed.append(F.col("reject_n").isNotNull())
+    bits = reduce(
+        lambda a, b: a + b, [F.when(f, F.lit(1 << i)).otherwise(F.lit(0)) for i, f in enumerate(failed)]
+    )
+    if len(failed) != len(rules):
+        raise AssertionError("a bit for each rule")
+    return rows.select(*[F.col(c) for c in feed.rows.columns], bits.alias("reject_bits"))
+
+
+def rejects_by_rule(feed: FeedCheck, labelled: DataFrame) -> DataFrame:
+    """Rows (interface_name, rule, reject_count) with how many labelled rows fail each rule; a row
+    that fails two is counted under both."""
+    bits = F.col("reject_bits")
+    counts = labelled.agg(
+        *[F.count(F.when(bits.bitwiseAND(1 << i) != 0, 1)).alias(rule) for i, rule in enumerate(reject_rules(feed))]
+    )
+    pairs = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("reject_count")) for r in reject_rules(feed)])
+    return counts.select(F.lit(feed.name).alias("interface_name"), F.inline(pairs))
+
+
 def reject_summary(feeds: Iterable[FeedCheck]) -> DataFrame:
     return reduce(DataFrame.unionByName, [feed_rejects(feed) for feed in feeds])
 

@@ -27,6 +27,7 @@ from shelfcast.sinks.publish import (
     stage_table,
     write_by_date,
 )
+from shelfcast.sinks.quarantine import split_feed, split_rows
 from shelfcast.sinks.store_delta import export_store_deltas
 
 __all__ = [
@@ -52,6 +53,8 @@ __all__ = [
     "read_feed",
     "read_history",
     "refresh_dates",
+    "split_feed",
+    "split_rows",
     "stage_table",
     "store_snapshot",
     "touched_buckets",

@@ -210,3 +210,27 @@ def test_readers_keep_the_old_run_while_a_publish_fails(spark, tmp_path):
     with pytest.raises(ValueError):
         sinks.publish_pointed(spark.range(2), name, base, "4")
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_rejected_rows_are_kept_apart_with_their_reasons(spark, tmp_path):
+    from shelfcast.operators import quality
+
+    rows = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 2, "x"), ("b", 1, "y"), ("c", 9, "x"), (None, 1, "x"), (None, 1, "x"), ("d", None, "z"),
+         ("e", 2, "x"), ("f", 9, "y"), ("f", 9, "y")],
+        "k string, ref int, other string",
+    )
+    known = spark.createDataFrame([(1,), (2,)], "id int")
+    feed = quality.FeedCheck("feed", rows, ["k"], {"ref": known})
+    path = sinks.split_feed(feed, str(tmp_path), "run")
+    good = sinks.split_rows(spark, path, rows.schema, accepted=True)
+    bad = sinks.split_rows(spark, path, rows.schema, accepted=False)
+    assert rows_of(good) == [("b", 1, "y"), ("e", 2, "x")]
+    assert bad.count() == quality.feed_rejects(feed).first()["reject_count"] == 8
+    labels = {(r.k, r.ref): r.reject_bits for r in bad.collect()}
+    assert labels == {("a", 1): 4, ("a", 2): 4, ("c", 9): 2, (None, 1): 1, ("d", None): 1, ("f", 9): 6}
+    by_rule = {r.rule: r.reject_count for r in quality.rejects_by_rule(feed, bad).collect()}
+    assert by_rule == {"unknown_key": 3, "not_in_ref": 3, "repeated_key": 4}
+    assert quality.reject_rules(quality.FeedCheck("f", rows, ["k"], unique=False)) == ["unknown_key"]
+    none = quality.FeedCheck("none", rows.limit(0), ["k"], {"ref": known})
+    assert sinks.split_rows(spark, sinks.split_feed(none, str(tmp_path), "none"), rows.schema, True).isEmpty()

@@ -31,6 +31,8 @@ WRITES_FILES = {
     "q32_store_delta_export",
     "q34_price_snapshot",
     "q35_reject_summary",
+    "q35b_reject_quarantine",
+    "q35c_accepted_products",
     "q36_reject_alert",
     "q38e_product_run",
     "q38f_dimension_merge",
