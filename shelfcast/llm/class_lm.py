@@ -15,8 +15,8 @@ with the vocabulary; neighbour counts are held for ``held_counts`` of them at a
 
 A token has the probability of its class after the previous token's class, smoothed with ``prior``
 observations of the class itself, times its share of its class. As in the base, all unknown words
-are one outcome beside the known ones; it has the share of training tokens seen once, and the
-probabilities of all outcomes add up to one. Scores of the known tokens alone are given as well.
+are one outcome beside the known ones; after every class it has the share of training tokens seen once,
+and the probabilities of all outcomes add up to one. Scores of the known tokens alone are given as well.
 """
 
 from __future__ import annotations
@@ -397,13 +397,15 @@ class Corpus:
 
 
 def transition_logs(pairs: np.ndarray, corpus: Corpus, prior: float) -> np.ndarray:
-    """log10 of the probability of each class after each class, rows adding up to one."""
-    own = pairs.sum(axis=0).astype(np.float64)
+    """log10 of the probability of each class after each class, rows adding up to one: the last class,
+    the unknown words, has the same share of every row, and the known ones share the rest."""
+    known = pairs[:, :-1].astype(np.float64)
+    own = known.sum(axis=0)
+    share = own / max(own.sum(), 1.0)
+    smoothed = (known + prior * share) / (known.sum(axis=1, keepdims=True) + prior)
     unknown = unknown_share(corpus)
-    share = own / max(own.sum(), 1.0) * (1 - unknown)
-    share[-1] = unknown
-    total = pairs.sum(axis=1, keepdims=True)
-    return np.log10(np.maximum((pairs + prior * share) / (total + prior), 1e-300))
+    rows = np.column_stack([smoothed * (1 - unknown), np.full(len(pairs), unknown)])
+    return np.log10(np.maximum(rows, 1e-300))
 
 
 def unknown_share(corpus: Corpus) -> float:

@@ -1,5 +1,6 @@
 """Personal data, token counts, toxicity and the class model against plain versions."""
 
+import math
 import random
 import re
 import zlib
@@ -8,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+import xxhash
 from shelfcast.llm.class_lm import ClassLmParams, Corpus, class_lm_scores, exchanged, transition_logs
 from shelfcast.llm.pii import find_personal_data, joined, luhn, spans_of
 from shelfcast.llm.queries import VOCABULARY
@@ -295,3 +297,60 @@ def test_neighbour_counts_do_not_depend_on_how_many_are_held(spark):
     # where a block ends decides what stands before the first text only by an end, so scores agree
     assert found[0].keys() == found[1].keys()
     assert all(abs(found[0][i] - found[1][i]) < 1e-9 for i in found[0])
+
+
+def test_unknown_words_have_the_same_share_after_every_class():
+    pairs = np.zeros((4, 4), dtype=np.int64)
+    pairs[:3, :3] = [[1_000_000, 10, 0], [103, 0, 0], [0, 0, 0]]
+    for once in (0, 20_000, 10**9):
+        rows = 10 ** transition_logs(pairs, Corpus(1_000_113, 50_000, once), 20.0)
+        assert np.allclose(rows[:, -1], rows[0, -1]) and np.allclose(rows.sum(axis=1), 1)
+    rows = 10 ** transition_logs(pairs, Corpus(1_000_000, 50_000, 20_000), 20.0)
+    assert np.allclose(rows[:, -1], 0.02)
+    assert np.allclose(10 ** transition_logs(np.zeros((3, 3)), Corpus(0, 0, 0), 20.0)[:, -1], 1)
+
+
+def test_class_scores_equal_a_plain_class_model(spark, monkeypatch):
+    """With the learnt classes given, scores are those of bigrams counted in plain Python."""
+    from shelfcast.llm import class_lm
+
+    exchange, given = class_lm.learnt_classes, {}
+
+    def seen(blocks, words, counts, p):
+        model, pairs = exchange(blocks, words, counts, p)
+        given.update(words=[w % 2**64 for w in words.tolist()], classes=model.classes.tolist())
+        return model, pairs
+
+    monkeypatch.setattr(class_lm, "learnt_classes", seen)
+    rows, p = corpus(250, 9), ClassLmParams(n_classes=5, min_count=4, block_tokens=2000, rounds=3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.score for r in class_lm_scores(docs, p).collect()}
+
+    end = int(class_lm.END)
+    tokens = {i: [xxhash.xxh3_64_intdigest(w) for w in t.lower().encode().split()] + [end] for i, t in rows}
+    trained = {i for i in tokens if zlib.crc32(str(i).encode()) % 5 != 1}
+    n = Counts(w for i in trained for w in tokens[i])
+    exchanged_words = dict(zip(given["words"], given["classes"], strict=True))
+
+    def class_of(w):
+        return exchanged_words.get(w, ("rare", min(int(math.log2(n[w])), 38)) if n[w] else None)
+
+    follows = Counts(
+        (class_of(a), class_of(b)) for i in trained for a, b in zip([end, *tokens[i][:-1]], tokens[i], strict=True)
+    )
+    after, own = Counts(), Counts()
+    for (a, b), m in follows.items():
+        after[a] += m
+        own[b] += m
+    total = sum(n.values())
+    unknown = sum(m == 1 for m in n.values()) / total
+    for i, words_of in tokens.items():
+        score = 0.0
+        for a, b in zip([end, *words_of[:-1]], words_of, strict=True):
+            x, y = class_of(a), class_of(b)
+            if y is None:
+                score += math.log10(unknown)
+                continue
+            share = own[y] / total
+            score += math.log10((1 - unknown) * (follows[x, y] + p.prior * share) / (after[x] + p.prior) * n[b] / own[y])
+        assert found[i] == pytest.approx(score, rel=1e-9)
