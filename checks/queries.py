@@ -49,6 +49,7 @@ HISTORY_START = dt.datetime(2021, 1, 1)
 FIRST_RUN = dt.datetime(2021, 4, 1)
 ARRIVALS = (dt.datetime(1998, 1, 1), dt.datetime(2000, 2, 15), dt.datetime(2100, 1, 1))
 BUCKETS = 16
+HISTORY_FILE_BYTES = 128 << 20
 DIMENSION_COLUMNS = (
     "sku", "skudesc", "wholesale_price", "valid_from", "valid_to", "is_current", "is_deleted", "is_excluded"
 )
@@ -541,6 +542,21 @@ def history(t: Tables) -> DataFrame:
     return sinks.read_history(t.spark, base, delta.schema)
 
 
+@query("q41b_history_compact")
+def compacted_history(t: Tables) -> DataFrame:
+    """Runs packed into larger files; one of them delivered again after it was packed."""
+    first, delta = t.inventory_before, store_delta(t)
+    base = scratch_path(t.spark, "packed-history")
+    packed = sinks.PackedHistory(base, delta.schema, f"history_layout_{uuid.uuid4().hex}")
+    for run in ("run-1", "run-2"):
+        packed.append(first, run)
+    packed.compact(t.spark, HISTORY_FILE_BYTES, recent=0)
+    packed.append(delta, "run-2")
+    packed.append(delta.limit(0), "run-3")
+    packed.compact(t.spark, HISTORY_FILE_BYTES)
+    return packed.read(t.spark)
+
+
 def _decimal_value(df: DataFrame) -> DataFrame:
     return df.withColumn("value", F.col("value").cast("decimal(38,2)"))
 

@@ -8,6 +8,7 @@ from shelfcast.sinks.buckets import (
     store_snapshot,
     touched_buckets,
 )
+from shelfcast.sinks.compaction import PackedHistory
 from shelfcast.sinks.feeds import (
     combine_manifests,
     export_feed,
@@ -32,6 +33,7 @@ from shelfcast.sinks.store_delta import export_store_deltas
 
 __all__ = [
     "BucketTable",
+    "PackedHistory",
     "Snapshot",
     "append_history",
     "combine_manifests",

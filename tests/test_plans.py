@@ -40,6 +40,7 @@ WRITES_FILES = {
     "q40b_store_inventory_run",
     "q40c_delta_by_digest",
     "q41_history_append",
+    "q41b_history_compact",
     "q42b_refresh_incr",
     "q42c_refresh_daily",
     "q42d_refresh_weekly",
