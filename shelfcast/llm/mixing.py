@@ -28,14 +28,14 @@ def _key(source: Column) -> Column:
 
 
 def root_weights(docs: DataFrame, resolution: int = 1000) -> DataFrame:
-    """Rows (source, weight): weights proportional to the square root of each source's documents,
-    in whole parts of about ``resolution``, or of as many as give the smallest source 1 if it would
-    be rounded to none, so that no source has more than its share by more than rounding."""
+    """Rows (source, weight): weights proportional to the square root of each source's documents, in
+    whole parts. There are ``resolution`` parts, or as many more as give the smallest source one of
+    them, so that no source has more than its share by more than rounding."""
     counts = docs.groupBy("source").agg(F.count("*").alias("n"))
     root, every = F.sqrt("n"), Window.partitionBy()
     total = F.sum(root).over(every)
-    needed = total / F.min(root).over(every)
-    parts = F.when(needed > 2 * resolution, F.ceil(needed)).otherwise(F.lit(resolution))
+    needed = F.ceil(F.round(total / F.min(root).over(every), 6))  # sums differ in their last digits
+    parts = F.greatest(F.lit(resolution).cast("long"), needed)
     share = F.round(parts * root / total)
     return counts.select("source", F.greatest(share, F.lit(1)).cast("long").alias("weight"))
 
@@ -54,29 +54,37 @@ def schedule(weights: DataFrame) -> DataFrame:
         ).alias("w")
     )
     totals = listed.where("size(w) > 0").withColumn("total", F.expr("aggregate(w, 0L, (a, x) -> a + x.n)"))
-    picks = totals.withColumn(
+    # Slots are filled in stretches, so that only a stretch's picks are copied with each slot. The
+    # row is stored, else its list would be sorted and added up again with each slot; the outer
+    # explode has no filter, which would make the schedule twice.
+    picks = stored(totals.withColumn("step", F.ceil(F.sqrt("total"))), "sources").withColumn(
         "picks",
         F.expr(
             """
-            aggregate(
-              sequence(0L, total - 1L),
-              named_struct('done', transform(w, x -> 0L), 'picks', cast(array() AS array<int>)),
-              (s, t) -> transform(
-                array(
-                  array_min(filter(
-                    transform(w, (x, i) -> named_struct(
-                      'deadline', if(s.done[i] * total div x.n <= t,
-                                     ((s.done[i] + 1L) * total + x.n - 1L) div x.n, null),
-                      'i', i)),
-                    c -> c.deadline IS NOT NULL)).i),
-                p -> named_struct(
-                  'done', transform(s.done, (n, i) -> if(i = p, n + 1L, n)),
-                  'picks', concat(s.picks, array(p))))[0],
-              s -> s.picks)
+            flatten(aggregate(
+              sequence(0L, total - 1L, step),
+              named_struct('done', transform(w, x -> 0L), 'picks', cast(array() AS array<array<int>>)),
+              (before, start) -> transform(
+                array(aggregate(
+                  sequence(start, least(start + step, total) - 1L),
+                  named_struct('done', before.done, 'picks', cast(array() AS array<int>)),
+                  (s, t) -> transform(
+                    array(
+                      array_min(filter(
+                        transform(w, (x, i) -> named_struct(
+                          'deadline', if(s.done[i] * total div x.n <= t,
+                                         ((s.done[i] + 1L) * total + x.n - 1L) div x.n, null),
+                          'i', i)),
+                        c -> c.deadline IS NOT NULL)).i),
+                    p -> named_struct(
+                      'done', transform(s.done, (n, i) -> if(i = p, n + 1L, n)),
+                      'picks', concat(s.picks, array(p))))[0])),
+                s -> named_struct('done', s.done, 'picks', concat(before.picks, array(s.picks))))[0],
+              s -> s.picks))
             """
         ),
     )
-    slots = picks.select("w", "total", F.posexplode("picks").alias("slot", "i")).select(
+    slots = picks.select("w", "total", F.posexplode_outer("picks").alias("slot", "i")).select(
         F.expr("w[i].key").alias("key"),
         F.expr("w[i].n").alias("weight"),
         "total",

@@ -5,10 +5,14 @@ from __future__ import annotations
 MIXING_SQL = """
 WITH RECURSIVE counts AS (
   SELECT source, count(*) AS n FROM documents GROUP BY source
+), sized AS (
+  SELECT source, n, sum(sqrt(n)) OVER () AS every,
+         greatest(1000, ceil(round(sum(sqrt(n)) OVER () / sqrt(min(n) OVER ()), 6))) AS parts
+  FROM counts
 ), weights AS (
   SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) AS i,
-         greatest(1, round(1000 * sqrt(n) / sum(sqrt(n)) OVER ()))::BIGINT AS w
-  FROM counts
+         greatest(1, round(parts * sqrt(n) / every))::BIGINT AS w
+  FROM sized
 ), listed AS (
   SELECT list(w ORDER BY i) AS ws, sum(w)::BIGINT AS total FROM weights
 ), slots(t, done, pick) AS (

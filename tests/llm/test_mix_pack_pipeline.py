@@ -6,6 +6,7 @@ from itertools import combinations
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
+import duckdb
 import pytest
 from conftest import SMALL, explained
 
@@ -51,7 +52,24 @@ def test_weights_follow_square_roots_with_many_small_sources(spark):
     docs = spark.createDataFrame(rows, "source string")
     found = {r.source: r.weight for r in root_weights(docs, 10).collect()}
     assert found == {**{f"s{i}": 1 for i in range(40)}, "large": 20}
-    assert sorted(r.weight for r in root_weights(docs.where("source in ('s1', 'large')"), 20).collect()) == [1, 19]
+    two = docs.where("source in ('s1', 'large')")
+    assert sorted(r.weight for r in root_weights(two, 20).collect()) == [1, 20]
+    assert sorted(r.weight for r in root_weights(two, 42).collect()) == [2, 40]
+
+
+def test_weights_and_schedule_of_many_sources_equal_the_sql(spark, tmp_path):
+    """More sources than parts: the smallest is neither rounded up nor the others down."""
+    rng = random.Random(9)
+    sources = [f"s{i:04}" for i in range(1200)] + [None, ""]
+    rows = [(i, s) for i, s in enumerate(sources + rng.choices(sources, k=800) + ["s0000"] * 900)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, source string").coalesce(1).write.parquet(path)
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    found = REGISTERED["op6_source_mixing"](spark, str(tmp_path))
+    assert differences(found, connection, oracle_sql()["op6_source_mixing"]) == ""
+    weights = {r.source: r.weight for r in found.select("source", "weight").distinct().collect()}
+    assert min(weights.values()) == 1 and weights["s0000"] > 25
 
 
 def test_mix_runs_on_dataframe_functions(spark):
@@ -179,5 +197,5 @@ def test_query_matches_sql(spark, name):
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in REGISTERED)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert REGISTERED.keys() | {"pipeline"} <= entry_point.queries().keys()
