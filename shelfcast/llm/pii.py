@@ -10,9 +10,10 @@ patterns. The method adds, from schemes and cues:
 * ``login``: an address whose scheme is followed by ``user@host`` or ``user:password@host``;
 * ``account``: the identifier after a cue such as ``iban`` (check digits must hold), ``ssn`` (valid
   areas only) or ``account number`` (8 to 17 digits);
-* ``secret``: the value after ``password=`` and the like, and access key ids after ``AKIA``.
+* ``secret``: the value of 8 characters or more after ``password`` and the like with ``=`` or ``:``,
+  and access key ids after ``AKIA``.
 
-A null or empty text has no spans. Offsets count code points, ends are exclusive.
+Schemes and cues count in any case. A null or empty text has no spans. Offsets count code points, ends are exclusive.
 """
 
 from __future__ import annotations
@@ -40,7 +41,8 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]+")
 USERINFO = re.compile(r"[^\s/@:?#]+(?::[^\s/@?#]*)?@[A-Za-z0-9.-]*[A-Za-z0-9](?::[0-9]+)?")
-GAP = re.compile(r"[ \t]*(?:(?:number|no\.?|nr\.?|#)[ \t]*)?[:=#]?[ \t]*", re.ASCII)
+GAP = re.compile(r"[ \t]*(?:(?:number|no\.?|nr\.?|#)[ \t]*)?[:=#]?[ \t]*", re.ASCII | re.IGNORECASE)
+SECRET_GAP = re.compile(r"[\"']?[ \t]*[:=][ \t]*[\"']?")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 SSN = re.compile(r"([0-9]{3})[- ]([0-9]{2})[- ]([0-9]{4})(?![0-9])")
 ACCOUNT = re.compile(r"[0-9](?:[ -]?[0-9]){7,16}(?![0-9])")
@@ -52,7 +54,7 @@ CUES = {
     "iban": ("iban",),
     "ssn": ("ssn", "social security"),
     "number": ("account", "acct", "routing", "passport"),
-    "secret": ("password=", "passwd=", "secret=", "token=", "api_key="),
+    "secret": ("password", "passwd", "secret", "token", "api_key", "api-key", "api key", "apikey"),
 }
 
 Span = tuple[int, int, str]
@@ -60,22 +62,31 @@ Span = tuple[int, int, str]
 
 @functools.cache
 def anchors() -> ahocorasick.Automaton:
+    """Of anchors in lower case."""
     automaton = ahocorasick.Automaton()
     for digit in "0123456789":
         automaton.add_word(digit, ("digit", 1))
     automaton.add_word("@", ("at", 1))
     automaton.add_word("+", ("plus", 1))
-    automaton.add_word("AKIA", ("key", 4))
+    automaton.add_word("akia", ("key", 4))
     for scheme in SCHEMES:
         automaton.add_word(scheme, ("scheme", len(scheme)))
     for kind, cues in CUES.items():
         for cue in cues:
-            for form in {cue, cue.upper(), cue.capitalize()}:
-                automaton.add_word(form, (kind, len(form)))
+            automaton.add_word(cue, (kind, len(cue)))
     automaton.make_automaton()
     return automaton
 
 
+ASCII_LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def folded(text: str) -> str:
+    """The text in lower case with every character in its place."""
+    lower = text.lower()
+    return lower if len(lower) == len(text) else text.translate(ASCII_LOWER)
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -111,7 +122,7 @@ def spans_of(text: str | None) -> list[Span]:
         end[kind] = stop
         found.append((start, stop, kind))
 
-    for last, (kind, size) in anchors().iter(text):
+    for last, (kind, size) in anchors().iter(folded(text)):
         at = last - size + 1
         if kind == "digit":
             if at >= end["ip"] and at >= tried:
@@ -146,7 +157,8 @@ def spans_of(text: str | None) -> list[Span]:
                     keep("secret", at, m.end())
         elif at == 0 or not text[at - 1].isalnum():
             if kind == "secret":
-                if last + 1 >= end["secret"] and (m := SECRET.match(text, last + 1)):
+                gap = SECRET_GAP.match(text, last + 1)
+                if gap and gap.end() >= end["secret"] and (m := SECRET.match(text, gap.end())):
                     keep("secret", m.start(), m.end())
                 continue
             start = GAP.match(text, last + 1).end()
