@@ -8,7 +8,7 @@ documents without labels.
 A model is a logistic regression on the presence of words (runs of letters and digits in lower
 case) and of their beginnings, which catch the inflected forms of a stem. It is fitted on the driver
 to a sample of ``max_rows`` labelled documents at most, those with the smallest hashes of their id;
-the features kept are the ``max_features`` whose presence differs most between the classes of some
+the features kept are those whose presence differs clearly (``min_z``) between the classes of some
 category. Every document is scored by its whole text.
 """
 
@@ -35,7 +35,6 @@ WORD = re.compile(r"\w+")
 class ToxicityParams:
     categories: tuple[str, ...] = ("low_quality", "toxic")
     max_rows: int = 5000
-    max_features: int = 1000
     min_docs: int = 5
     min_z: float = 5.0
     folds: int = 3
@@ -147,8 +146,8 @@ class Chain:
 
 
 def chosen_features(texts: Sequence[str | None], y: np.ndarray, p: ToxicityParams) -> dict[str, int]:
-    """Features in min_docs documents or more by the largest difference of their shares, in units of
-    its standard error (min_z at least), between the classes of a category; ties by feature."""
+    """Features in min_docs documents or more whose shares differ by min_z standard errors or more
+    between the classes of some category."""
     seen: Counter = Counter()
     among: list[Counter] = [Counter() for _ in range(y.shape[1])]
     for text, row in zip(texts, y, strict=True):
@@ -167,8 +166,7 @@ def chosen_features(texts: Sequence[str | None], y: np.ndarray, p: ToxicityParam
             share = n / len(y)
             spread = math.sqrt(max(share * (1 - share), 1e-9) * (1 / ones + 1 / zeros))
             score[w] = max(score[w], abs(k / ones - (n - k) / zeros) / spread)
-    best = sorted((w for w in score if score[w] >= p.min_z), key=lambda w: (-score[w], w))
-    return {w: i for i, w in enumerate(sorted(best[: p.max_features]))}
+    return {w: i for i, w in enumerate(sorted(w for w in score if score[w] >= p.min_z))}
 
 
 def fit_chain(texts: Sequence[str | None], labels: np.ndarray, p: ToxicityParams) -> Chain:
