@@ -40,6 +40,10 @@ CHUNK_WORDS = 250_000  # held at a time, or one text
 LINE_END = re.compile(r"\n|(?<=[.!?])\s")
 #: White space by code point; there is none above.
 SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
+SPACES = "".join(chr(c) for c in np.flatnonzero(SPACE))
+_SPACE = "[" + "".join(rf"\u{ord(c):04x}" for c in SPACES) + "]"
+#: A line break or sentence end and the white space behind, but at the text's end, as a Java pattern.
+LINE_GAP = rf"[.!?\n](?:(?<=\n)|{_SPACE}){_SPACE}*+(?!\z)"
 
 
 @dataclass(frozen=True)
@@ -56,23 +60,6 @@ def lines_of(text: str | None) -> list[str]:
     return [line for part in _cut_up(text) if (line := part.strip())] if text else []
 
 
-def run_lengths(n_words: np.ndarray, last: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each line the least and the largest number of lines of the runs from it that are
-    compared; 0 and -1 if the rest of its text has fewer than min_words. Of the comparison by whole
-    lines, which removal does not use any more.
-
-    Lines of several texts follow one another; last is the place behind the line's text.
-    """
-    total = np.concatenate([[0], np.cumsum(n_words)])
-    # the first place whose total is min_words above; one behind the text if it has none
-    end = np.minimum(np.searchsorted(total, total[:-1] + min_words), last + 1)
-    at = np.arange(len(end))
-    after = np.where(at + 1 < last, np.append(end[1:], 0), last + 1)
-    least, most = end - at, np.maximum(after - 1, end) - at
-    enough = end <= last
-    return np.where(enough, least, 0), np.where(enough, most, -1)
-
-
 class _Hashes(dict):
     """64-bit hashes of words; those first met are remembered, for one task."""
 
@@ -247,12 +234,16 @@ def repeated_runs(rows: DataFrame, params: LineParams) -> DataFrame:
     return copies.unionByName(again)
 
 
-def cut_text(
-    text: str | None, at: np.ndarray, size: np.ndarray, by_word: bool = False
-) -> tuple[str | None, int, int]:
-    """The text without the runs, which are of lines or of words, its number of lines before, and of
-    those of which no word is left. A run goes with the white space behind it, or with that before it
-    if only the one behind has a line break."""
+def line_count(text: Column) -> Column:
+    """The number of lines with words, as ``cut_text`` counts them; 0 for null."""
+    begun = F.ltrim(text, F.lit(SPACES))
+    return F.when(begun != "", F.regexp_count(begun, F.lit(LINE_GAP)) + 1).otherwise(0)
+
+
+def cut_text(text: str | None, at: np.ndarray, size: np.ndarray) -> tuple[str | None, int, int]:
+    """The text without the runs of words, its number of lines before, and of those of which no word
+    is left. A run goes with the white space behind it, or with that before it if only the one behind
+    has a line break."""
     if not text:
         return text, 0, 0
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -266,12 +257,10 @@ def cut_text(
     line = np.cumsum(breaks)[begins]
     line = np.cumsum(np.append(False, line[1:] != line[:-1]))
     n_lines = int(line[-1]) + 1
-    gone = np.zeros((len(begins) if by_word else n_lines) + 1, dtype=np.int64)
+    gone = np.zeros(len(begins) + 1, dtype=np.int64)
     np.add.at(gone, at, 1)
     np.add.at(gone, at + size, -1)
     gone = np.cumsum(gone)[:-1] > 0
-    if not by_word:
-        gone = gone[line]
     if not gone.any():
         return text, n_lines, 0
     n_removed = n_lines - len(np.unique(line[~gone]))
@@ -289,14 +278,13 @@ def cut_text(
 
 
 def _cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    none = np.zeros(0, dtype=np.int64)
-
-    def numbers(values: np.ndarray | None) -> np.ndarray:
-        return none if values is None else np.asarray(values, dtype=np.int64)
-
+    """For texts that lose words; null for the others, which do not come here."""
     for texts, ats, sizes in batches:
         yield pd.DataFrame(
-            [cut_text(t, numbers(a), numbers(s), True) for t, a, s in zip(texts, ats, sizes, strict=True)],
+            [
+                (None, 0, 0) if a is None else cut_text(t, np.asarray(a, np.int64), np.asarray(s, np.int64))
+                for t, a, s in zip(texts, ats, sizes, strict=True)
+            ],
             columns=["text", "n_lines", "n_removed"],
         )
 
@@ -316,8 +304,15 @@ def dedup_lines(docs: DataFrame, params: LineParams) -> DataFrame:
     runs = repeated_runs(rows.select("id", "row", F.col("doc.text").alias("text")), params)
     per_doc = _per_text(runs, F.col("size"))
     cut = F.pandas_udf(_cut, "text string, n_lines int, n_removed int")
+    whole, text = F.col("ats").isNull(), F.col("doc.text")
+    sent = F.when(~whole, text)  # only texts that lose words are sent to Python
     return (
         rows.join(stored(per_doc, "removals").hint("shuffle_hash"), ["id", "row"], "left")
-        .select("doc", cut(F.col("doc.text"), F.col("ats"), F.col("sizes")).alias("cut"))
-        .select("doc", "cut.*")
+        .select("doc", "ats", cut(sent, F.col("ats"), F.col("sizes")).alias("cut"))
+        .select(
+            "doc",
+            F.when(whole, text).otherwise(F.col("cut.text")).alias("text"),
+            F.when(whole, line_count(text)).otherwise(F.col("cut.n_lines")).alias("n_lines"),
+            F.col("cut.n_removed").alias("n_removed"),
+        )
     )

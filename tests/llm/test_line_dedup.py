@@ -2,7 +2,7 @@
 
 import random
 
-from shelfcast.llm.line_dedup import LineParams, cut_text, dedup_lines, lines_of, run_lengths
+from shelfcast.llm.line_dedup import SPACE, LineParams, cut_text, dedup_lines, line_count, lines_of
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -77,11 +77,22 @@ def test_helpers():
     import numpy as np
 
     assert lines_of("A b. C d!  e\n\n 3.5 kg") == ["A b.", "C d!", "e", "3.5 kg"]
-    least, most = run_lengths(np.array([5, 1, 1, 1]), np.array([4] * 4), 3)
-    assert least.tolist() == [1, 3, 0, 0] and most.tolist() == [3, 3, -1, -1]
-    least, most = run_lengths(np.array([5, 1, 1, 1, 4]), np.array([2, 2, 4, 4, 5]), 3)
-    assert least.tolist() == [1, 0, 0, 0, 1] and most.tolist() == [2, -1, -1, -1, 1]
-    assert cut_text("A b. C d! e", np.array([1]), np.array([1])) == ("A b. e", 3, 1)
+    assert cut_text("A b. C d! e", np.array([2]), np.array([2])) == ("A b. e", 3, 1)
+
+
+def test_lines_are_counted_alike_with_and_without_python(spark):
+    import numpy as np
+
+    rng = random.Random(8)
+    space = [chr(c) for c in np.flatnonzero(SPACE)]
+    signs = [*"ab.!?", "\n", " ", "é", "😀", "\u200b", *rng.sample(space, len(space))]
+    texts = [None, "", " ", "\n", ".", " . ", "a.", "a.\n", "\na \nb", "a. \n", "a b", "a.\u2003b", *space]
+    texts += ["".join(rng.choice(signs[: rng.choice([7, 9, len(signs)])]) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    none = np.zeros(0, dtype=np.int64)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    found = dict(docs.select("i", line_count(docs.text)).collect())
+    for i, text in enumerate(texts):
+        assert found[i] == cut_text(text, none, none)[1] == len(lines_of(text)), repr(text)
 
 
 def words_left(rows, min_words):
@@ -150,6 +161,6 @@ def test_lines_end_behind_a_sentence_before_any_white_space():
 
     text = "A b.\tC d!\r\nE f?\u00a0G 3.5\tkg. \t H\u2003i.\u3000J"
     assert lines_of(text) == ["A b.", "C d!", "E f?", "G 3.5\tkg.", "H\u2003i.", "J"]
-    assert cut_text(text, np.array([1]), np.array([2])) == ("A b.\t" + text[text.index("G") :], 6, 2)
-    passage = cut_text("One.\tTwo three.\rFour.", np.array([1]), np.array([2]), by_word=True)
+    assert cut_text(text, np.array([2]), np.array([4])) == ("A b.\t" + text[text.index("G") :], 6, 2)
+    passage = cut_text("One.\tTwo three.\rFour.", np.array([1]), np.array([2]))
     assert passage == ("One.\tFour.", 3, 1)
