@@ -6,10 +6,12 @@ document's earlier categories are predicted by models that have not seen it, as
 documents without labels.
 
 A model is a logistic regression on the presence of words (runs of letters and digits in lower
-case) and of their beginnings, which catch the inflected forms of a stem. It is fitted on the driver
-to a sample of ``max_rows`` labelled documents at most, those with the smallest hashes of their id;
-the features kept are those whose presence differs clearly (``min_z``) between the classes of some
-category. Every document is scored by its whole text.
+case) and of their beginnings, which catch the inflected forms of a stem. It is fitted to a sample of
+``max_rows`` labelled documents at most, those with the smallest hashes of their id; the features
+kept are those whose presence differs clearly (``min_z``) between the classes of some category. Tasks
+take the features out of the sample's texts and count them; the driver gets the kept features and
+which document has which, never a text, and fits the models. Every document is scored by its whole
+text.
 """
 
 from __future__ import annotations
@@ -170,12 +172,20 @@ def chosen_features(texts: Sequence[str | None], y: np.ndarray, p: ToxicityParam
 
 
 def fit_chain(texts: Sequence[str | None], labels: np.ndarray, p: ToxicityParams) -> Chain:
-    """labels: 0 or 1 for each text and category. Fold of the i-th text: i modulo folds."""
+    """The chain of texts at hand; labels: 0 or 1 for each text and category."""
+    vocabulary = chosen_features(texts, labels, p)
+    return fit_models(vocabulary, Chain(vocabulary).features(texts), labels, p)
+
+
+def fit_models(
+    vocabulary: dict[str, int], presence: np.ndarray, labels: np.ndarray, p: ToxicityParams
+) -> Chain:
+    """presence: 0 or 1 for each document and feature place. Fold of the i-th document: i modulo
+    folds."""
     n, m = labels.shape
     if not n:
         return Chain({}, tuple(Linear(np.zeros(c), -30.0) for c in range(m)))
-    vocabulary = chosen_features(texts, labels, p)
-    x = Chain(vocabulary).features(texts).astype(np.float64)
+    x = presence.astype(np.float64)
     fold = np.arange(n) % p.folds
     outside = np.zeros((n, m))
     models = []
@@ -190,27 +200,67 @@ def fit_chain(texts: Sequence[str | None], labels: np.ndarray, p: ToxicityParams
     return Chain(vocabulary, tuple(models))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, p: ToxicityParams) -> tuple[list, np.ndarray]:
-    """Texts and labels (columns doc_id and one per category) of max_rows documents at most; rows
-    without an id or any label are left out, of repeated ids the largest labels and text count.
+def _features(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda text: sorted(features_in(text)))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, p: ToxicityParams) -> DataFrame:
+    """Stored rows (doc_id, 0 or 1 for each category, features) of max_rows documents at most, from
+    labels with the columns doc_id and one per category; rows without an id or any label are left
+    out, of repeated ids the largest labels and text count.
 
     The sample is drawn from ids; its max_rows ids at most are then broadcast to the texts, which
-    are read once and not shuffled.
+    are read once and not shuffled but for those of the sample.
     """
     usable = labels.where(F.col("doc_id").isNotNull()).select("doc_id", *p.categories).dropna()
-    once = usable.groupBy("doc_id").agg(*[F.max(F.col(c).cast("int")).alias(c) for c in p.categories])
-    present = once.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    positive = [F.max((F.col(c).cast("int") > 0).cast("int")).alias(c) for c in p.categories]
+    present = usable.groupBy("doc_id").agg(*positive)
+    present = present.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = stored(present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.max_rows), "labelled")
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     one_each = texts.groupBy("doc_id", *p.categories).agg(F.max("text").alias("text"))
-    picked = sorted(one_each.collect(), key=lambda r: r["doc_id"])
-    y = np.array([[r[c] for c in p.categories] for r in picked], dtype=np.int64)
-    return [r["text"] for r in picked], y.reshape(len(picked), len(p.categories)) > 0
+    features = F.pandas_udf(_features, "array<string>")
+    ship_code(docs.sparkSession)
+    return stored(one_each.select("doc_id", *p.categories, features("text").alias("features")), "sample")
+
+
+def counted_features(sample: DataFrame, totals: Sequence[int], p: ToxicityParams) -> DataFrame:
+    """Rows (feature) that ``chosen_features`` would choose, by counts over the sample's rows;
+    totals: the number of rows, then that of ones in each category."""
+    n, *ones = totals
+    held = sample.select(F.explode("features").alias("feature"), *p.categories)
+    counts = held.groupBy("feature").agg(
+        F.count("*").alias("n"), *[F.sum(c).alias(f"k{i}") for i, c in enumerate(p.categories)]
+    )
+    share = F.col("n") / n
+    differing = F.lit(p.min_z <= 0)
+    for i, k in enumerate(ones):
+        if 0 < k < n:
+            among = F.col(f"k{i}")
+            gap = F.abs(among / k - (F.col("n") - among) / (n - k))
+            spread = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / k + 1 / (n - k)))
+            differing = differing | (gap / spread >= p.min_z)
+    return counts.where((F.col("n") >= p.min_docs) & differing).select("feature")
 
 
 def classifier_chain(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> Chain:
-    texts, y = labelled_sample(docs, labels, params)
-    return fit_chain(texts, y.astype(np.int64), params)
+    """The chain fitted to the labelled documents; without any, one that calls nothing."""
+    sample = labelled_sample(docs, labels, params)
+    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in params.categories]
+    totals = sample.agg(F.count("*"), *sums).first()
+    if not totals[0]:
+        return fit_models({}, np.zeros((0, 0)), np.zeros((0, len(params.categories))), params)
+    kept = stored(counted_features(sample, totals, params), "features")
+    vocabulary = {r["feature"]: i for i, r in enumerate(kept.orderBy("feature").collect())}
+    held = sample.select("doc_id", F.explode("features").alias("feature")).join(kept, "feature")
+    held = held.groupBy("doc_id").agg(F.collect_list("feature").alias("held"))
+    rows = sample.select("doc_id", *params.categories).join(held, "doc_id", "left").collect()
+    rows.sort(key=lambda r: r["doc_id"])
+    presence = np.zeros((len(rows), len(vocabulary)), dtype=np.float32)
+    for i, row in enumerate(rows):
+        presence[i, [vocabulary[f] for f in row["held"] or ()]] = 1
+    y = np.array([[r[c] for c in params.categories] for r in rows], dtype=np.int64)
+    return fit_models(vocabulary, presence, y, params)
 
 
 def with_chances(docs: DataFrame, chain: Chain, params: ToxicityParams, name: str) -> DataFrame:

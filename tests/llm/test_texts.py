@@ -10,6 +10,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from shelfcast.llm.class_lm import ClassLmParams, Corpus, class_lm_scores, exchanged, transition_logs
 from shelfcast.llm.pii import find_personal_data, joined, luhn, spans_of
 from shelfcast.llm.queries import VOCABULARY
@@ -199,6 +200,26 @@ def test_chain_rows(spark):
     assert "scum*" in features_in("Scummy!") and features_in(None) == set()
 
 
+def test_chain_from_tables_is_that_of_the_texts(spark):
+    """Repeated rows, null and very long texts; labels above one count as one."""
+    data = labelled(300, 5)
+    long_text = " ".join(f"w{i}" for i in range(60_000))
+    more = [(1000, None, 0, 1), (1001, "", 1, 0), (1002, long_text, 0, 0)]
+    texts = [(r[0], r[1]) for r in data + more]
+    docs = spark.createDataFrame([*texts, *texts[:50], (0, None), (None, "x")], "doc_id long, text string")
+    docs = docs.withColumn("features", F.lit(1)).withColumn("held", F.lit(2))
+    labels = spark.createDataFrame(
+        [(r[0], 2 * int(r[2]), int(r[3])) for r in data + more], "doc_id long, low_quality int, toxic int"
+    )
+    params = ToxicityParams()
+    chain = classifier_chain(docs, labels, params)
+    y = np.array([[int(r[2]), int(r[3])] for r in data + more])
+    plain = fit_chain([t for _, t in texts], y, params)
+    assert list(chain.vocabulary) == list(plain.vocabulary) and len(plain.vocabulary) > 3
+    for found, expected in zip(chain.models, plain.models, strict=True):
+        assert np.allclose(found.weights, expected.weights) and np.isclose(found.bias, expected.bias)
+
+
 def plain_base(rows):
     tokens = [[*(t.encode().lower().split() if t else []), None] for _, t in rows]
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1 for i, _ in rows]
