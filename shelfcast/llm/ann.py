@@ -105,6 +105,26 @@ def _indexed(hashes: Hashes, top_norm: float, probes: int, near: float):
     return run
 
 
+def best_products(q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int):
+    """Places (in q, in x) and inner products of the k best rows of x for each row of q, equal ones
+    by smaller id. Products are summed in the order of the components: a matrix product, whose
+    order is its own, only finds the rows within its rounding of the k-th best."""
+    n, dim = min(k, len(x)), q.shape[1]
+    with np.errstate(over="ignore", invalid="ignore"):
+        score = q @ x.T
+        border = np.partition(score, len(x) - n, axis=1)[:, len(x) - n]
+        longest = np.linalg.norm(x, axis=1).max()
+        slack = 4 * dim * np.finfo(np.float64).eps * np.linalg.norm(q, axis=1) * longest
+        i, j = np.nonzero(~(score < (border - slack)[:, None]))
+        exact = np.zeros(len(i))
+        for d in range(dim):
+            exact += x[j, d] * q[i, d]
+    order = np.lexsort((ids[j], -exact, i))
+    i, j, exact = i[order], j[order], exact[order]
+    place = np.arange(len(i)) - np.searchsorted(i, i)
+    return i[place < n], j[place < n], exact[place < n]
+
+
 def _scored(k: int):
     """For a cell's vectors and queries the k best vectors of each query."""
 
@@ -112,25 +132,11 @@ def _scored(k: int):
         out = []
         if len(vectors) and len(queries):
             x, ids = np.vstack(vectors["vec"].to_numpy()), vectors["class"].to_numpy()
-            for i in range(0, len(queries), 256):
-                part = queries.iloc[i : i + 256]
-                score = np.vstack(part["vec"].to_numpy()) @ x.T
-                n = min(k, len(x))
-                top = np.argpartition(-score, n - 1, axis=1)[:, :n]
-                # equal scores at the border: the smaller ids stay
-                least = np.take_along_axis(score, top, axis=1).min(axis=1)
-                for j in np.flatnonzero((score >= least[:, None]).sum(axis=1) > n):
-                    near = np.flatnonzero(score[j] >= least[j])
-                    top[j] = near[np.lexsort((ids[near], -score[j, near]))[:n]]
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "qclass": np.repeat(part["class"].to_numpy(), n),
-                            "class": ids[top.ravel()],
-                            "score": np.take_along_axis(score, top, axis=1).ravel(),
-                        }
-                    )
-                )
+            for start in range(0, len(queries), 256):
+                part = queries.iloc[start : start + 256]
+                asked = part["class"].to_numpy()
+                i, j, score = best_products(np.vstack(part["vec"].to_numpy()), x, ids, k)
+                out.append(pd.DataFrame({"qclass": asked[i], "class": ids[j], "score": score}))
         if not out:
             return pd.DataFrame({"qclass": pd.Series(dtype="int64"), "class": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         return pd.concat(out)
@@ -174,22 +180,14 @@ def nearest_by_hashing(vectors: DataFrame, is_query, params: AnnParams) -> DataF
             lambda a, b: _scored(params.k + 1)(a, b), "qclass long, class long, score double"
         )
     )
-    return ranked(scored, heads, queries, members, params.k)
+    return ranked(scored, queries, members, params.k)
 
 
-def ranked(scored: DataFrame, heads: DataFrame, queries: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """Merged candidates of all tables, the best of each query ranked by scores summed in order."""
+def ranked(scored: DataFrame, queries: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """The best of each query among the candidates of all tables, which score alike in each."""
     from pyspark.sql import Window
 
     merged = scored.groupBy("qclass", "class").agg(F.max("score").alias("score"))
     order = Window.partitionBy("qclass").orderBy(F.desc("score"), "class")
     best = merged.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= k + 1)
-    q = heads.select(F.col("class").alias("qclass"), F.col("vec").alias("qvec"))
-    product = F.aggregate(
-        F.zip_with("vec", "qvec", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x
-    )
-    exact = (
-        best.select("qclass", "class").join(heads, "class").join(q, "qclass")
-        .select("qclass", "class", product.alias("score"))
-    )
-    return nearest(stored(exact, "nearest"), queries, members, k)
+    return nearest(stored(best.drop("rn"), "nearest"), queries, members, k)

@@ -11,13 +11,15 @@ slice of each block of candidates is a list, ranked by the partial score.
 3. An entry's score is at most the sum of the partial scores given and, for the other lists, the
    threshold. Those that can reach the cutoff are resolved exactly.
 
-Components are whole numbers, so partial and whole scores are exact and no result is lost. Scores
+Components are whole numbers of any size, so partial and whole scores are exact and no result is lost. Scores
 beyond a long are given as its limit but ranked by their exact value within a block.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -40,15 +42,24 @@ class TopKParams:
 
 
 def _whole(vectors: pd.Series, scale: float) -> np.ndarray:
-    return np.floor(scale * np.vstack(vectors.to_numpy()))
+    """floor(scale * x); Python's integers where that is beyond a float."""
+    x = np.vstack(vectors.to_numpy())
+    with np.errstate(over="ignore"):
+        whole = np.floor(scale * x)
+    over = np.isinf(whole)
+    if over.any():
+        whole = whole.astype(object)
+        whole[over] = [math.floor(Fraction(scale) * Fraction(v)) for v in x[over].tolist()]
+    return whole
 
 
 def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Exact inner products: floats where they hold every sum, Python's integers beyond."""
-    if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(1, q.shape[1]) < 2.0**53:
+    fits = q.dtype != object and x.dtype != object
+    if fits and np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(1, q.shape[1]) < 2.0**53:
         return q @ x.T
-    whole = [[int(v) if np.isfinite(v) else 0 for v in row] for row in x.tolist()]
-    asked = [[int(v) if np.isfinite(v) else 0 for v in row] for row in q.tolist()]
+    whole = [[int(v) for v in row] for row in x.tolist()]
+    asked = [[int(v) for v in row] for row in q.tolist()]
     out = np.empty((len(asked), len(whole)), dtype=object)
     for i, a in enumerate(asked):
         out[i] = [sum(p * r for p, r in zip(a, b, strict=True)) for b in whole]

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.llm.ann import AnnParams, nearest_by_hashing
+from shelfcast.llm.ann import AnnParams, best_products, nearest_by_hashing
 from shelfcast.llm.topk import TopKParams, exact_top_k
 
 SCHEMA = "vec_id long, embedding array<double>, class string, vec int"
@@ -69,6 +69,33 @@ def test_top_k_of_very_large_components(spark):
         assert r.score == sum(a * b for a, b in zip(whole[r.query_id], whole[r.vec_id], strict=True))
 
 
+def test_top_k_of_components_beyond_a_float(spark):
+    huge = 1.5e308  # 256 times it is infinite
+    rows = [(0, [huge, 1.0]), (1, [-huge, 2.0]), (2, [huge, -3.0]), (3, [0.0, 4.0]), (4, [1.0, 0.0])]
+    found = exact_top_k(frame(spark, rows), is_query(), TopKParams(k=4)).collect()
+    limit = 2**63
+    expected = [(0, 1, 2, limit - 1), (0, 2, 4, limit - 1), (0, 3, 3, 256 * 1024), (0, 4, 1, -limit)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == expected
+
+
+def test_products_are_ranked_by_sums_in_order():
+    """Grids of components that make many sums differ by their order alone."""
+    rng = np.random.default_rng(8)
+    x, q = rng.integers(-3, 4, (400, 24)) / 10, rng.integers(-3, 4, (30, 24)) / 10
+    x[:, 12:] = rng.permuted(x[:, :12], axis=1)
+    ids = rng.permutation(400)
+    for k in (1, 21, 500):
+        i, j, score = best_products(q, x, ids, k)
+        expected = []
+        for a in range(len(q)):
+            sums = [float(np.add.accumulate(q[a] * row)[-1]) for row in x]
+            best_of = sorted(range(len(x)), key=lambda b: (-sums[b], ids[b]))[:k]
+            expected += [(a, b, sums[b]) for b in best_of]
+        assert list(zip(i, j, score, strict=True)) == expected
+    huge = np.array([[1e200, 1e200], [1.0, -1e200]])
+    assert len(best_products(huge, huge, np.array([1, 2]), 2)[0]) == 4
+
+
 @pytest.mark.parametrize("search", [exact_top_k, nearest_by_hashing])
 def test_empty_and_single(spark, search):
     params = TopKParams() if search is exact_top_k else AnnParams()
