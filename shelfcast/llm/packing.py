@@ -60,6 +60,13 @@ def bucket_lengths(histogram: Sequence[tuple[int, int]], n_buckets: int) -> list
     return sorted(chosen)
 
 
+def written_order(file_name: Column) -> list[Column]:
+    """Strings that sort file names as Spark numbers them: by task, then by file of the task, however
+    many digits these have; other names sort by name."""
+    numbers = [F.regexp_extract(file_name, p, 1) for p in ("^part-([0-9]+)", "-c([0-9]+)[.]")]
+    return [*[F.lpad(n, 20, "0") for n in numbers], file_name]
+
+
 def pack(
     docs: DataFrame,
     params: PackingParams,
@@ -82,7 +89,7 @@ def pack(
     if stored_order:
         place = F.col("_metadata.row_index")
         number = F.format_string("%012d", F.floor(place / params.slice_rows))
-        part = F.concat_ws(":", F.col("_metadata.file_name"), number)
+        part = F.concat_ws(":", *written_order(F.col("_metadata.file_name")), number)
     length = word_count(F.col("text")) + 1 if n_tokens is None else n_tokens
     sized = docs.select(
         "doc_id",

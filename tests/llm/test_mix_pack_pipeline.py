@@ -13,7 +13,7 @@ from conftest import SMALL, explained
 from checks.compare import differences, duck
 from shelfcast.llm.common import stored
 from shelfcast.llm.mixing import mix_slots, root_weights, schedule
-from shelfcast.llm.packing import PackingParams, bucket_lengths, pack
+from shelfcast.llm.packing import PackingParams, bucket_lengths, pack, written_order
 from shelfcast.llm.queries import REGISTERED, oracle_sql
 
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
@@ -126,6 +126,13 @@ def test_pack_pieces_and_batches(spark):
         assert [o[2] for o in order] == sorted(o[2] for o in order)
 
 
+def test_files_are_ordered_by_number(spark):
+    names = ["part-99999-u-c000.zstd.parquet", "part-100000-u-c000.zstd.parquet"]
+    names += ["part-100000-u-c999.zstd.parquet", "part-100000-u-c1000.zstd.parquet"]
+    df = spark.createDataFrame([(n,) for n in reversed(names)], "name string")
+    assert [r.name for r in df.orderBy(*written_order(df["name"])).collect()] == names
+
+
 def test_pack_nulls_empty_and_repeated(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "c")], "doc_id long, text string")
     rows = pack(docs, PackingParams()).collect()
