@@ -9,7 +9,8 @@ layout names.
 A compaction takes all folders whose files are small, whatever runs they hold, except those of the
 newest runs. Their rows are dealt to files of equal numbers of rows in the order of the runs, so a
 run that is larger than a file is split and many small runs share one, and a filter on the run id
-skips files by their statistics. The driver sees the layout, one row per run. One writer at a time.
+skips files by their statistics. The driver sees the layout, one row per run, and rows are joined to
+it by a broadcast: dealt out by run, a large run would be one task's. One writer at a time.
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ from shelfcast.sinks.publish import publish_pointed, publish_table
 
 LAYOUT = "run_id string, seq bigint, folder string, files bigint, bytes bigint"
 AT = "_history_folder"
-FOLDER = r"/(folder-[0-9a-f]{32})/[^/]*$"
 RUN_ID = "run_id"
 PLACES = 1 << 20  # parts of a run that are told apart when its rows are dealt to files
 
@@ -54,7 +54,8 @@ class PackedHistory:
         if not folders:
             return spark.createDataFrame([], with_run).withColumn(AT, F.lit(""))
         rows = spark.read.schema(with_run).parquet(*[f"{self.base}/{f}" for f in folders])
-        return rows.select("*", F.regexp_extract("_metadata.file_path", FOLDER, 1).alias(AT))
+        folder = F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1)
+        return rows.select("*", folder.alias(AT))
 
     def _write(self, df: DataFrame) -> tuple[str, int, int]:
         """Write a new folder; its name, files and bytes."""
@@ -83,7 +84,7 @@ class PackedHistory:
         layout = self.layout(spark)
         rows = self._stored(spark, sorted({r.folder for r in layout}))
         named = spark.createDataFrame([(r.run_id, r.folder) for r in layout], f"run_id string, {AT} string")
-        return rows.join(named, [RUN_ID, AT], "left_semi").select(*self._columns())
+        return rows.join(F.broadcast(named), [RUN_ID, AT], "left_semi").select(*self._columns())
 
     def compact(self, spark: SparkSession, target_bytes: int, recent: int = 1) -> list[str]:
         """Pack what lies in files of under half of target_bytes on average into files of about
@@ -103,7 +104,7 @@ class PackedHistory:
         named = spark.createDataFrame(
             [(r.run_id, r.folder, r.seq) for r in packed], f"run_id string, {AT} string, _seq bigint"
         )
-        counts = rows.groupBy(RUN_ID, AT).agg(F.count("*").alias("_n")).join(named, [RUN_ID, AT])
+        counts = rows.groupBy(RUN_ID, AT).agg(F.count("*").alias("_n")).join(F.broadcast(named), [RUN_ID, AT])
         until = F.sum("_n").over(Window.orderBy("_seq"))  # one row per run
         shares = counts.select(
             RUN_ID,
@@ -116,7 +117,7 @@ class PackedHistory:
         place = (F.col("_before") + F.col("_part") * F.col("_n")) * n_files / F.col("_all")
         dealt = (
             rows.select("*", part.alias("_part"))
-            .join(shares, [RUN_ID, AT])
+            .join(F.broadcast(shares), [RUN_ID, AT])
             .withColumn("_file", F.least(F.floor(place), F.lit(n_files - 1)).cast("int"))
             .repartitionById(n_files, F.col("_file"))
             .sortWithinPartitions(RUN_ID)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pytest
+from conftest import explained
 
 from shelfcast import sinks
 
@@ -97,3 +98,14 @@ def test_nulls_repeated_rows_and_no_runs(spark, tmp_path):
     held.append(run(spark, 0, 0, 1), "empty")
     held.compact(spark, 1 << 20, recent=0)
     assert rows(held.read(spark)) == sorted([(None, 1, "x"), (None, 1, "x"), ("a", None, "x")], key=repr)
+
+
+def test_rows_are_never_dealt_out_by_run(large_data, tmp_path, monkeypatch):
+    held = history(large_data, tmp_path)
+    for name in ("a", "b", "c"):
+        held.append(run(large_data, 0, 500), name)
+    plans, write = [], sinks.PackedHistory._write
+    monkeypatch.setattr(sinks.PackedHistory, "_write", lambda self, df: plans.append(explained(df)) or write(self, df))
+    assert held.compact(large_data, 1 << 20) == ["a", "b"]
+    for plan in (*plans, explained(held.read(large_data))):
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
