@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shelfcast.operators.eligibility import eligible_skus, flag_changes, flag_excluded
 from shelfcast.operators.product_history import (
@@ -111,15 +112,13 @@ def merge_events(
 
     Both tables have the same buckets. Stored events are kept, those that say nothing new too: a
     late one can make them matter. The history is derived from them, so a run that broke off between
-    the two is made good by running it again.
+    the two is made good by running it again. The history does not read itself, so it is written once,
+    into its place.
     """
     spark = apply_scale_settings(delivery.sparkSession)
     only = touched_buckets(events, delivery)
-
-    def merged(rows: DataFrame, only: Sequence[int]) -> DataFrame:
-        return latest_events(rows.unionByName(events.within(delivery, only)), key)
-
-    merge_buckets(events, delivery, merged)
     if only:
-        history.replace(history_of_events(events.read(spark, only), key, tracked), only)
+        events.replace(latest_events(events.read(spark, only).unionByName(delivery), key), only)
+        timed = events.filled(spark, only, F.col("effective_at").isNotNull())
+        history.replace(history_of_events(events.read(spark, only), key, tracked), only, timed)
     return only

@@ -40,11 +40,17 @@ class BucketTable:
 
     def read(self, spark: SparkSession, only: Sequence[int] | None = None) -> DataFrame:
         """The rows, of some buckets only if given: the folders of others are not listed as input."""
+        return self._stored(spark, only).select(*[f.name for f in self.schema.fields])
+
+    def _stored(self, spark: SparkSession, only: Sequence[int] | None) -> DataFrame:
         stored = StructType([*self.schema.fields, StructField(BUCKET, IntegerType())])
         rows = spark.read.schema(stored).parquet(self.path)
-        if only is not None:
-            rows = rows.where(F.col(BUCKET).isin(list(only)))
-        return rows.select(*[f.name for f in self.schema.fields])
+        return rows if only is None else rows.where(F.col(BUCKET).isin(list(only)))
+
+    def filled(self, spark: SparkSession, only: Sequence[int], condition: Column) -> list[int]:
+        """Which of some buckets have rows with a condition; only its columns are read."""
+        rows = self._stored(spark, only).where(condition).select(BUCKET).distinct()
+        return sorted(row[0] for row in rows.collect())
 
     def within(self, df: DataFrame, only: Sequence[int]) -> DataFrame:
         """The rows of another table with the key's columns that belong to some buckets."""
@@ -65,17 +71,19 @@ class BucketTable:
         """Write the whole table."""
         self._write(df, "static")
 
-    def replace(self, df: DataFrame, only: Iterable[int]) -> None:
+    def replace(self, df: DataFrame, only: Iterable[int], filled: Iterable[int] | None = None) -> None:
         """Put df, rows of the buckets ``only``, in their place; a bucket without rows is emptied.
 
-        df is stored first, as it may read the buckets that it replaces.
+        df is stored first, as it may read the buckets that it replaces. A df that does not, and of
+        which the buckets with rows are known (``filled``), is written at once.
         """
         spark = df.sparkSession
-        fresh = stage_table(df, scratch_path(spark, "buckets"), "rows")
-        filled = {row[0] for row in fresh.select(self.bucket()).distinct().collect()}
-        self._write(fresh, "dynamic")
-        for number in set(only) - filled:
-            fresh.limit(0).write.mode("overwrite").parquet(f"{self.path}/{BUCKET}={number}")
+        if filled is None:
+            df = stage_table(df, scratch_path(spark, "buckets"), "rows")
+            filled = [row[0] for row in df.select(self.bucket()).distinct().collect()]
+        self._write(df, "dynamic")
+        for number in set(only) - set(filled):
+            spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(f"{self.path}/{BUCKET}={number}")
 
 
 def touched_buckets(table: BucketTable, changes: DataFrame) -> list[int]:

@@ -234,3 +234,20 @@ def test_rejected_rows_are_kept_apart_with_their_reasons(spark, tmp_path):
     assert quality.reject_rules(quality.FeedCheck("f", rows, ["k"], unique=False)) == ["unknown_key"]
     none = quality.FeedCheck("none", rows.limit(0), ["k"], {"ref": known})
     assert sinks.split_rows(spark, sinks.split_feed(none, str(tmp_path), "none"), rows.schema, True).isEmpty()
+
+
+def test_a_history_is_written_once_and_emptied_where_no_event_has_a_time(spark, tmp_path, monkeypatch):
+    schema = spark.createDataFrame([], EVENT).schema
+    events = sinks.BucketTable(str(tmp_path / "events"), schema, ("sku",), 4)
+    stale = spark.createDataFrame([("a", dt.datetime(2021, 1, 1), 1, 5), ("b", dt.datetime(2021, 1, 1), 1, 5)], EVENT)
+    versions = product_history.history_of_events(stale, "sku", ["price"])
+    history = sinks.BucketTable(str(tmp_path / "history"), versions.schema, ("sku",), 4)
+    events.create(spark.createDataFrame([], EVENT))
+    history.create(versions)
+    stored, stage = [], sinks.buckets.stage_table
+    monkeypatch.setattr(sinks.buckets, "stage_table", lambda df, *where: stored.append(df.columns) or stage(df, *where))
+    untimed = spark.createDataFrame([("a", None, 1, 5)], EVENT)
+    only = merge_events(events, history, untimed, "sku", ["price"])
+    assert stored == [events.schema.names]
+    kept = [r for r in rows_of(versions.withColumn("b", history.bucket())) if r[-1] not in only]
+    assert rows_of(history.read(spark)) == [r[:-1] for r in kept] and rows_of(events.read(spark)) == rows_of(untimed)
