@@ -238,7 +238,9 @@ def demand(t: Tables) -> DataFrame:
 
 def pending_value_of(t: Tables) -> DataFrame:
     base = scratch_path(t.spark, "backorders")
-    return pending_backorders(t.units, t.transactions, t.products, BACKORDER_PARAMS, base, "run")
+    return pending_backorders(
+        t.units, t.transactions, t.products, BACKORDER_PARAMS, base, "run", t.order_headers
+    )
 
 
 @query("q25_backorder_value")

@@ -76,9 +76,13 @@ def pending_backorders(
     params: BackorderParams,
     base: str,
     run_id: str,
+    headers: DataFrame | None = None,
 ) -> DataFrame:
     """Backorder value from the details of owed pairs of order and sku only.
 
+    Open orders come from the transactions without their details. ``headers`` holds these where the
+    transactions are not stored but made from orders and lines, so the two are not joined for nothing.
+
     The owed units are stored under ``base``, as they are read twice: as a filter of the details,
     before these are added up, and as rows of the result. The stored table has one scan and a filter
     (which all rows pass), so where it is too large to broadcast, Spark can make a Bloom filter of
@@ -86,7 +90,9 @@ def pending_backorders(
     is left is shuffled once, by order and sku, for the filter, the totals and the result.
     """
     owed = stage_table(
-        backordered_units(units, open_orders(transactions, params), products, params),
+        backordered_units(
+            units, open_orders(transactions if headers is None else headers, params), products, params
+        ),
         f"{base}/backordered",
         run_id,
     ).where("backordered_qty > 0")

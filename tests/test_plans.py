@@ -181,3 +181,17 @@ def test_owed_orders_filter_the_scan_and_details_move_once(large_data, tmp_path)
             level = depth
             moves += bool(re.search(r"Exchange hashpartitioning\((transaction_extid|order_number)", text))
     assert moves == 1
+
+
+def test_open_orders_do_not_join_the_details(spark, monkeypatch):
+    from checks import queries
+    from checks.fixtures import Tables
+    from shelfcast.plans import interface
+
+    seen, read = [], interface.open_orders
+    monkeypatch.setattr(interface, "open_orders", lambda rows, params: seen.append(rows) or read(rows, params))
+    tables = Tables(spark, SMALL)
+    queries.pending_value_of(tables)
+    assert "details" not in seen[0].columns and "l_orderkey" not in explained(seen[0])
+    whole = read(tables.transactions, queries.BACKORDER_PARAMS)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, read(seen[0], queries.BACKORDER_PARAMS).collect()))
