@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfcast import sinks, sources
 from shelfcast.plans import store_inventory_run
-from shelfcast.session import scratch_path
+from shelfcast.session import held_settings, scratch_path
 
 RUN = dt.datetime(2021, 10, 14, 6, 45)
 TEXT = "key string, value string"
@@ -142,6 +142,22 @@ def test_large_store_is_written_by_several_tasks(spark, tmp_path):
     assert back.count() == 40_000
 
 
+def test_small_stores_are_dealt_to_more_tasks_than_cores_and_have_no_side_files(spark, tmp_path):
+    delta = spark.range(0, 20_000, 1, 16).selectExpr("id % 400 AS store_id", "string(id) AS sku", "id AS quantity")
+    small = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
+    with held_settings(spark, small):
+        root = sinks.export_store_deltas(delta, str(tmp_path / "out"), "INV_", RUN, 1)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionNum", None) is None
+    files = [f for _, _, found in os.walk(root) for f in found]
+    written = [f for f in files if f.startswith("part-")]
+    assert len(written) == 400 and len({f[:10] for f in written}) > 2 * spark.sparkContext.defaultParallelism
+    # a checksum file beside each file costs as much as the file
+    assert not [f for f in files if f.endswith(".crc")]
+    back = sinks.read_feed(spark, root, "store_id bigint, sku string, quantity bigint, feed_file string")
+    assert back.count() == 20_000
+
+
 def test_price_file_is_stamped_and_otherwise_unchanged(spark, tmp_path):
     source = write_text(tmp_path, "prices.csv", 'sku;price;note\n001;10.50;"a;b"\n002;7;\n')
     target = sources.stamped_price_file(spark, source, str(tmp_path / "out"), dt.datetime(2021, 3, 1, 5, 30))
