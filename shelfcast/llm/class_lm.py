@@ -69,8 +69,9 @@ def _blocks(p: ClassLmParams):
 
         def block() -> pd.DataFrame:
             flat = np.concatenate(tokens)
-            distinct, places, counts = np.unique(flat, return_inverse=True, return_counts=True)
-            order = np.argsort(-counts, kind="stable")  # frequent words get small numbers
+            places, distinct = pd.factorize(flat)
+            # frequent words get small numbers, equally frequent ones by their hashes
+            order = np.lexsort((distinct, -np.bincount(places)))
             number = np.empty(len(order), dtype=np.int32)
             number[order] = np.arange(len(order), dtype=np.int32)
             places = number[places]
@@ -167,6 +168,27 @@ class Model:
         return np.where(known >= 0, self.classes[known].astype(np.int64) if len(self.classes) else out, out)
 
 
+def word_neighbours(
+    places: np.ndarray, known: np.ndarray, cls: np.ndarray, c: int, bins: int = 4_000_000
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """How often each known word of a block stands behind (left) and before (right) each class, as
+    sorted keys and their counts; places are those of the training tokens, text after text. Counted
+    in arrays of about ``bins`` numbers, a stretch of words at a time."""
+    now, before = cls[places], np.roll(places, 1)  # a text's first token comes after an end, as the last one is
+    earlier = np.roll(now, 1)
+    found = np.flatnonzero(known >= 0)
+    found = found[np.argsort(known[found])]
+    step = max(1, bins // c)
+    for i in range(0, len(found), step):
+        words = found[i : i + step]
+        bin_of = np.full(len(known), len(words))  # all other words share the last bin
+        bin_of[words] = np.arange(len(words))
+        for word, near, side in ((places, earlier, 0), (before, now, c)):
+            count = np.bincount(bin_of[word] * c + near, minlength=(len(words) + 1) * c)[: len(words) * c]
+            at = np.flatnonzero(count)
+            yield known[words].astype(np.int64)[at // c] * (2 * c) + side + at % c, count[at]
+
+
 def _previous(lengths: np.ndarray, n: int) -> np.ndarray:
     """For each token the place of the token before it, -1 at the start of a text."""
     before = np.arange(n) - 1
@@ -203,32 +225,28 @@ def _neighbours(classes: Broadcast, p: ClassLmParams):
             width = 2 * c * p.range_words
             ranges = key // width
             begin = np.flatnonzero(np.append(len(key) > 0, ranges[1:] != ranges[:-1]))
-            for i, j in zip(begin, np.append(begin, len(key))[1:], strict=True):
-                yield pd.DataFrame(
-                    {
-                        "range": [int(ranges[i])],
-                        "keys": [_packed(np.diff(key[i:j] - ranges[i] * width, prepend=0).astype(np.int32))],
-                        "counts": [_packed(count[i:j])],
-                    }
-                )
+            stretches = list(zip(begin, np.append(begin, len(key))[1:], strict=True))
+            yield pd.DataFrame(
+                {
+                    "range": [int(ranges[i]) for i, _ in stretches],
+                    "keys": [
+                        _packed(np.diff(key[i:j] - ranges[i] * width, prepend=0).astype(np.int32))
+                        for i, j in stretches
+                    ],
+                    "counts": [_packed(count[i:j]) for i, j in stretches],
+                }
+            )
 
         for blocks in batches:
             for b in blocks.itertuples():
                 any_block = True
                 known, lengths = _array(b.known, np.int32), _array(b.lengths, np.int64)
+                train = np.repeat(~_array(b.held_out, np.bool_), lengths)
+                places = _array(b.places, np.int32)[train]
                 cls = model.classes_of(known, _array(b.counts, np.int64))
-                places = _array(b.places, np.int32)
                 now = cls[places]
-                end = now[-1]  # a block's last token is an end
-                before = _previous(lengths, len(places))
-                earlier = np.where(before >= 0, now[before], end)
-                train = np.repeat(~_array(b.held_out, np.bool_), lengths)
-                pairs += np.bincount((earlier * c + now)[train], minlength=c * c)
-                prior = np.where(before >= 0, places[before], places[-1])
-                for word, near, side in ((places, earlier, 0), (prior, now, c)):
-                    use = train & (known[word] >= 0)
-                    key = known[word[use]].astype(np.int64) * (2 * c) + side + near[use]
-                    key, count = np.unique(key, return_counts=True)
+                pairs += np.bincount(np.roll(now, 1) * c + now, minlength=c * c)
+                for key, count in word_neighbours(places, known, cls, c):
                     keys.append(key)
                     counts.append(count)
                     held += len(key)
@@ -285,13 +303,8 @@ def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield row()
 
 
-def _growth(base: np.ndarray, more: np.ndarray) -> np.ndarray:
-    """x log x of base + more less that of base."""
-
-    def f(x: np.ndarray) -> np.ndarray:
-        return x * np.log(np.maximum(x, 1e-300))
-
-    return f(base + more) - f(base)
+def _x_log_x(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
 
 
 def exchanged(
@@ -307,13 +320,20 @@ def exchanged(
     out_total, in_total = pairs.sum(axis=1), pairs.sum(axis=0)
     n_out, n_in = right.sum(axis=1), left.sum(axis=1)
     gain = np.empty((len(own), n_classes))
+    bases = _x_log_x(pairs), _x_log_x(out_total), _x_log_x(in_total)
     for h in range(n_classes):
-        mine = (own == h)[:, None]
-        row = np.maximum(pairs[h][None, :] - mine * right, 0)
-        column = np.maximum(pairs[:, h][None, :] - mine * left, 0)
-        gain[:, h] = _growth(row, right).sum(axis=1) + _growth(column, left).sum(axis=1)
-        gain[:, h] -= _growth(np.maximum(out_total[h] - mine[:, 0] * n_out, 0), n_out)
-        gain[:, h] -= _growth(np.maximum(in_total[h] - mine[:, 0] * n_in, 0), n_in)
+        gain[:, h] = (_x_log_x(pairs[h] + right) - bases[0][h]).sum(axis=1)
+        gain[:, h] += (_x_log_x(pairs[:, h] + left) - bases[0][:, h]).sum(axis=1)
+        gain[:, h] -= _x_log_x(out_total[h] + n_out) - bases[1][h]
+        gain[:, h] -= _x_log_x(in_total[h] + n_in) - bases[2][h]
+    # the words' own classes, without them
+    row, column = np.maximum(pairs[own] - right, 0), np.maximum(pairs[:, own].T - left, 0)
+    out_rest, in_rest = np.maximum(out_total[own] - n_out, 0), np.maximum(in_total[own] - n_in, 0)
+    stays = (_x_log_x(row + right) - _x_log_x(row)).sum(axis=1)
+    stays += (_x_log_x(column + left) - _x_log_x(column)).sum(axis=1)
+    stays -= _x_log_x(out_rest + n_out) - _x_log_x(out_rest)
+    stays -= _x_log_x(in_rest + n_in) - _x_log_x(in_rest)
+    gain[np.arange(len(own)), own] = stays
     best = gain.argmax(axis=1)
     stay = gain[np.arange(len(own)), own] >= gain.max(axis=1) - 1e-9
     return np.where(stay, own, best)
@@ -359,17 +379,20 @@ def learnt_classes(
         if first is None:
             return model, np.zeros((c, c), dtype=np.int64)
         pairs = _array(first["counts"], np.int64).reshape(c, c)
-        sent = context.broadcast((classes.astype(np.int16), pairs))
         starting = r < 0
+        turns = np.ones(len(words), dtype=np.bool_) if starting else turn == r % 2
+        sent = context.broadcast((classes.astype(np.int16), np.packbits(turns), pairs))
 
         def moved(batches: Iterator[pd.DataFrame], n: int = p.n_classes, size: int = p.range_words):
-            own, between = sent.value
+            own, bits, between = sent.value
+            due = np.unpackbits(bits, count=len(own)).astype(np.bool_)
             for rows in batches:
                 for k, keys, counts in zip(rows["range"], rows["keys"], rows["counts"], strict=True):
                     mine = own[k * size : (k + 1) * size].astype(np.int64)
                     both = _dense(keys, counts, len(mine), len(between))
+                    now = np.flatnonzero(due[k * size : (k + 1) * size])  # only these words may move
+                    mine, both, at = mine[now], both[now], k * size + now
                     lefts, rights = np.hsplit(both.astype(np.float64), 2)
-                    at = np.arange(k * size, k * size + len(both), dtype=np.int64)
                     if starting:
                         new = [first_class(lefts + rights, mine, frequency, at)]
                     else:
@@ -377,13 +400,14 @@ def learnt_classes(
                             exchanged(lefts[i : i + 256], rights[i : i + 256], mine[i : i + 256], between, n)
                             for i in range(0, len(both), 256)
                         ]
+                    if not len(at):
+                        continue
                     yield pd.DataFrame({"at": at, "class": np.concatenate(new)})
 
         found = counted.where("range >= 0").mapInPandas(moved, "at long, class long").toPandas()
         at, new = found["at"].to_numpy(dtype=np.int64), found["class"].to_numpy(dtype=np.int64)
         classes = classes.copy()
-        mine = np.ones(len(at), dtype=bool) if starting else turn[at] == r % 2
-        classes[at[mine]] = new[mine]
+        classes[at] = new
         # a word without neighbours among the training tokens has no counts and goes by spread
         classes = np.where(classes < p.n_classes, classes, spread % p.n_classes)
     raise AssertionError

@@ -301,6 +301,54 @@ def test_exchange_raises_the_likelihood():
     assert likelihood(classes) > start and len(set(map(tuple, np.c_[truth, classes]))) == 2
 
 
+def test_word_neighbours_are_those_counted_one_by_one():
+    from shelfcast.llm.class_lm import word_neighbours
+
+    rng = np.random.default_rng(5)
+    ends, c = 3, 4  # word 3 ends a text
+    places = np.concatenate([np.append(rng.integers(0, 9, k), ends) for k in (0, 5, 40, 1, 0, 90)])
+    known = np.array([7, -1, 2, 0, 11, -1, 5, 30, -1])
+    cls = rng.integers(0, c, 9)
+    expected = Counts()
+    for now, before in zip(places, [ends, *places[:-1]], strict=True):
+        expected[known[now] * 2 * c + cls[before]] += known[now] >= 0
+        expected[known[before] * 2 * c + c + cls[now]] += known[before] >= 0
+    for bins in (1, 2 * c, 1000):  # one word at a time, two, and all
+        found = Counts()
+        for key, count in word_neighbours(places, known, cls, c, bins):
+            assert (np.diff(key) > 0).all() and (count > 0).all()
+            found.update(dict(zip(key.tolist(), count.tolist(), strict=True)))
+        assert found == {k: n for k, n in expected.items() if n}
+    assert not list(word_neighbours(places, np.full(9, -1), cls, c))
+
+
+def test_exchange_rates_only_the_words_whose_turn_it_is(spark, tmp_path, monkeypatch):
+    from shelfcast.llm import class_lm
+
+    rate, log = class_lm.exchanged, str(tmp_path / "rated")
+
+    def seen(left, right, own, pairs, n_classes):
+        with open(log, "a") as out:
+            out.write(f"{len(own)}\n")
+        return rate(left, right, own, pairs, n_classes)
+
+    given = {}
+    learn = class_lm.learnt_classes
+
+    def learnt(blocks, words, counts, p):
+        given["words"] = len(words)
+        return learn(blocks, words, counts, p)
+
+    monkeypatch.setattr(class_lm, "learnt_classes", learnt)
+    rng = np.random.default_rng(7)
+    docs = spark.createDataFrame(
+        [(i, " ".join(f"w{k}" for k in rng.integers(0, 60, 80))) for i in range(60)], "doc_id long, text string"
+    )
+    monkeypatch.setattr(class_lm, "exchanged", seen)
+    class_lm_scores(docs, ClassLmParams(n_classes=4, rounds=2)).collect()
+    assert sum(map(int, Path(log).read_text().split())) == given["words"]  # two rounds, a half each
+
+
 def test_words_are_exchanged_from_one_count_on_at_any_size(spark, monkeypatch):
     from shelfcast.llm import class_lm
 
