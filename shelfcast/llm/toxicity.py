@@ -181,22 +181,22 @@ def fit_models(
     vocabulary: dict[str, int], presence: np.ndarray, labels: np.ndarray, p: ToxicityParams
 ) -> Chain:
     """presence: 0 or 1 for each document and feature place. Fold of the i-th document: i modulo
-    folds."""
+    folds. The driver holds the features as numbers once, and once more those outside a fold."""
     n, m = labels.shape
     if not n:
         return Chain({}, tuple(Linear(np.zeros(c), -30.0) for c in range(m)))
-    x = presence.astype(np.float64)
+    v = presence.shape[1]
+    x = np.hstack([presence, np.zeros((n, m))])  # features, then the earlier categories' predictions
     fold = np.arange(n) % p.folds
-    outside = np.zeros((n, m))
     models = []
     for c in range(m):
-        xc, y = np.hstack([x, outside[:, :c]]), labels[:, c].astype(np.float64)
+        xc, y = x[:, : v + c], labels[:, c].astype(np.float64)
         models.append(fit_linear(xc, y, p.penalty, p.steps))
         if c + 1 < m:
             for k in range(p.folds):
                 if (fold == k).any():
                     other = fit_linear(xc[fold != k], y[fold != k], p.penalty, p.steps)
-                    outside[fold == k, c] = other.chance(xc[fold == k])
+                    x[fold == k, v + c] = other.chance(xc[fold == k])
     return Chain(vocabulary, tuple(models))
 
 
@@ -251,16 +251,22 @@ def classifier_chain(docs: DataFrame, labels: DataFrame, params: ToxicityParams)
     if not totals[0]:
         return fit_models({}, np.zeros((0, 0)), np.zeros((0, len(params.categories))), params)
     kept = stored(counted_features(sample, totals, params), "features")
+    return fit_models(*_presence(sample, kept, params), params)
+
+
+def _presence(
+    sample: DataFrame, kept: DataFrame, p: ToxicityParams
+) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+    """The kept features' places, which document of the sample has which, and the documents' labels."""
     vocabulary = {r["feature"]: i for i, r in enumerate(kept.orderBy("feature").collect())}
     held = sample.select("doc_id", F.explode("features").alias("feature")).join(kept, "feature")
     held = held.groupBy("doc_id").agg(F.collect_list("feature").alias("held"))
-    rows = sample.select("doc_id", *params.categories).join(held, "doc_id", "left").collect()
+    rows = sample.select("doc_id", *p.categories).join(held, "doc_id", "left").collect()
     rows.sort(key=lambda r: r["doc_id"])
-    presence = np.zeros((len(rows), len(vocabulary)), dtype=np.float32)
+    presence = np.zeros((len(rows), len(vocabulary)), dtype=np.bool_)
     for i, row in enumerate(rows):
-        presence[i, [vocabulary[f] for f in row["held"] or ()]] = 1
-    y = np.array([[r[c] for c in params.categories] for r in rows], dtype=np.int64)
-    return fit_models(vocabulary, presence, y, params)
+        presence[i, [vocabulary[f] for f in row["held"] or ()]] = True
+    return vocabulary, presence, np.array([[r[c] for c in p.categories] for r in rows], dtype=np.int64)
 
 
 def with_chances(docs: DataFrame, chain: Chain, params: ToxicityParams, name: str) -> DataFrame:

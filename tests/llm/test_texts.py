@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter as Counts
 from pathlib import Path
@@ -21,6 +22,7 @@ from shelfcast.llm.toxicity import (
     features_in,
     fit_chain,
     fit_linear,
+    fit_models,
     with_chances,
 )
 
@@ -172,6 +174,17 @@ def test_later_models_use_the_earlier_ones():
     assert chain.models[1].weights[-1] > 0.5
 
 
+def test_fitting_holds_the_features_once_and_once_outside_a_fold():
+    rng = np.random.default_rng(1)
+    presence, y = rng.random((3000, 500)) < 0.05, (rng.random((3000, 2)) < 0.3).astype(int)
+    whole = presence.size * 8
+    tracemalloc.start()
+    fit_models({}, presence, y, ToxicityParams(steps=1))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert whole < most < 2 * whole
+
+
 def test_linear_model_reaches_the_optimum():
     rng = np.random.default_rng(0)
     x = (rng.random((200, 5)) < 0.5).astype(float)
