@@ -169,26 +169,40 @@ class Model:
 
 
 def word_neighbours(
-    places: np.ndarray, known: np.ndarray, cls: np.ndarray, c: int, bins: int = 4_000_000
+    places: np.ndarray,
+    known: np.ndarray,
+    cls: np.ndarray,
+    c: int,
+    bins: int = 4_000_000,
+    due: np.ndarray | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """How often each known word of a block stands behind (left) and before (right) each class, as
-    sorted keys and their counts; places are those of the training tokens, text after text. Counted
-    in arrays of about ``bins`` numbers, a stretch of words at a time."""
-    now, before = cls[places], np.roll(places, 1)  # a text's first token comes after an end, as the last one is
-    earlier = np.roll(now, 1)
-    found = np.flatnonzero(known >= 0)
+    sorted keys and their counts; places are those of the training tokens, text after text. With due,
+    a flag for each known word of the corpus, only the words that have it are counted. Counted in
+    arrays of about ``bins`` numbers, a stretch of words at a time."""
+    wanted = known >= 0 if due is None else np.append(due, False)[known]  # -1, other words, is the last
+    at = np.flatnonzero(wanted[places])
+    word, now = places[at], cls[places]
+    # a text's first token comes after an end, as the last token of all is one
+    earlier, later = now[at - 1], np.append(now, now[:1])[at + 1]
+    found = np.flatnonzero(wanted)
     found = found[np.argsort(known[found])]
     step = max(1, bins // c)
     for i in range(0, len(found), step):
         words = found[i : i + step]
         bin_of = np.full(len(known), len(words))  # all other words share the last bin
         bin_of[words] = np.arange(len(words))
-        for word, near, side in ((places, earlier, 0), (before, now, c)):
-            count = np.bincount(bin_of[word] * c + near, minlength=(len(words) + 1) * c)[: len(words) * c]
+        first = bin_of[word] * c
+        for near, side in ((earlier, 0), (later, c)):
+            count = np.bincount(first + near, minlength=(len(words) + 1) * c)[: len(words) * c]
             at = np.flatnonzero(count)
             yield known[words].astype(np.int64)[at // c] * (2 * c) + side + at % c, count[at]
 
 
+def _flags(bits: np.ndarray, n: int) -> np.ndarray:
+    return np.unpackbits(bits, count=n).astype(np.bool_)
+
+
 def _previous(lengths: np.ndarray, n: int) -> np.ndarray:
     """For each token the place of the token before it, -1 at the start of a text."""
     before = np.arange(n) - 1
@@ -205,14 +219,16 @@ def _summed_keys(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.n
     return key[first], np.add.reduceat(count, first) if len(key) else count
 
 
-def _neighbours(classes: Broadcast, p: ClassLmParams):
+def _neighbours(sent: Broadcast, p: ClassLmParams):
     """Counts of training bigrams by class: (range, keys, counts) with the counts of ``range_words``
     words by left and right class that are not zero, a key being the word's place in the range times
     twice the number of classes and the class (right ones behind the left ones), and as range -1 those
-    of class bigrams."""
+    of class bigrams. sent: the words' classes, and as packed bits which words are due; only those
+    are counted."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = Model(classes.value, p.n_classes)
+        classes, bits = sent.value
+        model, due = Model(classes, p.n_classes), _flags(bits, len(classes))
         c = model.total
         pairs = np.zeros(c * c, dtype=np.int64)
         any_block = False
@@ -246,7 +262,7 @@ def _neighbours(classes: Broadcast, p: ClassLmParams):
                 cls = model.classes_of(known, _array(b.counts, np.int64))
                 now = cls[places]
                 pairs += np.bincount(np.roll(now, 1) * c + now, minlength=c * c)
-                for key, count in word_neighbours(places, known, cls, c):
+                for key, count in word_neighbours(places, known, cls, c, due=due):
                     keys.append(key)
                     counts.append(count)
                     held += len(key)
@@ -363,14 +379,18 @@ def learnt_classes(
     for r in range(-1, p.rounds + 1):
         model = Model(classes, p.n_classes)
         c = model.total
+        starting, last_round = r < 0, r == p.rounds
+        # half of the words may move in a round, and after the last one only the bigrams count
+        turns = np.full(len(words), starting) if starting or last_round else turn == r % 2
         context = blocks.sparkSession.sparkContext
+        sent = context.broadcast((classes.astype(np.int16), np.packbits(turns)))
         counted = (
-            blocks.mapInPandas(_neighbours(context.broadcast(classes.astype(np.int16)), p), COUNTS)
+            blocks.mapInPandas(_neighbours(sent, p), COUNTS)
             .repartition("range")
             .sortWithinPartitions("range")
             .mapInPandas(_summed, COUNTS)
         )
-        if r == p.rounds:
+        if last_round:
             last = counted.where("range = -1").first()
             pairs = _array(last["counts"], np.int64).reshape(c, c) if last else np.zeros((c, c), dtype=np.int64)
             return model, pairs
@@ -379,13 +399,11 @@ def learnt_classes(
         if first is None:
             return model, np.zeros((c, c), dtype=np.int64)
         pairs = _array(first["counts"], np.int64).reshape(c, c)
-        starting = r < 0
-        turns = np.ones(len(words), dtype=np.bool_) if starting else turn == r % 2
         sent = context.broadcast((classes.astype(np.int16), np.packbits(turns), pairs))
 
         def moved(batches: Iterator[pd.DataFrame], n: int = p.n_classes, size: int = p.range_words):
             own, bits, between = sent.value
-            due = np.unpackbits(bits, count=len(own)).astype(np.bool_)
+            due = _flags(bits, len(own))
             for rows in batches:
                 for k, keys, counts in zip(rows["range"], rows["keys"], rows["counts"], strict=True):
                     mine = own[k * size : (k + 1) * size].astype(np.int64)

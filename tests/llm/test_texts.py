@@ -335,6 +335,20 @@ def test_word_neighbours_are_those_counted_one_by_one():
     assert not list(word_neighbours(places, np.full(9, -1), cls, c))
 
 
+def test_only_the_neighbours_of_words_that_are_due_are_counted():
+    from shelfcast.llm.class_lm import word_neighbours
+
+    rng = np.random.default_rng(6)
+    places = np.append(rng.integers(0, 9, 200), 3)
+    known, cls, c = np.array([7, -1, 2, 0, 8, -1, 5, 6, -1]), rng.integers(0, 4, 9), 4
+    due = np.arange(9) % 2 == 0
+    for bins in (1, 1000):
+        every = {int(k): int(n) for keys, counts in word_neighbours(places, known, cls, c, bins) for k, n in zip(keys, counts)}
+        some = [(int(k), int(n)) for keys, counts in word_neighbours(places, known, cls, c, bins, due) for k, n in zip(keys, counts)]
+        assert dict(some) == {k: n for k, n in every.items() if due[k // (2 * c)]} and 0 < len(some) < len(every)
+    assert not list(word_neighbours(places, known, cls, c, due=np.zeros(9, dtype=bool)))
+
+
 def test_exchange_rates_only_the_words_whose_turn_it_is(spark, tmp_path, monkeypatch):
     from shelfcast.llm import class_lm
 
