@@ -158,6 +158,54 @@ def test_small_stores_are_dealt_to_more_tasks_than_cores_and_have_no_side_files(
     assert back.count() == 20_000
 
 
+def test_store_files_of_a_mounted_folder_are_those_spark_writes(spark, tmp_path):
+    skus = ['q"x', "a|b", " padded ", "two\nlines", "", None, "na\u00efve", "#c", "\\"]
+    delta = spark.createDataFrame(
+        [(store, sku, n) for store in (7, -3, None) for n, sku in enumerate([*skus, "z"])]
+        + [(None, None, None), (5, None, None)],
+        "store_id bigint, sku string, `quantity|2` bigint",
+    )
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.shop.link./to", f"file://{tmp_path}")
+
+    def written(root, folder):
+        assert sinks.export_store_deltas(delta, root, "IN:V/{1}%", RUN, 7) == root
+        found = {}
+        for path in data_files(folder):
+            text = open(path, "rb").read()
+            modes = [os.stat(p).st_mode for p in (path, os.path.dirname(path), folder)]
+            found.setdefault(os.path.dirname(path).removeprefix(folder), []).append((sorted(text.split(b"\n")), modes))
+        others = {f for _, _, files in os.walk(folder) for f in files if not f.startswith("part-")}
+        return found, others
+
+    by_spark = written("viewfs://shop/to/spark", f"{tmp_path}/spark")
+    assert len(by_spark[0]) == 4 and by_spark[1] == {"_SUCCESS"}
+    for root in (f"{tmp_path}/plain", f"file://{tmp_path}/uri/", f"file:{tmp_path}/plain"):
+        assert written(root, f"{tmp_path}/{root.rstrip('/').rsplit('/', 1)[1]}") == by_spark
+    assert sorted(os.listdir(tmp_path)) == ["plain", "spark", "uri"]
+
+
+def test_store_files_need_no_process_each(spark, tmp_path):
+    def started():
+        return next(int(line.split()[1]) for line in open("/proc/stat") if line.startswith("processes"))
+
+    delta = spark.range(2_000).selectExpr("id AS store_id", "'a' AS sku", "id AS quantity")
+    before = started()
+    root = sinks.export_store_deltas(delta, str(tmp_path / "out"), "INV_", RUN, 1)
+    assert started() - before < 1_000 and len(data_files(root)) == 2_000
+
+
+def test_store_files_that_fail_leave_those_before(spark, tmp_path):
+    delta = spark.range(0, 400, 1, 8).selectExpr("id % 100 AS store_id", "string(id) AS sku", "id AS quantity")
+    root = sinks.export_store_deltas(delta, str(tmp_path / "out"), "INV_", RUN, 1)
+    files = sorted(data_files(root))
+    failing = delta.withColumn("sku", F.when(F.col("quantity") != 333, F.col("sku")).otherwise(F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception, match="no"):
+        sinks.export_store_deltas(failing, root, "INV_", RUN, 1)
+    assert len(files) == 100 and sorted(data_files(root)) == files and os.listdir(tmp_path) == ["out"]
+    sinks.export_store_deltas(delta.limit(0), root, "INV_", RUN, 1)
+    assert os.listdir(root) == ["_SUCCESS"]
+
+
 def test_price_file_is_stamped_and_otherwise_unchanged(spark, tmp_path):
     source = write_text(tmp_path, "prices.csv", 'sku;price;note\n001;10.50;"a;b"\n002;7;\n')
     target = sources.stamped_price_file(spark, source, str(tmp_path / "out"), dt.datetime(2021, 3, 1, 5, 30))
