@@ -404,26 +404,44 @@ class Tables:
             transactions=self.transactions,
         )
 
-    def stock(self, rows: Column) -> DataFrame:
-        """Units per store (supplier) and sku over the lines that satisfy a condition."""
-        counted = F.when(rows, F.col("l_quantity").cast("bigint"))
+    def stocks(self, **rows: Column) -> DataFrame:
+        """Units per store (supplier) and sku in one pass over the lines: a column for each condition
+        on a line, null where no line satisfies it."""
+        units = F.col("l_quantity").cast("bigint")
         return (
             self.given("lineitem")
             .groupBy(F.col("l_suppkey").alias("store_id"), "l_partkey")
-            .agg(F.sum(counted).alias("quantity"))
-            .filter("quantity IS NOT NULL")
-            .select("store_id", part_sku("l_partkey").alias("sku"), "quantity")
+            .agg(*[F.sum(F.when(condition, units)).alias(name) for name, condition in rows.items()])
+            .select("store_id", part_sku("l_partkey").alias("sku"), *rows)
         )
 
+    @property
+    def _lines_before(self) -> Column:
+        """Lines up to a date."""
+        return F.col("l_shipdate") < F.lit(STOCK_DATE + dt.timedelta(days=1))
+
+    @property
+    def _lines_after(self) -> Column:
+        """All lines but those returned, which have left the stock."""
+        return F.col("l_returnflag") != "R"
+
     @cached_property
     def inventory_before(self) -> DataFrame:
         """Stock up to a date."""
-        return self.stock(F.col("l_shipdate") < F.lit(STOCK_DATE + dt.timedelta(days=1)))
+        return self.stocks(quantity=self._lines_before).filter("quantity IS NOT NULL")
 
     @cached_property
     def inventory_after(self) -> DataFrame:
         """Stock of all lines; what was returned has left it."""
-        return self.stock(F.col("l_returnflag") != "R")
+        return self.stocks(quantity=self._lines_after).filter("quantity IS NOT NULL")
+
+    def stored_inventories(self) -> tuple[DataFrame, DataFrame]:
+        """The stock before and after, counted in one pass over the lines and stored side by side."""
+        both = self._stored("stock", self.stocks(before=self._lines_before, after=self._lines_after))
+        return tuple(
+            both.filter(F.col(side).isNotNull()).select("store_id", "sku", F.col(side).alias("quantity"))
+            for side in ("before", "after")
+        )
 
     @cached_property
     def first_source(self) -> DataFrame:

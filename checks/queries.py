@@ -523,8 +523,7 @@ def delta_by_digest(t: Tables) -> DataFrame:
 @query("q40b_store_inventory_run")
 def inventory_run(t: Tables) -> DataFrame:
     """The delta that a run puts into its history and its files."""
-    before = sinks.stage_table(t.inventory_before, scratch_path(t.spark, "stock"), "before")
-    after = sinks.stage_table(t.inventory_after, scratch_path(t.spark, "stock"), "after")
+    before, after = t.stored_inventories()
     inventory_table = before.withColumn("as_of", F.lit(STOCK_DATE))
     base = scratch_path(t.spark, "inventory-run")
     store_inventory_run(

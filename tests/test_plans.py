@@ -81,6 +81,18 @@ def test_tables_are_read_once_and_stored(spark):
         assert "CartesianProduct" not in explained(REGISTERED[name](spark, SMALL))
 
 
+def test_both_stocks_of_an_inventory_run_come_from_one_pass(spark, monkeypatch):
+    from checks.fixtures import Tables
+
+    read, given = [], Tables.given
+    monkeypatch.setattr(Tables, "given", lambda t, name: read.append(name) or given(t, name))
+    assert REGISTERED["q40b_store_inventory_run"](spark, SMALL).count() > 0
+    assert read == ["lineitem"]
+    t = Tables(spark, SMALL)
+    for stored, stock in zip(t.stored_inventories(), (t.inventory_before, t.inventory_after), strict=True):
+        assert sorted(stored.collect()) == sorted(stock.collect())
+
+
 def test_soft_delete_filter_reaches_the_scan(spark, tmp_path):
     from shelfcast.sources import live_rows
 
